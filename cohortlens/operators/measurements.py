@@ -67,51 +67,54 @@ def daily_latest(omr: DataFrame, names: list[str] = MEASUREMENT_NAMES) -> DataFr
             .withColumn("mo", F.month("chartdate")))
 
 
-def latest_as_of(probes: DataFrame, daily: DataFrame, bound: str, kind: str) -> DataFrame:
-    """For each probe (hadm_id, subject_id, <bound> date) and type, the latest
-    record dated on or before the bound.  Returns (hadm_id, result_name, kind, ord)."""
-    p = probes.select("hadm_id", "subject_id", F.col(bound).alias("b"),
-                      F.year(bound).alias("b_yr"), F.month(bound).alias("b_mo"))
+def latest_as_of(probes: DataFrame, daily: DataFrame) -> DataFrame:
+    """As-of lookup: for each probe (hadm_id, subject_id, kind, bound day b)
+    and measurement type, candidate records dated on or before b.
+
+    Three equi-joins with bounded fan-out replace a join of every admission
+    with every record of its subject: records of b's own month (<= 31 days),
+    month summaries of b's year (<= 11) and year summaries.  The year join
+    also yields each subject's overall latest record (kind ``overall``, only
+    needed for the tier-2 probes).  Returns (hadm_id, admit_day, kind,
+    result_name, ord); the minimum ``ord`` per group is the latest record.
+    """
+    p = probes.select("hadm_id", "admit_day", "subject_id", "kind", "b",
+                      F.year("b").alias("b_yr"), F.month("b").alias("b_mo"))
     monthly = daily.groupBy("subject_id", "result_name", "yr", "mo").agg(F.min("ord").alias("ord"))
     yearly = monthly.groupBy("subject_id", "result_name", "yr").agg(F.min("ord").alias("ord"))
+    out = ["hadm_id", "admit_day", "kind", "result_name", "ord"]
     same_month = (p.join(daily, (p.subject_id == daily.subject_id) & (p.b_yr == daily.yr)
-                         & (p.b_mo == daily.mo) & (daily.chartdate <= p.b))
-                  .select("hadm_id", "result_name", "ord"))
+                         & (p.b_mo == daily.mo) & (daily.chartdate <= p.b)).select(*out))
     same_year = (p.join(monthly, (p.subject_id == monthly.subject_id) & (p.b_yr == monthly.yr)
-                        & (monthly.mo < p.b_mo))
-                 .select("hadm_id", "result_name", "ord"))
-    earlier = (p.join(yearly, (p.subject_id == yearly.subject_id) & (yearly.yr < p.b_yr))
-               .select("hadm_id", "result_name", "ord"))
-    return same_month.unionByName(same_year).unionByName(earlier).withColumn("kind", F.lit(kind))
-
-
-def overall_latest(probes: DataFrame, daily: DataFrame, kind: str) -> DataFrame:
-    per_subject = daily.groupBy("subject_id", "result_name").agg(F.min("ord").alias("ord"))
-    return (probes.select("hadm_id", "subject_id").join(per_subject, "subject_id")
-            .select("hadm_id", "result_name", "ord").withColumn("kind", F.lit(kind)))
+                        & (monthly.mo < p.b_mo)).select(*out))
+    kinds = F.filter(F.array(F.when(F.col("yr") < F.col("b_yr"), F.col("kind")),
+                             F.when(F.col("kind") == "t2", F.lit("overall"))), lambda k: k.isNotNull())
+    by_year = (p.join(yearly, p.subject_id == yearly.subject_id)
+               .select("hadm_id", "admit_day", F.explode(kinds).alias("kind"), "result_name", "ord"))
+    return same_month.unionByName(same_year).unionByName(by_year)
 
 
 def measurement_features(cohort: DataFrame, omr: DataFrame) -> DataFrame:
     """One row per admission with tiered values.
 
-    Returns hadm_id plus height_inches, weight_lbs, bmi, systolic_bp,
-    diastolic_bp and their *_source columns.
+    Tier 1 probes at the discharge day (a hit counts only if dated on or
+    after the admission day); tier 2 probes at the day before admission,
+    falling back to the subject's overall latest record.  Returns hadm_id
+    plus height_inches, weight_lbs, bmi, systolic_bp, diastolic_bp and their
+    *_source columns.
     """
-    probes = cohort.select("hadm_id", "subject_id",
-                           F.to_date("admittime").alias("admit_day"),
-                           F.to_date("dischtime").alias("disch_day"),
-                           F.date_sub(F.to_date("admittime"), 1).alias("before_day"))
-    daily = daily_latest(omr)
-    cands = (latest_as_of(probes, daily, "disch_day", "t1")
-             .unionByName(latest_as_of(probes, daily, "before_day", "t2b"))
-             .unionByName(overall_latest(probes, daily, "t2o")))
+    admit = F.to_date("admittime")
+    bounds = F.array(F.struct(F.lit("t1").alias("kind"), F.to_date("dischtime").alias("b")),
+                     F.struct(F.lit("t2").alias("kind"), F.date_sub(admit, 1).alias("b")))
+    probes = (cohort.select("hadm_id", "subject_id", admit.alias("admit_day"), F.explode(bounds).alias("pb"))
+              .select("hadm_id", "subject_id", "admit_day", "pb.kind", "pb.b"))
+    cands = latest_as_of(probes, daily_latest(omr))
     aggs = []
     for name, key in _KEYS.items():
-        for kind in ("t1", "t2b", "t2o"):
+        for kind in ("t1", "t2", "overall"):
             aggs.append(F.min(F.when((F.col("result_name") == name) & (F.col("kind") == kind), F.col("ord")))
                         .alias(f"{key}_{kind}"))
-    per_adm = cands.groupBy("hadm_id").agg(*aggs)
-    per_adm = per_adm.join(probes.select("hadm_id", "admit_day"), "hadm_id")
+    per_adm = cands.groupBy("hadm_id", "admit_day").agg(*aggs)
 
     out = [F.col("hadm_id")]
     chosen = {}
@@ -120,8 +123,7 @@ def measurement_features(cohort: DataFrame, omr: DataFrame) -> DataFrame:
         # Tier 1 counts only when its latest in-stay row is on or after admission.
         t1_ok = t1.isNotNull() & (-t1["neg_day"] >= F.unix_date(F.col("admit_day")))
         t1_val = F.when(t1_ok, t1["value"])
-        t2 = F.coalesce(F.col(f"{key}_t2b"), F.col(f"{key}_t2o"))
-        t2_val = t2["value"]
+        t2_val = F.coalesce(F.col(f"{key}_t2"), F.col(f"{key}_overall"))["value"]
         value = F.when(t1_val.isNotNull(), t1_val).otherwise(t2_val)
         source = (F.when(t1_val.isNotNull(), F.lit("TIER1"))
                   .when(t2_val.isNotNull(), F.lit("TIER2")))

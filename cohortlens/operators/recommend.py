@@ -28,23 +28,22 @@ def recommend_drugs(neighbours: DataFrame, clin: DataFrame, similarity_col: str,
 
 
 def score_treatments(neighbour_treatments: DataFrame, top_n: int = 10, min_los: float = DEFAULT_MIN_LOS) -> DataFrame:
-    """Per treatment key, frequency (distinct neighbours), mean LOS,
-    sum(similarity / LOS), event count and sorted supporting admissions;
-    score = frequency / max(mean LOS, min_los).  Ordered by score, frequency,
-    then name ascending.
-
-    Input columns: hadm_id, similarity, los_days, treatment_key,
-    treatment_name, treatment_source, treatment_count."""
-    t = neighbour_treatments
+    """Per treatment (source, key, name): frequency (distinct
+    neighbours), mean LOS, weighted score = sum(similarity / LOS), event
+    count and the sorted supporting admissions; score = frequency /
+    max(mean LOS, min_los).  LOS is floored at ``min_los``.  Ordered by
+    weighted score, score, frequency (descending), then name and key.
+
+    Input columns: hadm_id, similarity, los_days, treatment_source,
+    treatment_key, treatment_name, treatment_count."""
     los = F.greatest(F.coalesce(F.col("los_days").cast("double"), F.lit(0.0)), F.lit(min_los))
-    agg = t.groupBy("treatment_source", "treatment_key").agg(
-        F.min("treatment_name").alias("treatment_name"),
+    agg = neighbour_treatments.groupBy("treatment_source", "treatment_key", "treatment_name").agg(
         F.count_distinct("hadm_id").alias("frequency"),
-        F.avg(F.col("los_days").cast("double")).alias("mean_los_days"),
-        F.sum(F.col("similarity") / los).alias("similarity_per_los"),
-        F.sum("treatment_count").alias("event_count"),
-        F.array_join(F.array_sort(F.collect_set(F.col("hadm_id").cast("string"))), ",").alias("supporting_hadm_ids"))
-    agg = agg.withColumn("score", F.col("frequency") / F.greatest(F.col("mean_los_days"), F.lit(min_los)))
-    return (agg.orderBy(F.col("score").desc(), F.col("frequency").desc(), F.col("treatment_name").asc(),
-                        F.col("treatment_key").asc())
+        F.avg(los).alias("average_los"),
+        F.sum(F.col("similarity") / los).alias("weighted_score"),
+        F.sum("treatment_count").alias("event_count_sum"),
+        F.array_join(F.array_sort(F.collect_set("hadm_id")).cast("array<string>"), ",").alias("supporting_hadm_ids"))
+    agg = agg.withColumn("score", F.col("frequency") / F.greatest(F.col("average_los"), F.lit(min_los)))
+    return (agg.orderBy(F.col("weighted_score").desc(), F.col("score").desc(), F.col("frequency").desc(),
+                        F.col("treatment_name").asc(), F.col("treatment_key").asc())
             .limit(int(top_n)))
