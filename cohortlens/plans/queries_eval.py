@@ -410,3 +410,50 @@ def q_neighbour_vote_metrics(spark, sf_dir):
     p = _vote(spark, sf_dir).withColumn("model", F.lit("neighbour_vote")).withColumn(
         "prediction", (F.col("score") >= 0.5).cast("int"))
     return _r6_all(evaluate.classification_metrics(p))
+
+
+# --- Spark ML model benchmark (no SQL oracle: rows-only check) ----------------------
+
+MODEL_SAMPLE = 5000
+_BENCH_CACHE: dict = {}
+
+
+def _model_bench(spark, sf_dir):
+    from cohortlens.operators.models import run_model_benchmark
+    key = (id(spark), sf_dir)
+    if key not in _BENCH_CACHE:
+        clin = Features(spark, sf_dir).clin
+        smp = evaluate.sample_by_hash(clin, MODEL_SAMPLE, 11).checkpoint()
+        _BENCH_CACHE[key] = run_model_benchmark(smp, "mortality")
+    return _BENCH_CACHE[key]
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    return _model_bench(spark, sf_dir)["comparison"].drop("fit_predict_seconds")
+
+
+@register("model_predictions")
+def q_model_predictions(spark, sf_dir):
+    return _model_bench(spark, sf_dir)["predictions"]
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    from cohortlens.operators.models import top_features
+    return top_features(_model_bench(spark, sf_dir)["importance"], 10)
+
+
+@register("best_model")
+def q_best_model(spark, sf_dir):
+    return _model_bench(spark, sf_dir)["best"].select("model", "roc_auc", "f1_score", "accuracy")
+
+
+@register("model_confusion")
+def q_model_confusion(spark, sf_dir):
+    return evaluate.confusion_matrix(_model_bench(spark, sf_dir)["predictions"])
+
+
+@register("model_residuals")
+def q_model_residuals(spark, sf_dir):
+    return evaluate.residual_histogram(_model_bench(spark, sf_dir)["predictions"], 30, "model")
