@@ -94,14 +94,15 @@ def latest_as_of(probes: DataFrame, daily: DataFrame) -> DataFrame:
     return same_month.unionByName(same_year).unionByName(by_year)
 
 
-def measurement_features(cohort: DataFrame, omr: DataFrame) -> DataFrame:
+def measurement_features(cohort: DataFrame, omr: DataFrame, lookback_days: int = 0) -> DataFrame:
     """One row per admission with tiered values.
 
     Tier 1 probes at the discharge day (a hit counts only if dated on or
     after the admission day); tier 2 probes at the day before admission,
     falling back to the subject's overall latest record.  Returns hadm_id
     plus height_inches, weight_lbs, bmi, systolic_bp, diastolic_bp and their
-    *_source columns.
+    *_source columns.  ``lookback_days`` > 0 widens the tier-1 window to
+    start that many days before admission (D5).
     """
     admit = F.to_date("admittime")
     bounds = F.array(F.struct(F.lit("t1").alias("kind"), F.to_date("dischtime").alias("b")),
@@ -121,7 +122,7 @@ def measurement_features(cohort: DataFrame, omr: DataFrame) -> DataFrame:
     for name, key in _KEYS.items():
         t1 = F.col(f"{key}_t1")
         # Tier 1 counts only when its latest in-stay row is on or after admission.
-        t1_ok = t1.isNotNull() & (-t1["neg_day"] >= F.unix_date(F.col("admit_day")))
+        t1_ok = t1.isNotNull() & (-t1["neg_day"] >= F.unix_date(F.col("admit_day")) - F.lit(int(lookback_days)))
         t1_val = F.when(t1_ok, t1["value"])
         t2_val = F.coalesce(F.col(f"{key}_t2"), F.col(f"{key}_overall"))["value"]
         value = F.when(t1_val.isNotNull(), t1_val).otherwise(t2_val)

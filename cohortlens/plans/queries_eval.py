@@ -457,3 +457,125 @@ def q_model_confusion(spark, sf_dir):
 @register("model_residuals")
 def q_model_residuals(spark, sf_dir):
     return evaluate.residual_histogram(_model_bench(spark, sf_dir)["predictions"], 30, "model")
+
+
+# --- documented operators (D1-D8) ----------------------------------------------------
+
+from cohortlens.operators import documented  # noqa: E402
+from cohortlens.operators.measurements import adult_cohort, measurement_features  # noqa: E402
+
+KNN2_CTES = r"""
+knn2 AS MATERIALIZED (
+  SELECT b.subject_id, b.hadm_id, b.age, coalesce(b.gender, 'unknown') AS gender, coalesce(b.race, 'unknown') AS race,
+         b.bmi, b.systolic_bp, b.diastolic_bp, b.los_days,
+         coalesce(d.primary_diagnosis_icd, '') AS primary_diagnosis_icd,
+         coalesce(d.primary_icd_3digit, '') AS primary_icd_3digit,
+         coalesce(d.diagnoses_icd_list, []) AS diagnoses_icd_list,
+         coalesce(d.diagnoses_3digit_list, []) AS diagnoses_3digit_list
+  FROM base b LEFT JOIN dx d ON b.subject_id = d.subject_id AND b.hadm_id = d.hadm_id),
+q2 AS (SELECT * FROM knn2 WHERE hadm_id = (SELECT min(hadm_id) FROM knn2)),
+pool AS (
+  SELECT c.*, coalesce(CAST(c.primary_diagnosis_icd = q2.primary_diagnosis_icd AS INTEGER), 0) AS primary_match,
+    len(list_intersect(q2.diagnoses_3digit_list, c.diagnoses_3digit_list)) AS group_overlap,
+    len(list_intersect(q2.diagnoses_icd_list, c.diagnoses_icd_list)) AS code_overlap,
+    coalesce(CAST(c.primary_icd_3digit = q2.primary_icd_3digit AS INTEGER), 0) AS primary_group_match,
+    abs(CAST(c.age AS DOUBLE) - CAST(q2.age AS DOUBLE)) AS age_distance,
+    (coalesce(exp(-pow((CAST(q2.age AS DOUBLE) - c.age) / 10.0, 2)), 0.5)
+     + coalesce(exp(-pow((q2.bmi - c.bmi) / 5.0, 2)), 0.5)
+     + coalesce(exp(-pow((q2.systolic_bp - c.systolic_bp) / 15.0, 2)), 0.5)
+     + coalesce(exp(-pow((q2.diastolic_bp - c.diastolic_bp) / 15.0, 2)), 0.5)
+     + coalesce(CAST(c.gender = q2.gender AS DOUBLE), 0.0) + coalesce(CAST(c.race = q2.race AS DOUBLE), 0.0)) / 6.0
+      AS context_similarity,
+    {jg} AS jg, {jc} AS jc
+  FROM knn2 c, q2 WHERE c.hadm_id <> q2.hadm_id
+  ORDER BY primary_match DESC, group_overlap DESC, code_overlap DESC, primary_group_match DESC,
+           age_distance ASC NULLS LAST, c.hadm_id ASC LIMIT 12000),
+reranked AS (
+  SELECT *, 0.50 * jg + 0.25 * jc + 0.15 * primary_match + 0.10 * context_similarity AS rerank_score
+  FROM pool ORDER BY rerank_score DESC, hadm_id ASC LIMIT 30)
+""".format(jg=jac_sql("q2.diagnoses_3digit_list", "c.diagnoses_3digit_list"),
+           jc=jac_sql("q2.diagnoses_icd_list", "c.diagnoses_icd_list"))
+
+
+def _two_stage(spark, sf_dir):
+    f = Features(spark, sf_dir)
+    return documented.two_stage_search(f.knn, None)
+
+
+@register("two_stage_search", with_ctes(BASE_CTES, DX_CTES, KNN2_CTES) + """
+SELECT hadm_id, primary_match, group_overlap, code_overlap, primary_group_match, round(age_distance, 6) AS age_distance,
+       round(context_similarity, 6) AS context_similarity, round(rerank_score, 6) AS rerank_score FROM reranked""")
+def q_two_stage_search(spark, sf_dir):
+    r = _two_stage(spark, sf_dir)
+    return _r6_all(r.select("hadm_id", "primary_match", "group_overlap", "code_overlap", "primary_group_match",
+                            "age_distance", "context_similarity", "rerank_score"))
+
+
+@register("pool_recommendations", with_ctes(BASE_CTES, DX_CTES, KNN2_CTES, TALL_CTE) + """
+, rows_ AS (SELECT t.*, r.rerank_score AS similarity, greatest(coalesce(CAST(r.los_days AS DOUBLE), 0.0), 1e-6) AS los
+            FROM reranked r JOIN tall t ON r.hadm_id = t.hadm_id
+            WHERE NOT (contains(lower(t.treatment_name), 'flush') OR contains(lower(t.treatment_name), 'bag'))),
+agg AS (SELECT treatment_source, treatment_key, treatment_name, count(DISTINCT hadm_id) AS frequency,
+               avg(los) AS average_los, sum(similarity / los) AS weighted_score,
+               CAST(sum(treatment_count) AS BIGINT) AS event_count_sum,
+               array_to_string(list_sort(list(DISTINCT hadm_id)), ',') AS supporting_hadm_ids
+        FROM rows_ GROUP BY 1, 2, 3)
+SELECT treatment_source, treatment_key, treatment_name, frequency, round(average_los, 6) AS average_los,
+       round(weighted_score, 6) AS weighted_score, event_count_sum, supporting_hadm_ids,
+       round(frequency / greatest(average_los, 1e-6), 6) AS score
+FROM agg ORDER BY weighted_score DESC, frequency / greatest(average_los, 1e-6) DESC, frequency DESC,
+         treatment_name ASC, treatment_key ASC LIMIT 5""")
+def q_pool_recommendations(spark, sf_dir):
+    f = Features(spark, sf_dir)
+    return _r6_all(documented.pool_recommendations(_two_stage(spark, sf_dir), f.tall))
+
+
+@register("readmission_30day", with_ctes() .rstrip().rstrip(",") + """
+SELECT a.hadm_id, a.subject_id,
+  CAST(EXISTS (SELECT 1 FROM admissions b WHERE b.subject_id = a.subject_id AND b.hadm_id <> a.hadm_id
+               AND b.admittime > a.dischtime AND b.admittime <= a.dischtime + INTERVAL 30 DAY) AS INTEGER)
+    AS readmission_30day
+FROM admissions a""")
+def q_readmission_30day(spark, sf_dir):
+    return documented.readmission_30day(Features(spark, sf_dir).raw.admissions)
+
+
+@register("base_features_lookback30", with_ctes(BASE_CTES.replace(
+    "o.chartdate >= CAST(c.admittime AS DATE) AND", "o.chartdate >= CAST(c.admittime AS DATE) - INTERVAL 30 DAY AND"))
+    + """
+SELECT hadm_id, height_inches, height_source, weight_lbs, weight_source, bmi, bmi_source, systolic_bp, systolic_source,
+       diastolic_bp, diastolic_source FROM base""")
+def q_base_features_lookback30(spark, sf_dir):
+    r = Features(spark, sf_dir).raw
+    return measurement_features(adult_cohort(r.patients, r.admissions), r.omr, lookback_days=30)
+
+
+@register("data_tiers", with_ctes(BASE_CTES, DX_CTES) + """
+SELECT similarity_tier, count(*) AS admissions FROM (
+  SELECT CASE WHEN coalesce(d.diagnosis_count, 0) > 0 AND b.bmi IS NOT NULL AND b.systolic_bp IS NOT NULL THEN 'full'
+              WHEN coalesce(d.diagnosis_count, 0) > 0 THEN 'diagnoses' ELSE 'demographics' END AS similarity_tier
+  FROM base b LEFT JOIN dx d ON b.hadm_id = d.hadm_id) t GROUP BY 1""")
+def q_data_tiers(spark, sf_dir):
+    f = Features(spark, sf_dir)
+    return documented.data_tiers(f.base, f.dx).groupBy("similarity_tier").agg(F.count(F.lit(1)).alias("admissions"))
+
+
+@register("early_window_labs", with_ctes(BASE_CTES) + """
+SELECT c.hadm_id, l.itemid, count(*) AS n_results, min(l.valuenum) AS min_value, max(l.valuenum) AS max_value
+FROM cohort c JOIN labevents l ON c.subject_id = l.subject_id AND l.valuenum IS NOT NULL
+ AND l.charttime >= c.admittime AND l.charttime < c.admittime + INTERVAL 24 HOUR
+GROUP BY 1, 2""")
+def q_early_window_labs(spark, sf_dir):
+    r = Features(spark, sf_dir).raw
+    return documented.early_window_labs(adult_cohort(r.patients, r.admissions), r.labevents, 24)
+
+
+@register("euclidean_neighbours", """
+WITH q AS (SELECT * FROM embeddings WHERE vec_id = (SELECT min(vec_id) FROM embeddings))
+SELECT e.vec_id, round(sqrt(list_sum(list_transform(list_zip(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])),
+                                                  lambda p: (p[1] - p[2]) * (p[1] - p[2])))), 6) AS distance
+FROM embeddings e, q WHERE e.vec_id <> q.vec_id
+ORDER BY distance ASC, e.vec_id ASC LIMIT 10""")
+def q_euclidean_neighbours(spark, sf_dir):
+    emb = Features(spark, sf_dir).table("embeddings")
+    return _r6_all(documented.euclidean_neighbours(emb, None, 10))
