@@ -1,0 +1 @@
+"""cohortlens: similar-case analytics as Spark DataFrame jobs."""
