@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import glob
+import hashlib
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,41 +17,80 @@ from cohortlens.operators.treatments import (treatment_features_capped, treatmen
 from cohortlens.sources.tpch import raw_tables, read_table
 
 
+# Bump when a feature-table definition changes, so stored tables are rebuilt.
+TABLE_VERSION = "1"
+
+
+def _input_stamp(sf_dir: str) -> str:
+    """Key of an input folder: path plus size and modification time of its files."""
+    parts = [os.path.abspath(sf_dir), TABLE_VERSION]
+    for f in sorted(glob.glob(os.path.join(sf_dir, "*.parquet"))):
+        st = os.stat(f)
+        parts.append(f"{os.path.basename(f)}:{st.st_size}:{int(st.st_mtime)}")
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Existence test through Hadoop's FileSystem (local, HDFS or object store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 class Features:
-    """Every attribute is a lazy DataFrame; nothing runs until an action."""
+    """Feature tables over the driver's data.
+
+    With ``materialize=False`` every attribute is a lazy plan from the raw
+    tables.  With ``materialize=True`` (the default for downstream queries)
+    the three feature tables are written once as Parquet under the cluster's
+    shared ``spark.checkpoint.dir`` and read back, like the reference's
+    persisted feature tables: searches and evaluations then scan a built
+    table instead of rebuilding it from raw events."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialize = materialize
         self.raw = raw_tables(spark, sf_dir)
 
+    def _stored(self, name: str, build) -> DataFrame:
+        if not self.materialize:
+            return build()
+        from cohortlens.session import ensure_checkpoint_dir
+        root = ensure_checkpoint_dir(self.spark)
+        path = f"{root.rstrip('/')}/cohortlens-tables/{_input_stamp(self.sf_dir)}/{name}"
+        if not _exists(self.spark, f"{path}/_SUCCESS"):
+            build().write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
     @cached_property
     def base(self) -> DataFrame:
         r = self.raw
-        return base_features(r.patients, r.admissions, r.omr)
+        return self._stored("base", lambda: base_features(r.patients, r.admissions, r.omr))
 
     @cached_property
     def dx(self) -> DataFrame:
         r = self.raw
-        return diagnosis_features(r.diagnoses_icd, self.base, r.d_icd_diagnoses)
+        return self._stored("dx", lambda: diagnosis_features(r.diagnoses_icd, self.base, r.d_icd_diagnoses))
 
     @cached_property
     def tr(self) -> DataFrame:
         r = self.raw
-        return treatment_features_minmax(r.prescriptions, r.procedures_icd, r.d_icd_procedures, self.base)
+        return self._stored("tr", lambda: treatment_features_minmax(r.prescriptions, r.procedures_icd,
+                                                                    r.d_icd_procedures, self.base))
 
     @cached_property
-    def tr_capped(self) -> DataFrame:
+    def tall(self) -> DataFrame:
         r = self.raw
-        return treatment_features_capped(r.prescriptions, r.procedures_icd, r.d_icd_procedures)
+        return self._stored("tall", lambda: treatment_tall(r.prescriptions, r.procedures_icd, r.d_icd_procedures))
 
     @cached_property
-    def tall(self) -> DataFrame:
+    def tr_capped(self) -> DataFrame:
         r = self.raw
-        return treatment_tall(r.prescriptions, r.procedures_icd, r.d_icd_procedures)
+        return treatment_features_capped(r.prescriptions, r.procedures_icd, r.d_icd_procedures)
 
     @cached_property
     def clin(self) -> DataFrame:
