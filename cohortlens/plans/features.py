@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.operators.codes import diagnosis_features
 from cohortlens.operators.dataset import clinical_dataset, joined_dataset, knn_dataset
-from cohortlens.operators.measurements import base_features
+from cohortlens.operators.measurements import adult_cohort, base_features
 from cohortlens.operators.treatments import (treatment_features_capped, treatment_features_minmax,
                                              treatment_tall)
 from cohortlens.sources.tpch import raw_tables, read_table
@@ -66,6 +66,14 @@ class Features:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
+    @cached_property
+    def cohort(self) -> DataFrame:
+        """Adult valid-stay admissions: the same id set as ``base`` (which is
+        this cohort left-joined to its measurements), without the
+        measurement pipeline; used to restrict events to the cohort."""
+        r = self.raw
+        return adult_cohort(r.patients, r.admissions).select("hadm_id", "subject_id")
+
     @cached_property
     def base(self) -> DataFrame:
         r = self.raw
@@ -74,13 +82,13 @@ class Features:
     @cached_property
     def dx(self) -> DataFrame:
         r = self.raw
-        return self._stored("dx", lambda: diagnosis_features(r.diagnoses_icd, self.base, r.d_icd_diagnoses))
+        return self._stored("dx", lambda: diagnosis_features(r.diagnoses_icd, self.cohort, r.d_icd_diagnoses))
 
     @cached_property
     def tr(self) -> DataFrame:
         r = self.raw
         return self._stored("tr", lambda: treatment_features_minmax(r.prescriptions, r.procedures_icd,
-                                                                    r.d_icd_procedures, self.base))
+                                                                    r.d_icd_procedures, self.cohort))
 
     @cached_property
     def tall(self) -> DataFrame:
