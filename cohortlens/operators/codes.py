@@ -37,7 +37,7 @@ def diagnosis_features(diagnoses_icd: DataFrame, base: DataFrame, dictionary: Da
     agg = d.groupBy("hadm_id", "subject_id").agg(
         first.alias("p"), titled.alias("pt"),
         F.count(F.lit(1)).alias("diagnosis_count"),
-        F.count_distinct("icd_code").alias("unique_icd_count"),
+        F.size(F.collect_set("icd_code")).cast("long").alias("unique_icd_count"),
         F.array_sort(F.collect_set("icd_code")).alias("diagnoses_icd_list"),
         F.array_sort(F.collect_set("grp")).alias("diagnoses_3digit_list"),
         F.min("icd_version").alias("vmin"), F.max("icd_version").alias("vmax"))

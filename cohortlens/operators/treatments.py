@@ -39,14 +39,14 @@ def treatment_features_capped(prescriptions: DataFrame, procedures_icd: DataFram
     rx_f = rx.groupBy("subject_id", "hadm_id").agg(
         F.array_sort(F.collect_set(F.lower("drug"))).alias("rx_drug_list"),
         F.array_sort(F.collect_set("route")).alias("rx_routes_list"),
-        F.count_distinct("route").alias("route_diversity"),
+        F.size(F.collect_set("route")).cast("long").alias("route_diversity"),
         F.array_sort(F.collect_set("drug_type")).alias("rx_drug_types"),
         F.count(F.lit(1)).alias("rx_total_count"),
-        F.count_distinct(F.lower("drug")).alias("rx_unique_drugs"),
-        F.count_distinct("formulary_drug_cd").alias("rx_unique_formulary_drugs"),
+        F.size(F.collect_set(F.lower("drug"))).cast("long").alias("rx_unique_drugs"),
+        F.size(F.collect_set("formulary_drug_cd")).cast("long").alias("rx_unique_formulary_drugs"),
         F.count_if(iv).alias("rx_iv_count"),
         F.count_if(oral).alias("rx_oral_count"),
-        F.count_distinct(F.to_date("starttime")).alias("treatment_days"),
+        F.size(F.collect_set(F.to_date("starttime"))).cast("long").alias("treatment_days"),
         F.avg((_seconds("stoptime") - _seconds("starttime")) / F.lit(86400.0)).alias("avg_dur"))
     rx_f = (rx_f.withColumn("rx_iv_ratio", F.round(F.try_divide(F.col("rx_iv_count").cast("double"),
                                                                  F.col("rx_total_count").cast("double")), 2))
@@ -61,7 +61,7 @@ def treatment_features_capped(prescriptions: DataFrame, procedures_icd: DataFram
         F.array_join(F.array_sort(F.collect_set(F.col("icd_version").cast("string"))), ",")
         .alias("proc_icd_versions"),
         F.count(F.lit(1)).alias("proc_count"),
-        F.count_distinct(F.substring("icd_code", 1, 3)).alias("proc_group_count"),
+        F.size(F.collect_set(F.substring("icd_code", 1, 3))).cast("long").alias("proc_group_count"),
         F.count_if(F.coalesce(v9_surgery | v10_surgery, F.lit(False))).alias("surgery_count"))
 
     t = proc_f.join(rx_f, ["hadm_id", "subject_id"])
@@ -123,11 +123,11 @@ def treatment_features_minmax(prescriptions: DataFrame, procedures_icd: DataFram
         F.min("subject_id").alias("rx_subject_id"),
         F.array_sort(F.collect_set("drug_name")).alias("rx_drug_list"),
         F.array_sort(F.collect_set("route_name")).alias("rx_routes_list"),
-        F.count_distinct("route_name").alias("route_diversity"),
+        F.size(F.collect_set("route_name")).cast("long").alias("route_diversity"),
         F.array_sort(F.collect_set("drug_type_name")).alias("rx_drug_types"),
         F.count(F.lit(1)).alias("rx_total_count"),
-        F.count_distinct("drug_name").alias("rx_unique_drugs"),
-        F.count_distinct("formulary_drug_cd").alias("rx_unique_formulary_drugs"),
+        F.size(F.collect_set("drug_name")).cast("long").alias("rx_unique_drugs"),
+        F.size(F.collect_set("formulary_drug_cd")).cast("long").alias("rx_unique_formulary_drugs"),
         F.sum("is_iv").cast("long").alias("rx_iv_count"),
         F.sum("is_oral").cast("long").alias("rx_oral_count"),
         F.coalesce(F.greatest(F.datediff(F.max(F.to_date("rx_stop")), F.min(F.to_date("rx_start"))) + 1,
@@ -152,7 +152,7 @@ def treatment_features_minmax(prescriptions: DataFrame, procedures_icd: DataFram
         F.array_sort(F.collect_set("proc_group")).alias("proc_icd_list"),
         F.array_sort(F.collect_set(F.col("icd_version").cast("string"))).alias("proc_version_list"),
         F.count(F.lit(1)).alias("proc_count"),
-        F.count_distinct("proc_group").alias("proc_group_count"),
+        F.size(F.collect_set("proc_group")).cast("long").alias("proc_group_count"),
         F.sum(F.col("is_surgery").cast("int")).cast("long").alias("surgery_count"),
     ]
     if include_raw_columns:
@@ -217,5 +217,5 @@ def treatment_summary(tall: DataFrame) -> DataFrame:
     return tall.groupBy("hadm_id").agg(
         F.count(F.lit(1)).alias("treatment_row_count"),
         F.coalesce(F.sum("treatment_count"), F.count(F.lit(1))).alias("treatment_event_count"),
-        F.count_distinct("treatment_key").alias("unique_treatment_count"),
-        F.count_distinct("treatment_source").alias("unique_treatment_source_count"))
+        F.size(F.collect_set("treatment_key")).cast("long").alias("unique_treatment_count"),
+        F.size(F.collect_set("treatment_source")).cast("long").alias("unique_treatment_source_count"))
