@@ -73,9 +73,9 @@ def latest_as_of(probes: DataFrame, daily: DataFrame) -> DataFrame:
 
     Three equi-joins with bounded fan-out replace a join of every admission
     with every record of its subject: records of b's own month (<= 31 days),
-    month summaries of b's year (<= 11) and year summaries.  The year join
-    also yields each subject's overall latest record (kind ``overall``, only
-    needed for the tier-2 probes).  Returns (hadm_id, admit_day, kind,
+    month summaries of b's year (<= 11) and summaries of earlier years.  Tier-2
+    probes also get each subject's overall latest record per type (kind
+    ``overall``) from a per-(subject, type) aggregate.  Returns (hadm_id, admit_day, kind,
     result_name, ord); the minimum ``ord`` per group is the latest record.
     """
     p = probes.select("hadm_id", "admit_day", "subject_id", "kind", "b",
@@ -87,11 +87,12 @@ def latest_as_of(probes: DataFrame, daily: DataFrame) -> DataFrame:
                          & (p.b_mo == daily.mo) & (daily.chartdate <= p.b)).select(*out))
     same_year = (p.join(monthly, (p.subject_id == monthly.subject_id) & (p.b_yr == monthly.yr)
                         & (monthly.mo < p.b_mo)).select(*out))
-    kinds = F.filter(F.array(F.when(F.col("yr") < F.col("b_yr"), F.col("kind")),
-                             F.when(F.col("kind") == "t2", F.lit("overall"))), lambda k: k.isNotNull())
-    by_year = (p.join(yearly, p.subject_id == yearly.subject_id)
-               .select("hadm_id", "admit_day", F.explode(kinds).alias("kind"), "result_name", "ord"))
-    return same_month.unionByName(same_year).unionByName(by_year)
+    by_year = p.join(yearly, (p.subject_id == yearly.subject_id) & (yearly.yr < p.b_yr)).select(*out)
+    # Overall latest per (subject, type): one row per type, only for tier-2 probes.
+    per_subject = yearly.groupBy("subject_id", "result_name").agg(F.min("ord").alias("ord"))
+    overall = (p.filter(F.col("kind") == "t2").join(per_subject, "subject_id")
+               .select("hadm_id", "admit_day", F.lit("overall").alias("kind"), "result_name", "ord"))
+    return same_month.unionByName(same_year).unionByName(by_year).unionByName(overall)
 
 
 def measurement_features(cohort: DataFrame, omr: DataFrame, lookback_days: int = 0) -> DataFrame:
