@@ -136,35 +136,56 @@ def recommend_from_neighbours(neighbours: DataFrame, tall: DataFrame, top_n: int
 
 
 def complete_profile(profiles: DataFrame, knn: DataFrame) -> DataFrame:
-    """P18 + P19: fill groups as UNK_xxx when absent, keep only codes and
-    groups seen in the cohort vocabulary, derive counts and flags.
-
-    The vocabulary is the distinct exploded codes (a shuffle on the code);
-    profiles are matched to it with a semi join after exploding, then
-    re-collected per profile."""
-    p = profiles.withColumn("diagnoses_icd_list", F.coalesce("diagnoses_icd_list", F.array().cast("array<string>")))
+    """P18 + P19: complete a batch of profiles against the cohort vocabulary.
+
+    Groups default to ``UNK_`` + first three characters of each code when
+    absent; counts and the diversity ratio are derived from the list when
+    absent; only codes, groups, genders and races seen in the cohort count
+    for the one-hot / multi-hot part (unknown ones give the zero vector).
+    Vocabularies are distinct exploded values (a shuffle on the value);
+    profiles are matched by exploding and a semi join, then re-collected."""
+    empty = F.array().cast("array<string>")
+    p = profiles.withColumn("diagnoses_icd_list", F.array_distinct(F.coalesce("diagnoses_icd_list", empty)))
     derived = F.transform("diagnoses_icd_list", lambda c: F.concat(F.lit("UNK_"), F.substring(c, 1, 3)))
     p = p.withColumn("diagnoses_3digit_list",
-                     F.when(F.size(F.coalesce("diagnoses_3digit_list", F.array())) == 0, derived)
-                     .otherwise(F.col("diagnoses_3digit_list")))
-    vocab_codes = knn.select(F.explode("diagnoses_icd_list").alias("item")).distinct()
-    vocab_groups = knn.select(F.explode("diagnoses_3digit_list").alias("item")).distinct()
-    codes = (p.select("profile_id", F.explode("diagnoses_icd_list").alias("item"))
-             .join(vocab_codes, "item", "left_semi")
-             .groupBy("profile_id").agg(F.array_sort(F.collect_set("item")).alias("known_codes")))
-    groups = (p.select("profile_id", F.explode("diagnoses_3digit_list").alias("item"))
-              .join(vocab_groups, "item", "left_semi")
-              .groupBy("profile_id").agg(F.array_sort(F.collect_set("item")).alias("known_groups")))
-    out = p.join(codes, "profile_id", "left").join(groups, "profile_id", "left")
-    n_codes = F.size(F.array_distinct("diagnoses_icd_list"))
+                     F.when(F.size(F.coalesce("diagnoses_3digit_list", empty)) == 0, F.array_distinct(derived))
+                     .otherwise(F.array_distinct("diagnoses_3digit_list")))
+
+    def known(list_col: str, vocab_col: str, out: str) -> DataFrame:
+        vocab = knn.select(F.explode(vocab_col).alias("item")).distinct()
+        return (p.select("profile_id", F.explode(list_col).alias("item")).join(vocab, "item", "left_semi")
+                .groupBy("profile_id").agg(F.array_sort(F.collect_set("item")).alias(out)))
+
+    genders = knn.select(F.col("gender").alias("g_known")).distinct()
+    races = knn.select(F.col("race").alias("r_known")).distinct()
+    out = (p.join(known("diagnoses_icd_list", "diagnoses_icd_list", "known_codes"), "profile_id", "left")
+           .join(known("diagnoses_3digit_list", "diagnoses_3digit_list", "known_groups"), "profile_id", "left")
+           .withColumn("gender", F.coalesce("gender", F.lit("unknown")))
+           .withColumn("race", F.coalesce("race", F.lit("unknown")))
+           .join(genders, F.col("gender") == F.col("g_known"), "left")
+           .join(races, F.col("race") == F.col("r_known"), "left"))
+    n_list = F.size("diagnoses_icd_list")
     return out.select(
-        "profile_id", "age", F.coalesce("gender", F.lit("unknown")).alias("gender"),
-        F.coalesce("race", F.lit("unknown")).alias("race"), "bmi", "systolic_bp", "diastolic_bp",
+        "profile_id", "age", "gender", "race", "bmi", "systolic_bp", "diastolic_bp",
         "diagnoses_icd_list", "diagnoses_3digit_list",
-        F.coalesce("known_codes", F.array().cast("array<string>")).alias("known_codes"),
-        F.coalesce("known_groups", F.array().cast("array<string>")).alias("known_groups"),
-        F.coalesce("diagnosis_count", F.size("diagnoses_icd_list").cast("long")).alias("diagnosis_count"),
-        F.coalesce("unique_icd_count", n_codes.cast("long")).alias("unique_icd_count"),
-        F.try_divide(n_codes.cast("double"), F.size("diagnoses_icd_list").cast("double"))
+        F.coalesce("known_codes", empty).alias("known_codes"),
+        F.coalesce("known_groups", empty).alias("known_groups"),
+        F.coalesce("diagnosis_count", n_list.cast("long")).alias("diagnosis_count"),
+        F.coalesce("unique_icd_count", n_list.cast("long")).alias("unique_icd_count"),
+        F.coalesce(F.try_divide(n_list.cast("double"), n_list.cast("double")), F.lit(0.0))
         .alias("diagnosis_diversity_ratio"),
-        F.element_at("diagnoses_icd_list", 1).alias("primary_diagnosis_icd"))
+        F.element_at("diagnoses_icd_list", 1).alias("primary_diagnosis_icd"),
+        F.col("g_known").isNotNull().cast("int").alias("gender_known"),
+        F.col("r_known").isNotNull().cast("int").alias("race_known"))
+
+
+def knn_for_profile(knn: DataFrame, profile: dict, k: int = DEFAULT_NEIGHBOURS, stats=None) -> DataFrame:
+    """M3 for one completed profile (a row of :func:`complete_profile`):
+    the k nearest admissions, ties by id; nothing is excluded."""
+    stats = stats or scaling_stats(knn)[0]
+    q = dict(profile)
+    q["diagnoses_icd_list"], q["diagnoses_3digit_list"] = q["known_codes"], q["known_groups"]
+    q["_gender_known"], q["_race_known"] = q["gender_known"], q["race_known"]
+    scored = cosine_scores(knn, q, stats)
+    return (scored.orderBy(F.col("distance").asc(), F.col("hadm_id").asc()).limit(int(k))
+            .select("hadm_id", "subject_id", "distance", "similarity", "los_days"))

@@ -579,3 +579,50 @@ ORDER BY distance ASC, e.vec_id ASC LIMIT 10""")
 def q_euclidean_neighbours(spark, sf_dir):
     emb = Features(spark, sf_dir).table("embeddings")
     return _r6_all(documented.euclidean_neighbours(emb, None, 10))
+
+
+# --- profile search (S8, P18, P19) ---------------------------------------------------
+
+@register("profile_knn", with_ctes(BASE_CTES, DX_CTES, KNN_CTES.split("\nq AS (")[0]) + """
+, src AS (SELECT * FROM z WHERE hadm_id = (SELECT max(hadm_id) FROM z)),
+qp AS (SELECT s.*, len(s.diagnoses_icd_list) AS n_codes,
+              (CAST(coalesce(s.age, m.m_age) AS DOUBLE) - st.a_age) / st.s_age AS qz_age,
+              (coalesce(s.bmi, m.m_bmi) - st.a_bmi) / st.s_bmi AS qz_bmi,
+              (coalesce(s.systolic_bp, m.m_systolic_bp) - st.a_systolic_bp) / st.s_systolic_bp AS qz_systolic_bp,
+              (coalesce(s.diastolic_bp, m.m_diastolic_bp) - st.a_diastolic_bp) / st.s_diastolic_bp AS qz_diastolic_bp,
+              (len(s.diagnoses_icd_list) - st.a_diagnosis_count) / st.s_diagnosis_count AS qz_diagnosis_count,
+              (len(s.diagnoses_icd_list) - st.a_unique_icd_count) / st.s_unique_icd_count AS qz_unique_icd_count,
+              ((CASE WHEN len(s.diagnoses_icd_list) > 0 THEN 1.0 ELSE 0.0 END) - st.a_diagnosis_diversity_ratio)
+                / st.s_diagnosis_diversity_ratio AS qz_diagnosis_diversity_ratio
+       FROM src s, med m, st),
+ps AS (
+  SELECT c.hadm_id, c.subject_id, c.los_days,
+    (qp.qz_age * c.z_age + qp.qz_bmi * c.z_bmi + qp.qz_systolic_bp * c.z_systolic_bp
+     + qp.qz_diastolic_bp * c.z_diastolic_bp + qp.qz_diagnosis_count * c.z_diagnosis_count
+     + qp.qz_unique_icd_count * c.z_unique_icd_count + qp.qz_diagnosis_diversity_ratio * c.z_diagnosis_diversity_ratio
+     + CAST(c.gender = qp.gender AS DOUBLE) + CAST(c.race = qp.race AS DOUBLE)
+     + len(list_intersect(qp.diagnoses_icd_list, c.diagnoses_icd_list)))
+    / (sqrt(c.z_age * c.z_age + c.z_bmi * c.z_bmi + c.z_systolic_bp * c.z_systolic_bp
+            + c.z_diastolic_bp * c.z_diastolic_bp + c.z_diagnosis_count * c.z_diagnosis_count
+            + c.z_unique_icd_count * c.z_unique_icd_count + c.z_diagnosis_diversity_ratio * c.z_diagnosis_diversity_ratio
+            + 2 + len(c.diagnoses_3digit_list) + len(c.diagnoses_icd_list))
+       * sqrt(qp.qz_age * qp.qz_age + qp.qz_bmi * qp.qz_bmi + qp.qz_systolic_bp * qp.qz_systolic_bp
+              + qp.qz_diastolic_bp * qp.qz_diastolic_bp + qp.qz_diagnosis_count * qp.qz_diagnosis_count
+              + qp.qz_unique_icd_count * qp.qz_unique_icd_count
+              + qp.qz_diagnosis_diversity_ratio * qp.qz_diagnosis_diversity_ratio + 2 + qp.n_codes)) AS cosine
+  FROM z c, qp)
+SELECT hadm_id, subject_id, round(1.0 - cosine, 6) AS distance, round(least(greatest(cosine, 0.0), 1.0), 6) AS similarity,
+       los_days FROM ps ORDER BY 1.0 - cosine ASC, hadm_id ASC LIMIT 7""")
+def q_profile_knn(spark, sf_dir):
+    """A profile batch read from JSON (here: the newest admission rendered to
+    JSON and parsed back with the declared schema), completed against the
+    cohort vocabulary, then searched."""
+    from cohortlens.sources.io import PROFILE_SCHEMA
+    knn = Features(spark, sf_dir).knn
+    src = knn.orderBy(F.col("hadm_id").desc()).limit(1)
+    js = src.select(F.to_json(F.struct(
+        F.lit(1).cast("long").alias("profile_id"), F.col("age").cast("double").alias("age"), "gender", "race",
+        "bmi", "systolic_bp", "diastolic_bp", "diagnoses_icd_list")).alias("json"))
+    profiles = js.select(F.from_json("json", PROFILE_SCHEMA).alias("p")).select("p.*")
+    done = cosine.complete_profile(profiles, knn).first().asDict()
+    return _r6_all(cosine.knn_for_profile(knn, done, k=7))
