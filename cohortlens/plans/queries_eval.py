@@ -626,3 +626,34 @@ def q_profile_knn(spark, sf_dir):
     profiles = js.select(F.from_json("json", PROFILE_SCHEMA).alias("p")).select("p.*")
     done = cosine.complete_profile(profiles, knn).first().asDict()
     return _r6_all(cosine.knn_for_profile(knn, done, k=7))
+
+
+# --- dataset summary and feature checks (A25, A31) -------------------------------------
+
+@register("dataset_summary", with_ctes(BASE_CTES, DX_CTES) + f"""
+, j AS (SELECT b.*, d.primary_diagnosis_icd, d.diagnosis_count, d.diagnoses_icd_list, d.diagnoses_3digit_list
+        FROM base b JOIN dx d ON b.hadm_id = d.hadm_id),
+q AS (SELECT * FROM j WHERE hadm_id = (SELECT min(hadm_id) FROM j)),
+s AS (SELECT c.*, 0.40 * coalesce(CAST(c.primary_diagnosis_icd = q.primary_diagnosis_icd AS DOUBLE), 0.0)
+                 + 0.35 * {jac_sql('q.diagnoses_icd_list', 'c.diagnoses_icd_list')}
+                 + 0.25 * {jac_sql('q.diagnoses_3digit_list', 'c.diagnoses_3digit_list')} AS sim FROM j c, q)
+SELECT count(*) AS row_count, count(DISTINCT subject_id) AS unique_subjects,
+       round(avg(CAST(mortality AS DOUBLE)), 6) AS mortality_rate, round(avg(los_days), 6) AS mean_los_days,
+       round(avg(diagnosis_count), 6) AS mean_diagnosis_count, round(min(sim), 6) AS min_similarity,
+       round(avg(sim), 6) AS mean_similarity, round(max(sim), 6) AS max_similarity FROM s""")
+def q_dataset_summary(spark, sf_dir):
+    from cohortlens.operators.similarity import diagnosis_similarity_expr, lookup_row
+    f = Features(spark, sf_dir)
+    j = joined_dataset(f.base, f.dx, None)
+    q = lookup_row(j, "hadm_id", None, columns=["hadm_id", "primary_diagnosis_icd", "diagnoses_icd_list",
+                                                 "diagnoses_3digit_list"])
+    return _r6_all(evaluate.dataset_summary(j, q, diagnosis_similarity_expr(q)))
+
+
+@register("knn_feature_missing", with_ctes(BASE_CTES, DX_CTES, KNN_CTES.split("\nmed AS (")[0]) + """
+SELECT """ + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL OR isnan(CAST({c} AS DOUBLE))) AS {c}_missing"
+                       for c in cosine.KNN_NUMERIC) + " FROM knn")
+def q_knn_feature_missing(spark, sf_dir):
+    knn = Features(spark, sf_dir).knn
+    return quality.nan_check(knn.select(*[F.col(c).cast("double").alias(c) for c in cosine.KNN_NUMERIC]),
+                             cosine.KNN_NUMERIC)
