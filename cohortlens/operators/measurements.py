@@ -17,7 +17,7 @@ year (<= 11) and earlier years.  All reductions are partial aggregates
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.expr import bp_parts
@@ -72,24 +72,42 @@ def latest_as_of(probes: DataFrame, daily: DataFrame) -> DataFrame:
     and measurement type, candidate records dated on or before b.
 
     Three equi-joins with bounded fan-out replace a join of every admission
-    with every record of its subject: records of b's own month (<= 31 days),
-    month summaries of b's year (<= 11) and summaries of earlier years.  Tier-2
-    probes also get each subject's overall latest record per type (kind
-    ``overall``) from a per-(subject, type) aggregate.  Returns (hadm_id, admit_day, kind,
-    result_name, ord); the minimum ``ord`` per group is the latest record.
+    with every record of its subject:
+
+    * records of b's own month dated on or before b (<= 31 per type);
+    * the running latest over the earlier months of b's year: a prefix table
+      over (subject, type, year) ordered by month (a window of <= 12 rows),
+      where each row is valid for bound months up to the next data month, so
+      a probe matches exactly one row per type;
+    * the same over earlier years (a window over the calendar span).
+
+    Tier-2 probes also get each subject's overall latest record per type
+    (kind ``overall``) from a per-(subject, type) aggregate.  Returns
+    (hadm_id, admit_day, kind, result_name, ord); the minimum ``ord`` per
+    group is the latest record.
     """
     p = probes.select("hadm_id", "admit_day", "subject_id", "kind", "b",
                       F.year("b").alias("b_yr"), F.month("b").alias("b_mo"))
-    monthly = daily.groupBy("subject_id", "result_name", "yr", "mo").agg(F.min("ord").alias("ord"))
-    yearly = monthly.groupBy("subject_id", "result_name", "yr").agg(F.min("ord").alias("ord"))
+    monthly = daily.groupBy("subject_id", "result_name", "yr", "mo").agg(F.min("ord").alias("m_ord"))
+    yearly = monthly.groupBy("subject_id", "result_name", "yr").agg(F.min("m_ord").alias("y_ord"))
+    w_mo = Window.partitionBy("subject_id", "result_name", "yr").orderBy("mo")
+    m_prefix = monthly.select("subject_id", "result_name", "yr", "mo",
+                              F.min("m_ord").over(w_mo.rowsBetween(Window.unboundedPreceding, 0)).alias("ord"),
+                              F.lead("mo").over(w_mo).alias("next_mo"))
+    w_yr = Window.partitionBy("subject_id", "result_name").orderBy("yr")
+    y_prefix = yearly.select("subject_id", "result_name", "yr",
+                             F.min("y_ord").over(w_yr.rowsBetween(Window.unboundedPreceding, 0)).alias("ord"),
+                             F.lead("yr").over(w_yr).alias("next_yr"))
     out = ["hadm_id", "admit_day", "kind", "result_name", "ord"]
     same_month = (p.join(daily, (p.subject_id == daily.subject_id) & (p.b_yr == daily.yr)
                          & (p.b_mo == daily.mo) & (daily.chartdate <= p.b)).select(*out))
-    same_year = (p.join(monthly, (p.subject_id == monthly.subject_id) & (p.b_yr == monthly.yr)
-                        & (monthly.mo < p.b_mo)).select(*out))
-    by_year = p.join(yearly, (p.subject_id == yearly.subject_id) & (yearly.yr < p.b_yr)).select(*out)
-    # Overall latest per (subject, type): one row per type, only for tier-2 probes.
-    per_subject = yearly.groupBy("subject_id", "result_name").agg(F.min("ord").alias("ord"))
+    same_year = (p.join(m_prefix, (p.subject_id == m_prefix.subject_id) & (p.b_yr == m_prefix.yr)
+                        & (m_prefix.mo < p.b_mo) & (m_prefix.next_mo.isNull() | (p.b_mo <= m_prefix.next_mo)))
+                 .select(*out))
+    by_year = (p.join(y_prefix, (p.subject_id == y_prefix.subject_id) & (y_prefix.yr < p.b_yr)
+                      & (y_prefix.next_yr.isNull() | (p.b_yr <= y_prefix.next_yr)))
+               .select(*out))
+    per_subject = yearly.groupBy("subject_id", "result_name").agg(F.min("y_ord").alias("ord"))
     overall = (p.filter(F.col("kind") == "t2").join(per_subject, "subject_id")
                .select("hadm_id", "admit_day", F.lit("overall").alias("kind"), "result_name", "ord"))
     return same_month.unionByName(same_year).unionByName(by_year).unionByName(overall)
