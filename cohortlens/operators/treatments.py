@@ -219,3 +219,25 @@ def treatment_summary(tall: DataFrame) -> DataFrame:
         F.coalesce(F.sum("treatment_count"), F.count(F.lit(1))).alias("treatment_event_count"),
         F.size(F.collect_set("treatment_key")).cast("long").alias("unique_treatment_count"),
         F.size(F.collect_set("treatment_source")).cast("long").alias("unique_treatment_source_count"))
+
+
+AGGREGATED_REQUIRED = ["hadm_id", "rx_drug_list", "proc_icd_list", "rx_unique_drugs", "proc_count",
+                       "treatment_days", "surgery_count", "rx_iv_ratio"]
+
+
+def load_treatment_features(existing: DataFrame | None, prescriptions: DataFrame, procedures_icd: DataFrame,
+                            d_icd_procedures: DataFrame, cohort: DataFrame) -> DataFrame:
+    """Use an existing aggregated treatment table when it has the required
+    columns (lists canonicalised, complexity recomputed when absent); else
+    derive the table from the raw events."""
+    from cohortlens.functions.expr import canonical_set
+    from cohortlens.sources.io import has_columns
+    if existing is not None and has_columns(existing, AGGREGATED_REQUIRED):
+        t = existing
+        for c in ("rx_drug_list", "proc_icd_list", "procedure_list", "rx_routes_list", "rx_drug_types"):
+            if c in t.columns:
+                t = t.withColumn(c, canonical_set(c))
+        if "treatment_complexity_score" not in t.columns or "treatment_intensity_label" not in t.columns:
+            t = with_minmax_complexity(t.drop("treatment_complexity_score", "treatment_intensity_label"))
+        return t
+    return treatment_features_minmax(prescriptions, procedures_icd, d_icd_procedures, cohort)
