@@ -128,7 +128,10 @@ def measurement_features(cohort: DataFrame, omr: DataFrame, lookback_days: int =
                      F.struct(F.lit("t2").alias("kind"), F.date_sub(admit, 1).alias("b")))
     probes = (cohort.select("hadm_id", "subject_id", admit.alias("admit_day"), F.explode(bounds).alias("pb"))
               .select("hadm_id", "subject_id", "admit_day", "pb.kind", "pb.b"))
-    cands = latest_as_of(probes, daily_latest(omr))
+    # The daily table feeds three branches that prune columns differently, so
+    # Spark cannot reuse one exchange for them; write it once to the shared
+    # checkpoint folder (this also cuts the lineage back to the raw scans).
+    cands = latest_as_of(probes, daily_latest(omr).checkpoint())
     aggs = []
     for name, key in _KEYS.items():
         for kind in ("t1", "t2", "overall"):
@@ -161,7 +164,9 @@ def measurement_features(cohort: DataFrame, omr: DataFrame, lookback_days: int =
 def base_features(patients: DataFrame, admissions: DataFrame, omr: DataFrame,
                   min_age: int = 18) -> DataFrame:
     """The ``cdss_base`` table: one row per adult admission."""
-    cohort = adult_cohort(patients, admissions, min_age)
+    # The cohort feeds the probes of every as-of branch and the final join:
+    # computed once (checkpoint) instead of once per branch.
+    cohort = adult_cohort(patients, admissions, min_age).checkpoint()
     feats = measurement_features(cohort, omr)
     los_exact = ((F.unix_micros(F.col("dischtime").cast("timestamp"))
                   - F.unix_micros(F.col("admittime").cast("timestamp"))) / F.lit(86_400_000_000.0))
