@@ -116,7 +116,8 @@ def _clean_procedures(procedures_icd: DataFrame, cohort_ids: DataFrame, d_icd_pr
 
 def treatment_features_minmax(prescriptions: DataFrame, procedures_icd: DataFrame, d_icd_procedures: DataFrame,
                               base: DataFrame, include_raw_columns: bool = False) -> DataFrame:
-    cohort_ids = base.select("hadm_id")
+    # The cohort ids restrict both event branches: computed once.
+    cohort_ids = base.select("hadm_id").checkpoint()
     rx = _clean_prescriptions(prescriptions, cohort_ids)
     secs = F.greatest(_seconds("rx_stop") - _seconds("rx_start"), F.lit(0))
     rx_aggs = [
@@ -172,7 +173,10 @@ def with_minmax_complexity(t: DataFrame) -> DataFrame:
     """P13 + P15: min-max normalised complexity and its binned label.
 
     The global minima and maxima are one single-row aggregate, joined back as
-    a broadcast (its size is one row by construction)."""
+    a broadcast (its size is one row by construction).  The table is
+    checkpointed first so that the statistics and the scoring read it once
+    instead of recomputing its aggregation twice."""
+    t = t.checkpoint()
     stats = t.agg(*[F.min(c).cast("double").alias(f"{c}_min") for c in ("rx_unique_drugs", "proc_count",
                                                                         "treatment_days")],
                   *[F.max(c).cast("double").alias(f"{c}_max") for c in ("rx_unique_drugs", "proc_count",
