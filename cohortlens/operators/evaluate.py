@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.expr import jaccard_from_counts
+from cohortlens.session import materialize
 from cohortlens.functions.running import md5_bucket, quantile_bucket, running_sums
 
 
@@ -58,9 +59,9 @@ def outcome_alignment(df: DataFrame, outcome: str = "mortality", sample_size: in
         raise ValueError("bins must be >= 1")
     is_los = outcome == "los_days"
     grp = F.col("icd_version_mix") if same_version_only else F.lit("all")
-    sample = sample_by_hash(df.filter(F.col(outcome).isNotNull()), sample_size, seed).select(
+    sample = materialize(sample_by_hash(df.filter(F.col(outcome).isNotNull()), sample_size, seed).select(
         F.col("hadm_id").alias("id"), grp.alias("g"), F.array_distinct(set_col).alias("s"),
-        F.col(outcome).cast("double").alias("y")).checkpoint()  # bounded sample, read several times
+        F.col(outcome).cast("double").alias("y")))  # bounded sample, read several times
     toks = sample.select("id", "g", F.explode("s").alias("tok"))
     a, b = toks.alias("a"), toks.alias("b")
     inter = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.g") == F.col("b.g"))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.expr import bp_parts
+from cohortlens.session import materialize
 
 # Measurement names and the output columns they feed.
 HEIGHT = "Height (Inches)"
@@ -131,7 +132,7 @@ def measurement_features(cohort: DataFrame, omr: DataFrame, lookback_days: int =
     # The daily table feeds three branches that prune columns differently, so
     # Spark cannot reuse one exchange for them; write it once to the shared
     # checkpoint folder (this also cuts the lineage back to the raw scans).
-    cands = latest_as_of(probes, daily_latest(omr).checkpoint())
+    cands = latest_as_of(probes, materialize(daily_latest(omr)))
     aggs = []
     for name, key in _KEYS.items():
         for kind in ("t1", "t2", "overall"):
@@ -166,7 +167,7 @@ def base_features(patients: DataFrame, admissions: DataFrame, omr: DataFrame,
     """The ``cdss_base`` table: one row per adult admission."""
     # The cohort feeds the probes of every as-of branch and the final join:
     # computed once (checkpoint) instead of once per branch.
-    cohort = adult_cohort(patients, admissions, min_age).checkpoint()
+    cohort = materialize(adult_cohort(patients, admissions, min_age))
     feats = measurement_features(cohort, omr)
     los_exact = ((F.unix_micros(F.col("dischtime").cast("timestamp"))
                   - F.unix_micros(F.col("admittime").cast("timestamp"))) / F.lit(86_400_000_000.0))

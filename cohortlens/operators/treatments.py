@@ -21,6 +21,7 @@ from cohortlens.functions.expr import (complexity_capped, intensity_label_bins,
                                        is_noise_drug_like, is_noise_drug_regex, route_flags_prefix,
                                        route_flags_substring, surgery_flag)
 from cohortlens.operators.codes import dedupe_dictionary
+from cohortlens.session import materialize
 
 # Two-digit surgical chapters of version 9 codes: "01" to "86", built by rule.
 SURGICAL_V9_PREFIXES = [f"{i:02d}" for i in range(1, 87)]
@@ -117,7 +118,7 @@ def _clean_procedures(procedures_icd: DataFrame, cohort_ids: DataFrame, d_icd_pr
 def treatment_features_minmax(prescriptions: DataFrame, procedures_icd: DataFrame, d_icd_procedures: DataFrame,
                               base: DataFrame, include_raw_columns: bool = False) -> DataFrame:
     # The cohort ids restrict both event branches: computed once.
-    cohort_ids = base.select("hadm_id").checkpoint()
+    cohort_ids = materialize(base.select("hadm_id"))
     rx = _clean_prescriptions(prescriptions, cohort_ids)
     secs = F.greatest(_seconds("rx_stop") - _seconds("rx_start"), F.lit(0))
     rx_aggs = [
@@ -176,7 +177,7 @@ def with_minmax_complexity(t: DataFrame) -> DataFrame:
     a broadcast (its size is one row by construction).  The table is
     checkpointed first so that the statistics and the scoring read it once
     instead of recomputing its aggregation twice."""
-    t = t.checkpoint()
+    t = materialize(t)
     stats = t.agg(*[F.min(c).cast("double").alias(f"{c}_min") for c in ("rx_unique_drugs", "proc_count",
                                                                         "treatment_days")],
                   *[F.max(c).cast("double").alias(f"{c}_max") for c in ("rx_unique_drugs", "proc_count",

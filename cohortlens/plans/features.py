@@ -18,7 +18,7 @@ from cohortlens.sources.tpch import raw_tables, read_table
 
 
 # Bump when a feature-table definition changes, so stored tables are rebuilt.
-TABLE_VERSION = "6"
+TABLE_VERSION = "7"
 
 
 def _input_stamp(sf_dir: str) -> str:

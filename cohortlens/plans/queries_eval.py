@@ -10,6 +10,7 @@ from cohortlens.operators.neighbours import neighbour_vote
 from cohortlens.plans.features import Features
 from cohortlens.plans.oracle_ctes import BASE_CTES, CLIN_CTES, DX_CTES, TR_CTES, with_ctes
 from cohortlens.plans.queries import TRC_CTE, jac_sql, r6, register
+from cohortlens.session import materialize
 from cohortlens.operators.treatments import SURGICAL_V9_PREFIXES
 
 _TRC = TRC_CTE.replace("__V9__", ", ".join(f"'{v}'" for v in SURGICAL_V9_PREFIXES))
@@ -268,7 +269,7 @@ def _score_predictions(spark, sf_dir):
     b = clin.select(F.lit("diversity_ratio").alias("model"), "hadm_id", F.col("mortality").cast("int").alias("label"),
                     F.col("diagnosis_diversity_ratio").cast("double").alias("score"))
     # Written once to the checkpoint folder: the metrics read it several times.
-    return a.unionByName(b).withColumn("prediction", (F.col("score") >= 0.5).cast("int")).checkpoint()
+    return materialize(a.unionByName(b).withColumn("prediction", (F.col("score") >= 0.5).cast("int")))
 
 
 PRED_CTE = """
@@ -359,11 +360,11 @@ VOTE_SAMPLE = 2000
 
 def _vote(spark, sf_dir):
     clin = Features(spark, sf_dir).clin
-    smp = evaluate.sample_by_hash(clin, VOTE_SAMPLE, 7).checkpoint()  # bounded sample, computed once
+    smp = materialize(evaluate.sample_by_hash(clin, VOTE_SAMPLE, 7))  # bounded sample, computed once
     split = evaluate.stratified_split(smp, "mortality", 0.2, 42)
     train = split.filter(~F.col("is_test"))
     test = split.filter(F.col("is_test"))
-    return neighbour_vote(train, test, "mortality").checkpoint()
+    return materialize(neighbour_vote(train, test, "mortality"))
 
 
 VOTE_CTES = r"""
@@ -423,7 +424,7 @@ def _model_bench(spark, sf_dir):
     key = (id(spark), sf_dir)
     if key not in _BENCH_CACHE:
         clin = Features(spark, sf_dir).clin
-        smp = evaluate.sample_by_hash(clin, MODEL_SAMPLE, 11).checkpoint()
+        smp = materialize(evaluate.sample_by_hash(clin, MODEL_SAMPLE, 11))
         _BENCH_CACHE[key] = run_model_benchmark(smp, "mortality")
     return _BENCH_CACHE[key]
 

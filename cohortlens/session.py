@@ -49,3 +49,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df):
+    """Reliable checkpoint that computes its input once.
+
+    An eager ``checkpoint()`` runs the plan for its action and again to
+    write the checkpoint files unless the data is persisted, so the input is
+    persisted for the duration of the write and released afterwards.  The
+    result reads the files in ``spark.checkpoint.dir`` (lineage cut, so a
+    lost executor does not trigger a recomputation from the raw tables)."""
+    from pyspark import StorageLevel
+
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist(blocking=False)
+    return out
