@@ -61,6 +61,8 @@ def materialize(df):
     lost executor does not trigger a recomputation from the raw tables)."""
     from pyspark import StorageLevel
 
+    if os.environ.get("COHORTLENS_PERSIST_BEFORE_CHECKPOINT", "1") != "1":
+        return df.checkpoint(eager=True)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     out = cached.checkpoint(eager=True)
     cached.unpersist(blocking=False)
