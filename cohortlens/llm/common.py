@@ -21,6 +21,8 @@ def ship(spark: SparkSession) -> None:
 
     import cohortlens
 
+    # A batch for Python is bounded by its bytes, not only by its rows.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_cohortlens_shipped", False):
         return
@@ -81,6 +83,8 @@ def map_batches(df: DataFrame, fn: Callable[[dict], Iterator[dict] | dict], sche
     return df.mapInArrow(run, parsed)
 
 
+#: Bytes of an Arrow batch on its way to Python.
+BATCH_BYTES = 16 << 20
 #: Bytes of input that one call of a batch function gets at most (a longer row comes alone).
 PIECE_BYTES = 4 << 20
 

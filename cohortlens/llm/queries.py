@@ -51,3 +51,39 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query(sql.OP1)
+def op1_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preference pairs of neighbouring conversations, those that open alike
+    first."""
+    from .common import stored
+    from .preference import conversations, neighbour_pairs, preferences
+
+    turns = table(spark, sf_dir, "conversations")
+    convs = stored(conversations(turns))
+    return preferences(turns, neighbour_pairs(convs), convs=convs)
+
+
+@query(sql.OP2)
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents at Jaccard similarity 0.8 of 5-word shingles."""
+    from .jaccard_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query(sql.OP3)
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules and redirect equivalence over every page's url."""
+    from .url_filter import url_verdicts
+
+    return url_verdicts(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all embeddings at cosine 0.95 by dual cover-tree traversal."""
+    from .cover_tree import cosine_links
+
+    return cosine_links(table(spark, sf_dir, "embeddings"))
