@@ -87,3 +87,11 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .cover_tree import cosine_links
 
     return cosine_links(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words removed as repeats of 50-word windows of smaller documents."""
+    from .substring_dedup import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents"))
