@@ -328,3 +328,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", **options) -> DataF
     points = stored(points)
     return points.join(comp, points["node"] == comp["of"], "left").select(
         key, F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """``docs`` with one row of every component, that of the smallest id; rows
+    with a null id stay."""
+    comp = jaccard_components(docs, key, **options)
+    firsts = stored(comp.where(F.col(key) == F.col("component_id")).select(key).distinct())
+    kept = docs.join(firsts, key, "left_semi").dropDuplicates([key])
+    return kept.unionByName(docs.where(F.col(key).isNull())).select(*docs.columns)

@@ -95,3 +95,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import substring_dedup
 
     return substring_dedup(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, as they are or re-parameterised."""
+    from .templates import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in bins of 16 KiB without source or duplicate conflicts."""
+    from .packing import best_fit
+
+    return best_fit(table(spark, sf_dir, "documents"))

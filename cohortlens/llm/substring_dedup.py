@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, stored, texts
-from .words import U, mix, numbers, sequence_key, window_hashes, word_hashes
+from .words import U, mix, numbers, sequence_key, spans, window_hashes, word_hashes
 
 SIZE = 50
 ROUNDS = 3
@@ -230,15 +230,20 @@ def covered(n: int, starts: list[int], size: int) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
-def kept_texts(cuts: DataFrame, key: str = "doc_id", size: int = SIZE) -> DataFrame:
-    """(key, n_removed, kept): kept words joined by one space."""
+def kept_texts(cuts: DataFrame, key: str = "doc_id", size: int = SIZE, layout: bool = False) -> DataFrame:
+    """(key, n_removed, kept): kept words joined by one space, or with
+    ``layout`` the kept stretches of text as they are, joined by a line feed."""
     def cut(part: dict) -> dict:
         out: dict = {key: part[key], "n_removed": [], "kept": []}
         for raw, starts in zip(part["text"], part["starts"]):
-            words = raw.split()
-            gone = covered(len(words), starts, size)
+            begin, end = spans(np.frombuffer(raw, np.uint8))
+            gone = covered(len(begin), starts, size)
             out["n_removed"].append(int(gone.sum()))
-            out["kept"].append(b" ".join([words[i] for i in np.flatnonzero(~gone)]))
+            if layout:
+                edge = np.flatnonzero(np.diff(np.concatenate(([True], gone, [True])).view(np.int8)))
+                out["kept"].append(b"\n".join(raw[begin[x] : end[y - 1]] for x, y in zip(edge[::2], edge[1::2])))
+            else:
+                out["kept"].append(b" ".join([raw[begin[i] : end[i]] for i in np.flatnonzero(~gone)]))
         return out
 
     return map_batches(cuts, cut, f"`{key}` long, n_removed long, kept binary")
@@ -253,3 +258,19 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", size: int = SIZE) -> D
         key, "n_words",
         F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("gone", F.lit(0))).cast("long").alias("n_removed"),
         F.when(F.col("copy"), F.lit(EMPTY)).otherwise(F.coalesce("left", "sha")).alias("kept_sha256"))
+
+
+def without_repeats(docs: DataFrame, key: str = "doc_id", size: int = SIZE) -> DataFrame:
+    """``docs`` with repeated passages cut out of ``text`` (and ``n_chars``
+    counted anew); rows that lose every word go, all others stay."""
+    every, cuts = find_repeats(docs, key, size)
+    copies = stored(every.where("copy").select(key).distinct())
+    kept = stored(kept_texts(cuts, key, size, layout=True).select(
+        F.col(key).alias("_of"), F.col("kept").cast("string").alias("_kept")))
+    out = docs.join(copies, key, "left_anti").join(kept, F.col(key) == F.col("_of"), "left")
+    text = F.coalesce("_kept", "text")
+    changed = F.col("_of").isNotNull()
+    out = out.where(~changed | (F.length("_kept") > 0))
+    news = {"text": text} | ({"n_chars": F.when(changed, F.length("_kept").cast("long")).otherwise(F.col("n_chars"))}
+                             if "n_chars" in docs.columns else {})
+    return out.withColumns(news).select(*docs.columns)

@@ -73,20 +73,25 @@ def spans(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def _block(data: bytes, fold: bool) -> tuple[np.ndarray, np.ndarray]:
-    b = np.frombuffer(data, np.uint8)
-    start, end = spans(b)
+def hash_spans(b: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Fingerprint of the bytes [start, end) of ``b``, for each span."""
     if not len(start):
-        return np.empty(0, U), start
+        return np.empty(0, U)
     with np.errstate(over="ignore"):
         sums = np.zeros(len(b) + 1, U)
-        np.cumsum(_VALUES[_fold(b) if fold else b] * powers(_BASE, len(b)), out=sums[1:])
+        np.cumsum(_VALUES[b] * powers(_BASE, len(b)), out=sums[1:])
         back = powers(inverse(_BASE), len(b))
         size = (end - start).astype(U)
-        return mix((sums[end] - sums[start]) * back[start] + size * _SPREAD[63]), start
+        return mix((sums[end] - sums[start]) * back[start] + size * _SPREAD[63])
+
+
+def _block(data: bytes, fold: bool) -> tuple[np.ndarray, np.ndarray]:
+    b = np.frombuffer(data, np.uint8)
+    start, end = spans(b)
+    return hash_spans(_fold(b) if fold else b, start, end), start
 
 
-def _cut(data: bytes) -> Iterator[bytes]:
+def cut_blocks(data: bytes) -> Iterator[bytes]:
     """``data`` in blocks cut at white space; a longer word stays whole."""
     at = 0
     while len(data) - at > BLOCK:
@@ -107,7 +112,7 @@ def word_hashes(rows: list[bytes | None], fold: bool = False) -> Iterator[np.nda
 
     def flush() -> Iterator[np.ndarray]:
         if len(group) == 1 and len(group[0]) > BLOCK:
-            yield np.concatenate([_block(x, fold)[0] for x in _cut(group[0])])
+            yield np.concatenate([_block(x, fold)[0] for x in cut_blocks(group[0])])
             return
         hashes, start = _block(b" ".join(group), fold)
         ends = np.cumsum([len(x) + 1 for x in group])
