@@ -2,8 +2,8 @@
 
 Tier 1 is the latest measurement dated inside the stay; tier 2 (only for
 types without tier 1) is the latest one dated before admission, else the
-latest one overall.  "Latest" means chart date descending, then sequence
-number ascending (then value, to make the order total).
+latest one overall, else an undated one.  "Latest" means chart date descending, then sequence
+number ascending, null last (then value, to make the order total).
 
 Scale design: a subject may own a large share of all rows, so no join here
 pairs every admission of a subject with every measurement of that subject.
@@ -52,17 +52,18 @@ def adult_cohort(patients: DataFrame, admissions: DataFrame, min_age: int = 18)
 
 
 def _order_key(day: str = "chartdate") -> F.Column:
-    """Sort key whose minimum is the latest row: newest day, lowest sequence,
-    non-null value before null, then smallest value."""
-    return F.struct((-F.unix_date(F.col(day))).alias("neg_day"), F.col("seq_num").alias("seq"),
-                    F.col("result_value").isNull().alias("value_null"),
+    """Sort key whose minimum is the latest row: newest day, lowest sequence
+    (null last), non-null value before null, then smallest value."""
+    return F.struct((-F.unix_date(F.col(day))).alias("neg_day"), F.col("seq_num").isNull().alias("seq_null"),
+                    F.col("seq_num").alias("seq"), F.col("result_value").isNull().alias("value_null"),
                     F.col("result_value").alias("value"))
 
 
 def daily_latest(omr: DataFrame, names: list[str] = MEASUREMENT_NAMES) -> DataFrame:
-    """One row per (subject, type, day) holding that day's first record."""
-    m = omr.filter(F.col("result_name").isin(names) & F.col("chartdate").isNotNull())
-    return (m.groupBy("subject_id", "result_name", "chartdate")
+    """One row per (subject, type, day) holding that day's first record; the
+    day of undated records is null."""
+    return (omr.filter(F.col("result_name").isin(names))
+            .groupBy("subject_id", "result_name", "chartdate")
             .agg(F.min(_order_key()).alias("ord"))
             .withColumn("yr", F.year("chartdate"))
             .withColumn("mo", F.month("chartdate")))
@@ -83,10 +84,13 @@ def latest_as_of(probes: DataFrame, daily: DataFrame) -> DataFrame:
     * the same over earlier years (a window over the calendar span).
 
     Tier-2 probes also get each subject's overall latest record per type
-    (kind ``overall``) from a per-(subject, type) aggregate.  Returns
+    (kind ``overall``) from a per-(subject, type) aggregate, and its undated
+    record (kind ``undated``), which ranks behind every dated one.  Returns
     (hadm_id, admit_day, kind, result_name, ord); the minimum ``ord`` per
     group is the latest record.
     """
+    undated = daily.filter(F.col("chartdate").isNull())
+    daily = daily.filter(F.col("chartdate").isNotNull())
     p = probes.select("hadm_id", "admit_day", "subject_id", "kind", "b",
                       F.year("b").alias("b_yr"), F.month("b").alias("b_mo"))
     monthly = daily.groupBy("subject_id", "result_name", "yr", "mo").agg(F.min("ord").alias("m_ord"))
@@ -111,7 +115,9 @@ def latest_as_of(probes: DataFrame, daily: DataFrame) -> DataFrame:
     per_subject = yearly.groupBy("subject_id", "result_name").agg(F.min("y_ord").alias("ord"))
     overall = (p.filter(F.col("kind") == "t2").join(per_subject, "subject_id")
                .select("hadm_id", "admit_day", F.lit("overall").alias("kind"), "result_name", "ord"))
-    return same_month.unionByName(same_year).unionByName(by_year).unionByName(overall)
+    no_day = (p.filter(F.col("kind") == "t2").join(undated.select("subject_id", "result_name", "ord"), "subject_id")
+              .select("hadm_id", "admit_day", F.lit("undated").alias("kind"), "result_name", "ord"))
+    return same_month.unionByName(same_year).unionByName(by_year).unionByName(overall).unionByName(no_day)
 
 
 def measurement_features(cohort: DataFrame, omr: DataFrame, lookback_days: int = 0) -> DataFrame:
@@ -135,7 +141,7 @@ def measurement_features(cohort: DataFrame, omr: DataFrame, lookback_days: int =
     cands = latest_as_of(probes, materialize(daily_latest(omr)))
     aggs = []
     for name, key in _KEYS.items():
-        for kind in ("t1", "t2", "overall"):
+        for kind in ("t1", "t2", "overall", "undated"):
             aggs.append(F.min(F.when((F.col("result_name") == name) & (F.col("kind") == kind), F.col("ord")))
                         .alias(f"{key}_{kind}"))
     per_adm = cands.groupBy("hadm_id", "admit_day").agg(*aggs)
@@ -147,7 +153,7 @@ def measurement_features(cohort: DataFrame, omr: DataFrame, lookback_days: int =
         # Tier 1 counts only when its latest in-stay row is on or after admission.
         t1_ok = t1.isNotNull() & (-t1["neg_day"] >= F.unix_date(F.col("admit_day")) - F.lit(int(lookback_days)))
         t1_val = F.when(t1_ok, t1["value"])
-        t2_val = F.coalesce(F.col(f"{key}_t2"), F.col(f"{key}_overall"))["value"]
+        t2_val = F.coalesce(F.col(f"{key}_t2"), F.col(f"{key}_overall"), F.col(f"{key}_undated"))["value"]
         value = F.when(t1_val.isNotNull(), t1_val).otherwise(t2_val)
         source = (F.when(t1_val.isNotNull(), F.lit("TIER1"))
                   .when(t2_val.isNotNull(), F.lit("TIER2")))
@@ -164,7 +170,7 @@ def measurement_features(cohort: DataFrame, omr: DataFrame, lookback_days: int =
 
 def base_features(patients: DataFrame, admissions: DataFrame, omr: DataFrame,
                   min_age: int = 18) -> DataFrame:
-    """The ``cdss_base`` table: one row per adult admission."""
+    """The base feature table: one row per adult admission."""
     # The cohort feeds the probes of every as-of branch and the final join:
     # computed once (checkpoint) instead of once per branch.
     cohort = materialize(adult_cohort(patients, admissions, min_age))

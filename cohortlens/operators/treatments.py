@@ -77,97 +77,72 @@ def treatment_features_capped(prescriptions: DataFrame, procedures_icd: DataFram
         intensity_label_rule("rx_unique_drugs", "surgery_count", "proc_count").alias("treatment_intensity_label"))
 
 
-def _clean_prescriptions(prescriptions: DataFrame, cohort_ids: DataFrame) -> DataFrame:
-    """P3, P5, P10, P11 and J5 for the min-max flavour."""
-    p = prescriptions.filter(F.col("hadm_id").isNotNull() & F.col("drug").isNotNull()
-                             & (F.trim("drug") != "") & ~is_noise_drug_like("drug"))
-    p = p.join(cohort_ids, "hadm_id", "left_semi")
-    start = F.col("starttime").try_cast("timestamp_ntz")
-    stop = F.col("stoptime").try_cast("timestamp_ntz")
+def _or_unknown(c: str) -> F.Column:
+    return F.trim(F.coalesce(F.col(c), F.lit("UNKNOWN")))
+
+
+def _drug_features(prescriptions: DataFrame, raw: bool) -> DataFrame:
+    """Drug features per admission of the min-max flavour;
+    with ``raw`` also the prescriptions themselves as a nested list.
+
+    A missing end of a prescription takes the other one, and an end before the
+    start takes the start; both together are ``greatest`` of the filled ends."""
+    begin, stop = (F.col(c).try_cast("timestamp_ntz") for c in ("starttime", "stoptime"))
+    kept = prescriptions.where(F.col("hadm_id").isNotNull() & (F.trim("drug") != "") & ~is_noise_drug_like("drug"))
+    kept = kept.withColumns({"_from": F.coalesce(begin, stop), "_to": F.greatest(F.coalesce(stop, begin), F.coalesce(begin, stop))})
     iv, oral = route_flags_prefix("route")
-    return p.select(
-        "subject_id", "hadm_id",
-        F.lower(F.trim("drug")).alias("drug_name"), F.trim("drug").alias("drug_original"),
-        F.upper(F.trim(F.coalesce("route", F.lit("UNKNOWN")))).alias("route_name"),
-        F.trim(F.coalesce("route", F.lit("UNKNOWN"))).alias("route_original"),
-        F.upper(F.trim(F.coalesce("drug_type", F.lit("UNKNOWN")))).alias("drug_type_name"),
-        F.trim(F.coalesce("drug_type", F.lit("UNKNOWN"))).alias("drug_type_original"),
-        F.nullif(F.trim(F.coalesce("formulary_drug_cd", F.lit(""))), F.lit("")).alias("formulary_drug_cd"),
-        "prod_strength", "doses_per_24_hrs",
-        F.coalesce(start, stop).alias("rx_start"),
-        F.when(start.isNotNull() & stop.isNotNull() & (stop < start), start)
-        .otherwise(F.coalesce(stop, start)).alias("rx_stop"),
-        iv.alias("is_iv"), oral.alias("is_oral"))
-
-
-def _clean_procedures(procedures_icd: DataFrame, cohort_ids: DataFrame, d_icd_procedures: DataFrame) -> DataFrame:
-    p = procedures_icd.filter(F.col("hadm_id").isNotNull() & F.col("icd_code").isNotNull()
-                              & (F.trim("icd_code") != ""))
-    p = p.join(cohort_ids, "hadm_id", "left_semi")
-    p = p.select("subject_id", "hadm_id", F.trim("icd_code").alias("icd_code"),
-                 F.col("icd_version").cast("int").alias("icd_version"),
-                 F.col("chartdate").cast("timestamp_ntz").alias("charttime"))
-    d = dedupe_dictionary(d_icd_procedures)
-    p = p.join(d, (p.icd_code == d.d_code) & (p.icd_version == d.d_version), "left")
-    return p.select("subject_id", "hadm_id", "icd_code", "icd_version", "charttime",
-                    F.substring("icd_code", 1, 3).alias("proc_group"),
-                    F.coalesce("long_title", "icd_code").alias("long_title"),
-                    surgery_flag("icd_version", "icd_code").alias("is_surgery"))
+    distinct = {"rx_drug_list": F.lower(F.trim("drug")), "rx_routes_list": F.upper(_or_unknown("route")),
+                "rx_drug_types": F.upper(_or_unknown("drug_type")), "_forms": F.nullif(F.trim("formulary_drug_cd"), F.lit(""))}
+    seconds = F.coalesce(_seconds("_to") - _seconds("_from"), F.lit(0))
+    nested = [F.array_sort(F.collect_list(F.struct(
+        F.col("_from").alias("starttime"), F.trim("drug").alias("drug"), _or_unknown("drug_type").alias("drug_type"),
+        distinct["_forms"].alias("formulary_drug_cd"), "prod_strength", "doses_per_24_hrs",
+        _or_unknown("route").alias("route"), F.col("_to").alias("stoptime")))).alias("prescriptions_raw")] if raw else []
+    per = kept.groupBy("hadm_id").agg(
+        F.min("subject_id").alias("subject_id"),
+        *[F.array_sort(F.collect_set(c)).alias(n) for n, c in distinct.items()],
+        F.count(F.lit(1)).alias("rx_total_count"),
+        F.sum(iv).cast("long").alias("rx_iv_count"), F.sum(oral).cast("long").alias("rx_oral_count"),
+        F.datediff(F.max(F.to_date("_to")), F.min(F.to_date("_from"))).alias("_span"),
+        F.avg(seconds / F.lit(86400.0)).alias("avg_rx_duration_days"), *nested)
+    return per.withColumns({
+        "route_diversity": F.size("rx_routes_list").cast("long"), "rx_unique_drugs": F.size("rx_drug_list").cast("long"),
+        "rx_unique_formulary_drugs": F.size("_forms").cast("long"),
+        "treatment_days": F.greatest(F.coalesce(F.col("_span") + 1, F.lit(1)), F.lit(1)).cast("long"),
+        "rx_iv_ratio": F.col("rx_iv_count").cast("double") / F.col("rx_total_count").cast("double")}).drop("_forms", "_span")
+
+
+def _procedure_features(procedures_icd: DataFrame, d_icd_procedures: DataFrame, raw: bool) -> DataFrame:
+    """Procedure features per admission; with ``raw`` also, per code version,
+    the procedures with their titles (null when there is none).  The dictionary
+    is only read for the titles."""
+    code = F.trim("icd_code")
+    kept = procedures_icd.where(F.col("hadm_id").isNotNull() & (code != "")).select(
+        "hadm_id", code.alias("code"), F.col("icd_version").cast("int").alias("version"))
+    nested = []
+    if raw:
+        titles = dedupe_dictionary(d_icd_procedures)
+        kept = kept.join(titles, (kept.code == titles.d_code) & (kept.version == titles.d_version), "left")
+        one = F.struct(F.col("code").alias("icd_code"), F.coalesce("long_title", "code").alias("long_title"))
+        lists = {v: F.array_sort(F.collect_list(F.when(F.col("version") == v, one))) for v in (9, 10)}
+        nested = [F.when(F.size(x) > 0, x).alias(f"procedures_icd{v}") for v, x in lists.items()]
+    per = kept.groupBy("hadm_id").agg(
+        F.array_sort(F.collect_set("code")).alias("procedure_list"),
+        F.array_sort(F.collect_set(F.substring("code", 1, 3))).alias("proc_icd_list"),
+        F.array_sort(F.collect_set(F.col("version").cast("string"))).alias("proc_version_list"),
+        F.count(F.lit(1)).alias("proc_count"),
+        F.count_if(surgery_flag("version", "code")).alias("surgery_count"), *nested)
+    return per.withColumn("proc_group_count", F.size("proc_icd_list").cast("long"))
 
 
 def treatment_features_minmax(prescriptions: DataFrame, procedures_icd: DataFrame, d_icd_procedures: DataFrame,
                               base: DataFrame, include_raw_columns: bool = False) -> DataFrame:
-    # The cohort ids restrict both event branches: computed once.
-    cohort_ids = materialize(base.select("hadm_id"))
-    rx = _clean_prescriptions(prescriptions, cohort_ids)
-    secs = F.greatest(_seconds("rx_stop") - _seconds("rx_start"), F.lit(0))
-    rx_aggs = [
-        F.min("subject_id").alias("rx_subject_id"),
-        F.array_sort(F.collect_set("drug_name")).alias("rx_drug_list"),
-        F.array_sort(F.collect_set("route_name")).alias("rx_routes_list"),
-        F.size(F.collect_set("route_name")).cast("long").alias("route_diversity"),
-        F.array_sort(F.collect_set("drug_type_name")).alias("rx_drug_types"),
-        F.count(F.lit(1)).alias("rx_total_count"),
-        F.size(F.collect_set("drug_name")).cast("long").alias("rx_unique_drugs"),
-        F.size(F.collect_set("formulary_drug_cd")).cast("long").alias("rx_unique_formulary_drugs"),
-        F.sum("is_iv").cast("long").alias("rx_iv_count"),
-        F.sum("is_oral").cast("long").alias("rx_oral_count"),
-        F.coalesce(F.greatest(F.datediff(F.max(F.to_date("rx_stop")), F.min(F.to_date("rx_start"))) + 1,
-                              F.lit(1)), F.lit(1)).cast("long").alias("treatment_days"),
-        F.avg(F.when(F.col("rx_start").isNull() | F.col("rx_stop").isNull(), F.lit(0.0))
-              .otherwise(secs / F.lit(86400.0))).alias("avg_rx_duration_days"),
-    ]
-    if include_raw_columns:
-        rx_aggs.append(F.array_sort(F.collect_list(F.struct(
-            "rx_start", "drug_name", F.col("drug_original").alias("drug"),
-            F.col("drug_type_original").alias("drug_type"), "formulary_drug_cd", "prod_strength",
-            "doses_per_24_hrs", F.col("route_original").alias("route"),
-            F.col("rx_start").alias("starttime"), F.col("rx_stop").alias("stoptime")))).alias("prescriptions_raw"))
-    rx_agg = rx.groupBy("hadm_id").agg(*rx_aggs).withColumn(
-        "rx_iv_ratio", F.coalesce(F.try_divide(F.col("rx_iv_count").cast("double"),
-                                               F.col("rx_total_count").cast("double")), F.lit(0.0)))
-
-    pr = _clean_procedures(procedures_icd, cohort_ids, d_icd_procedures)
-    pr_aggs = [
-        F.min("subject_id").alias("proc_subject_id"),
-        F.array_sort(F.collect_set("icd_code")).alias("procedure_list"),
-        F.array_sort(F.collect_set("proc_group")).alias("proc_icd_list"),
-        F.array_sort(F.collect_set(F.col("icd_version").cast("string"))).alias("proc_version_list"),
-        F.count(F.lit(1)).alias("proc_count"),
-        F.size(F.collect_set("proc_group")).cast("long").alias("proc_group_count"),
-        F.sum(F.col("is_surgery").cast("int")).cast("long").alias("surgery_count"),
-    ]
-    if include_raw_columns:
-        for v in (9, 10):
-            pr_aggs.append(F.array_sort(F.collect_list(F.when(
-                F.col("icd_version") == v, F.struct("charttime", "icd_code", "long_title"))))
-                .alias(f"procedures_icd{v}"))
-    pr_agg = pr.groupBy("hadm_id").agg(*pr_aggs)
-
-    t = rx_agg.join(pr_agg, "hadm_id")
-    t = t.withColumn("subject_id", F.coalesce("rx_subject_id", "proc_subject_id")).drop(
-        "rx_subject_id", "proc_subject_id")
-    return with_minmax_complexity(t)
+    """Events are reduced to one row per admission and
+    kind first; the cohort then only meets those rows."""
+    both = (_drug_features(prescriptions, include_raw_columns)
+            .join(_procedure_features(procedures_icd, d_icd_procedures, include_raw_columns), "hadm_id")
+            .join(base.select("hadm_id"), "hadm_id", "left_semi"))
+    return with_minmax_complexity(both)
 
 
 def with_minmax_complexity(t: DataFrame) -> DataFrame:
@@ -204,15 +179,16 @@ def treatment_tall(prescriptions: DataFrame, procedures_icd: DataFrame, d_icd_pr
           .groupBy("subject_id", "hadm_id", F.upper(F.trim("drug")).alias("treatment_key"))
           .agg(F.min("drug").alias("treatment_name"), F.count(F.lit(1)).alias("treatment_count"))
           .withColumn("treatment_source", F.lit("prescription")))
-    p = procedures_icd.filter(F.col("hadm_id").isNotNull() & F.col("icd_code").isNotNull()
-                              & (F.trim("icd_code") != ""))
+    code = F.trim("icd_code")
+    per = (procedures_icd.filter(F.col("hadm_id").isNotNull() & (code != ""))
+           .groupBy("subject_id", "hadm_id", "icd_version", code.alias("code"))
+           .agg(F.count(F.lit(1)).alias("treatment_count")))
+    # Titles are looked up once per admission and code, after the counting.
     d = dedupe_dictionary(d_icd_procedures)
-    p = p.join(d, (F.trim(p.icd_code) == d.d_code) & (p.icd_version == d.d_version), "left")
-    pr = (p.groupBy("subject_id", "hadm_id",
-                    F.concat(F.col("icd_version").cast("string"), F.lit(":"), F.trim("icd_code")).alias("treatment_key"),
-                    F.coalesce("long_title", F.trim("icd_code")).alias("treatment_name"))
-          .agg(F.count(F.lit(1)).alias("treatment_count"))
-          .withColumn("treatment_source", F.lit("procedure")))
+    pr = (per.join(d, (per.code == d.d_code) & (per.icd_version == d.d_version), "left")
+          .select("subject_id", "hadm_id", "treatment_count", F.lit("procedure").alias("treatment_source"),
+                  F.concat(F.col("icd_version").cast("string"), F.lit(":"), F.col("code")).alias("treatment_key"),
+                  F.coalesce("long_title", "code").alias("treatment_name")))
     cols = ["subject_id", "hadm_id", "treatment_source", "treatment_key", "treatment_name", "treatment_count"]
     return rx.select(*cols).unionByName(pr.select(*cols))
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import glob
 import hashlib
-import os
+import uuid
+from pathlib import Path
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortlens.operators.codes import diagnosis_features
 from cohortlens.operators.dataset import clinical_dataset, joined_dataset, knn_dataset
@@ -17,24 +19,31 @@ from cohortlens.operators.treatments import (treatment_features_capped, treatmen
 from cohortlens.sources.tpch import raw_tables, read_table
 
 
-# Bump when a feature-table definition changes, so stored tables are rebuilt.
-TABLE_VERSION = "7"
+def _definition() -> str:
+    """Digest of the code that builds the feature tables: a changed definition
+    never meets a table of an older one."""
+    import cohortlens
 
+    home = Path(cohortlens.__file__).parent
+    names = [home / "plans" / "features.py", *sorted((home / "operators").glob("*.py")),
+             *sorted((home / "functions").glob("*.py")), *sorted((home / "sources").glob("*.py"))]
+    return hashlib.sha256(b"".join(n.read_bytes() for n in names)).hexdigest()
 
-def _input_stamp(sf_dir: str) -> str:
-    """Key of an input folder: path plus size and modification time of its files."""
-    parts = [os.path.abspath(sf_dir), TABLE_VERSION]
-    for f in sorted(glob.glob(os.path.join(sf_dir, "*.parquet"))):
-        st = os.stat(f)
-        parts.append(f"{os.path.basename(f)}:{st.st_size}:{int(st.st_mtime)}")
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
+def _input_stamp(spark: SparkSession, sf_dir: str) -> str:
+    """Key of an input folder: path, size and modification time of the files of
+    every table that is read, through Spark (so any store works)."""
+    parts = [sf_dir, _definition()]
+    for name in INPUTS:
+        meta = read_table(spark, sf_dir, name).select(
+            F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").alias("h")).distinct()
+        row = meta.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()
+        parts.append(f"{name}:{row['n']}:{row['s']}")
+    return hashlib.sha256("|".join(parts).encode()).hexdigest()[:24]
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Existence test through Hadoop's FileSystem (local, HDFS or object store)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+#: Tables that the feature builds read.
+INPUTS = ("customer", "nation", "orders", "lineitem", "part")
 
 
 class Features:
@@ -57,11 +66,22 @@ class Features:
         if not self.materialize:
             return build()
         from cohortlens.session import ensure_checkpoint_dir
-        root = ensure_checkpoint_dir(self.spark)
-        path = f"{root.rstrip('/')}/cohortlens-tables/{_input_stamp(self.sf_dir)}/{name}"
-        if not _exists(self.spark, f"{path}/_SUCCESS"):
-            build().write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/cohortlens-tables/{self._stamp}/{name}"
+        # A build goes to a folder of its own and is published by a pointer
+        # that is written last: two sessions may both build, none reads half.
+        try:
+            found = self.spark.read.schema("path string").json(f"{root}/published").agg(F.min("path")).first()[0]
+        except AnalysisException:
+            found = None
+        if found is None:
+            found = f"{root}/{uuid.uuid4().hex}"
+            build().write.parquet(found)
+            self.spark.range(1).select(F.lit(found).alias("path")).write.mode("append").json(f"{root}/published")
+        return self.spark.read.parquet(found)
+
+    @cached_property
+    def _stamp(self) -> str:
+        return _input_stamp(self.spark, self.sf_dir)
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)

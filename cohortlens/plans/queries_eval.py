@@ -8,13 +8,9 @@ from cohortlens.operators import cosine, evaluate, quality
 from cohortlens.operators.dataset import joined_dataset, modelling_flags
 from cohortlens.operators.neighbours import neighbour_vote
 from cohortlens.plans.features import Features
-from cohortlens.plans.oracle_ctes import BASE_CTES, CLIN_CTES, DX_CTES, TR_CTES, with_ctes
-from cohortlens.plans.queries import TRC_CTE, jac_sql, r6, register
+from cohortlens.plans.oracle_ctes import BASE_CTES, CLIN_CTES, DX_CTES, TALL_CTE, TR_CTES, TRC_CTE, base_ctes, with_ctes
+from cohortlens.plans.queries import jac_sql, r6, register
 from cohortlens.session import materialize
-from cohortlens.operators.treatments import SURGICAL_V9_PREFIXES
-
-_TRC = TRC_CTE.replace("__V9__", ", ".join(f"'{v}'" for v in SURGICAL_V9_PREFIXES))
-
 
 def _r6_all(df, skip=()):
     return df.select(*[r6(c).alias(c) if t == "double" and c not in skip else F.col(c) for c, t in df.dtypes])
@@ -58,7 +54,7 @@ def q_intensity_distribution(spark, sf_dir):
     return _r6_all(quality.intensity_distribution(Features(spark, sf_dir).tr))
 
 
-@register("treatment_qa", with_ctes(_TRC) + """
+@register("treatment_qa", with_ctes(TRC_CTE) + """
 SELECT count(*) AS total_rows, count(DISTINCT subject_id) AS unique_subjects, count(DISTINCT hadm_id) AS unique_admissions,
   round(min(treatment_complexity_score), 6) AS min_complexity, round(max(treatment_complexity_score), 6) AS max_complexity,
   count(*) FILTER (WHERE treatment_intensity_label = 'High') AS high_intensity,
@@ -157,21 +153,6 @@ def q_knn_neighbours(spark, sf_dir):
                    .withColumn("age_difference", F.col("age_difference").cast("double")))
 
 
-TALL_CTE = r"""
-tall AS (
-  SELECT subject_id, hadm_id, 'prescription' AS treatment_source, upper(trim(drug)) AS treatment_key,
-         min(drug) AS treatment_name, count(*) AS treatment_count
-  FROM prescriptions WHERE hadm_id IS NOT NULL AND drug IS NOT NULL AND trim(drug) <> '' GROUP BY 1, 2, 3, 4
-  UNION ALL
-  SELECT p.subject_id, p.hadm_id, 'procedure', CAST(p.icd_version AS VARCHAR) || ':' || trim(p.icd_code),
-         coalesce(x.long_title, trim(p.icd_code)), count(*)
-  FROM procedures_icd p
-  LEFT JOIN (SELECT trim(icd_code) AS d_code, icd_version AS d_version, min(long_title) AS long_title
-             FROM d_icd_procedures GROUP BY 1, 2) x ON trim(p.icd_code) = x.d_code AND p.icd_version = x.d_version
-  WHERE p.hadm_id IS NOT NULL AND p.icd_code IS NOT NULL AND trim(p.icd_code) <> '' GROUP BY 1, 2, 3, 4, 5)
-"""
-
-
 @register("knn_treatments", with_ctes(BASE_CTES, DX_CTES, KNN_CTES, TALL_CTE) + """
 , rows_ AS (SELECT t.*, nb.similarity, greatest(coalesce(CAST(nb.los_days AS DOUBLE), 0.0), 1e-6) AS los
             FROM nb JOIN tall t ON nb.hadm_id = t.hadm_id),
@@ -488,9 +469,7 @@ pool AS (
      + coalesce(CAST(c.gender = q2.gender AS DOUBLE), 0.0) + coalesce(CAST(c.race = q2.race AS DOUBLE), 0.0)) / 6.0
       AS context_similarity,
     {jg} AS jg, {jc} AS jc
-  FROM knn2 c, q2 WHERE c.hadm_id <> q2.hadm_id
-  ORDER BY primary_match DESC, group_overlap DESC, code_overlap DESC, primary_group_match DESC,
-           age_distance ASC NULLS LAST, c.hadm_id ASC LIMIT 12000),
+  FROM knn2 c, q2 WHERE c.hadm_id <> q2.hadm_id),
 reranked AS (
   SELECT *, 0.50 * jg + 0.25 * jc + 0.15 * primary_match + 0.10 * context_similarity AS rerank_score
   FROM pool ORDER BY rerank_score DESC, hadm_id ASC LIMIT 30)
@@ -541,8 +520,7 @@ def q_readmission_30day(spark, sf_dir):
     return documented.readmission_30day(Features(spark, sf_dir).raw.admissions)
 
 
-@register("base_features_lookback30", with_ctes(BASE_CTES.replace(
-    "o.chartdate >= CAST(c.admittime AS DATE) AND", "o.chartdate >= CAST(c.admittime AS DATE) - INTERVAL 30 DAY AND"))
+@register("base_features_lookback30", with_ctes(base_ctes(30))
     + """
 SELECT hadm_id, height_inches, height_source, weight_lbs, weight_source, bmi, bmi_source, systolic_bp, systolic_source,
        diastolic_bp, diastolic_source FROM base""")

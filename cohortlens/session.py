@@ -36,19 +36,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+    """The cluster's shared checkpoint folder, set as Spark's checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is; only when it is unset (local tests) a scratch folder is created.
-    """
+    It is read from ``spark.checkpoint.dir``.  Where that is unset, a local
+    master (tests) gets a scratch folder once a context; a cluster gets an
+    error, as a machine-local folder would not be seen by its executors."""
+    sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not current:
+        current = getattr(sc, "_cohortlens_scratch", None)
+    if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
+        current = sc._cohortlens_scratch = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
+    sc.setCheckpointDir(current)
+    return current
 
 
 def materialize(df):
@@ -61,8 +63,6 @@ def materialize(df):
     lost executor does not trigger a recomputation from the raw tables)."""
     from pyspark import StorageLevel
 
-    if os.environ.get("COHORTLENS_PERSIST_BEFORE_CHECKPOINT", "1") != "1":
-        return df.checkpoint(eager=True)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     out = cached.checkpoint(eager=True)
     cached.unpersist(blocking=False)

@@ -14,8 +14,10 @@ Binding (documented in README.md):
                    the order has no items; admission_type = o_orderpriority,
                    hospital_expire_flag = o_orderstatus = 'F')
 * omr           <- lineitem x orders (one measurement per item, dated by
-                   l_shipdate; name by return flag / line status)
-* diagnoses_icd <- lineitem x part (code p_brand, group p_type)
+                   l_shipdate, undated where l_tax is 0.05; name by return
+                   flag / line status; no sequence where l_discount is 0.03)
+* diagnoses_icd <- lineitem x part (code p_brand, null where l_tax is 0.07;
+                   group p_type; no sequence where l_discount is 0.03)
 * procedures    <- lineitem with return flag 'R' (code from p_size and
                    line number)
 * prescriptions <- lineitem x part (drug p_name, route from return flag,
@@ -94,16 +96,17 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     value = F.when(name == "Blood Pressure", bp_text).otherwise(F.col("l_quantity").cast("string"))
     omr = (lineitem.join(orders.select("o_orderkey", "o_custkey"), lineitem.l_orderkey == orders.o_orderkey)
            .select(F.col("o_custkey").alias("subject_id"),
-                   F.to_date("l_shipdate").alias("chartdate"),
-                   F.col("l_linenumber").alias("seq_num"),
+                   F.when(F.col("l_tax") != 0.05, F.to_date("l_shipdate")).alias("chartdate"),
+                   F.when(F.col("l_discount") != 0.03, F.col("l_linenumber")).alias("seq_num"),
                    name.alias("result_name"),
                    value.alias("result_value")))
 
+    code = F.when(F.col("l_tax") != 0.07, F.col("p_brand"))
     diagnoses_icd = items.select(
         F.col("o_custkey").alias("subject_id"), F.col("l_orderkey").alias("hadm_id"),
-        F.col("l_linenumber").alias("seq_num"), F.col("p_brand").alias("icd_code"),
+        F.when(F.col("l_discount") != 0.03, F.col("l_linenumber")).alias("seq_num"), code.alias("icd_code"),
         _version().alias("icd_version"),
-        F.concat_ws("_", _version().cast("string"), F.col("p_type")).alias("icd_group"))
+        F.when(code.isNotNull(), F.concat(_version().cast("string"), F.lit("_"), F.col("p_type"))).alias("icd_group"))
     d_icd_diagnoses = (part.select(F.col("p_brand").alias("icd_code")).distinct()
                        .select("icd_code", F.explode(F.array(F.lit(9), F.lit(10))).alias("icd_version"),
                                F.concat(F.lit("Diagnosis "), F.col("icd_code")).alias("long_title")))
@@ -158,7 +161,8 @@ items AS (
   SELECT * FROM lineitem JOIN (SELECT o_orderkey, o_custkey FROM orders) o ON l_orderkey = o_orderkey
   JOIN part ON l_partkey = p_partkey),
 omr AS (
-  SELECT o_custkey AS subject_id, CAST(l_shipdate AS DATE) AS chartdate, l_linenumber AS seq_num,
+  SELECT o_custkey AS subject_id, CASE WHEN l_tax <> 0.05 THEN CAST(l_shipdate AS DATE) END AS chartdate,
+    CASE WHEN l_discount <> 0.03 THEN l_linenumber END AS seq_num,
     CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'Height (Inches)'
          WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'Weight (Lbs)'
          WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 'BMI (kg/m2)'
@@ -171,9 +175,10 @@ omr AS (
          ELSE CAST(l_quantity AS VARCHAR) END AS result_value
   FROM lineitem JOIN (SELECT o_orderkey, o_custkey FROM orders) o ON l_orderkey = o_orderkey),
 diagnoses_icd AS (
-  SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, l_linenumber AS seq_num, p_brand AS icd_code,
+  SELECT o_custkey AS subject_id, l_orderkey AS hadm_id, CASE WHEN l_discount <> 0.03 THEN l_linenumber END AS seq_num,
+         CASE WHEN l_tax <> 0.07 THEN p_brand END AS icd_code,
          CASE WHEN l_linestatus = 'F' THEN 9 ELSE 10 END AS icd_version,
-         CAST(CASE WHEN l_linestatus = 'F' THEN 9 ELSE 10 END AS VARCHAR) || '_' || p_type AS icd_group
+         CASE WHEN l_tax <> 0.07 THEN CASE WHEN l_linestatus = 'F' THEN '9_' ELSE '10_' END || p_type END AS icd_group
   FROM items),
 d_icd_diagnoses AS (
   SELECT icd_code, v AS icd_version, 'Diagnosis ' || icd_code AS long_title
