@@ -50,14 +50,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, ship, small_enough, stored, texts
-from .graph import components
+from .graph import ONE_TASK_EDGES, components
 from .words import U, mix, set_key, shingles, word_hashes
 
-PIVOTS = 16
+PIVOTS = 4
 WIDE = 256
 DEPTH = 3
-SAMPLE_DOCS = 8192
-FREQUENT = 65_536
+SAMPLE_DOCS = 32_768
+FREQUENT = 262_144
 #: Rows of a side that may be broadcast (two numbers each), checked before.
 BROADCAST_ROWS = 500_000
 
@@ -268,7 +268,7 @@ def _split(many: DataFrame, tests: DataFrame, links: DataFrame, docs: DataFrame,
            key: str, k: int, percent: int, wide: int, depth: int) -> tuple[DataFrame, DataFrame | None]:
     """One recursion: finishes regions with few points outside of their largest
     component, and gives the rows of the next regions of the others."""
-    comp = stored(components(links))
+    comp = stored(components(links, one_task=ONE_TASK_EDGES))
     member = stored(many.join(comp, "node", "left")
                     .select("region", "last", "level", "node", "n", F.coalesce("component", "node").alias("component")))
     by_comp = member.groupBy("region", "component").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"))
@@ -324,7 +324,7 @@ def _split(many: DataFrame, tests: DataFrame, links: DataFrame, docs: DataFrame,
 def jaccard_components(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """(key, n_shingles, component_id) of every row of ``docs``."""
     points, links = jaccard_links(docs, key, **options)
-    comp = stored(components(links)).withColumnRenamed("node", "of")
+    comp = stored(components(links, one_task=ONE_TASK_EDGES)).withColumnRenamed("node", "of")
     points = stored(points)
     return points.join(comp, points["node"] == comp["of"], "left").select(
         key, F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
