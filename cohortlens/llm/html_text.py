@@ -50,6 +50,9 @@ OUT_WORDS = frozenset(
     "notice notices alert popup modal overlay newsletter subscribe subscription signup login form search share sharing "
     "social related recommended comment comments disqus respond reply replies contentinfo copyright pagination pager".split())
 OUT_COMMENTS = frozenset("comment comments reply replies".split())
+#: Start tags that end an open paragraph.
+BREAKS_P = frozenset("address article aside blockquote body center details dialog dir div dl dd dt fieldset figcaption figure footer "
+                     "form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table ul".split())
 #: Start tags that end an open element of the named kinds.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
         "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("thead", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
@@ -80,7 +83,7 @@ class Tree(HTMLParser):
         self.body: Node | None = None
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag not in INLINE and tag not in VOID:
+        if tag in BREAKS_P:
             self._end_upto(("p",), ("td", "th", "button", "table") if tag != "table" else ("td", "th", "button"))
         if tag in ENDS:
             for kind in ENDS[tag]:

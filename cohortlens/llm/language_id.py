@@ -166,9 +166,10 @@ def _has_letter(raw: bytes) -> bool:
     return any(c.isalpha() for c in raw.decode("utf-8", "replace"))
 
 
-def language_id(docs: DataFrame, model: dict, key: str = "doc_id", columns: tuple[str, ...] = ()) -> DataFrame:
+def language_id(docs: DataFrame, model: dict, key: str = "doc_id", columns: tuple[str, ...] = (),
+                prefix: str = "") -> DataFrame:
     """(key, lang_pred, score, bits_per_byte) of every row, and the row's own
-    ``columns``; no shuffle."""
+    ``columns``; no shuffle.  ``prefix`` keeps the new names apart from those."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     langs = model["langs"]
     columns = tuple(c for c in columns if c not in (key, "text"))
@@ -186,11 +187,11 @@ def language_id(docs: DataFrame, model: dict, key: str = "doc_id", columns: tupl
             for i, b, s, n in zip(at, best.tolist(), share.tolist(), low.tolist()):
                 pred[i], prob[i], rate[i] = langs[b], s, n / len(raw[i])
         own = {c: part[c] for c in columns} | ({"text": part["text"]} if columns else {})
-        return {key: part[key], "lang_pred": pred, "score": prob, "bits_per_byte": rate} | own
+        return {key: part[key], f"{prefix}lang_pred": pred, f"{prefix}score": prob, f"{prefix}bits_per_byte": rate} | own
 
     own = docs.select(F.col(key).cast("long").alias(key), F.col("text").cast("binary").alias("text"), *columns)
     kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in columns) + (", text binary" if columns else "")
-    out = map_batches(own, score, f"`{key}` long, lang_pred string, score double, bits_per_byte double{kept}")
+    out = map_batches(own, score, f"`{key}` long, {prefix}lang_pred string, {prefix}score double, {prefix}bits_per_byte double{kept}")
     return out.withColumn("text", F.col("text").cast("string")) if columns else out
 
 
@@ -199,10 +200,10 @@ def accepted(docs: DataFrame, train: Column | None = None, key: str = "doc_id",
     """The rows whose language is told with at least ``least_score`` (and is one
     of ``languages``, if given); the model is fitted on their own labels."""
     model = fit(docs, F.lit(True) if train is None else train, key)
-    out = language_id(docs, model, key, tuple(docs.columns))
-    good = (F.col("lang_pred") != UNDEFINED) & (F.col("score") >= least_score)
+    out = language_id(docs, model, key, tuple(docs.columns), "_ppm_")
+    good = (F.col("_ppm_lang_pred") != UNDEFINED) & (F.col("_ppm_score") >= least_score)
     if languages is not None:
-        good = good & F.col("lang_pred").isin(*languages)
+        good = good & F.col("_ppm_lang_pred").isin(*languages)
     return out.where(good).select(*docs.columns)
 
 

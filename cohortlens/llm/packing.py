@@ -69,7 +69,7 @@ def pack(sizes: list[int], sources: list, clusters: list, capacity: int) -> list
         else:
             residual, b = capacity, len(bits)
             bits.append(own)
-        if residual > size or not size:
+        if residual > size:  # a full bin is closed
             insort(order, (residual - size, b))
         out.append(b)
     return out

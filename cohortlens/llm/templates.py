@@ -205,7 +205,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", ite
     fits = pairs.select(*group, "item_at", "n_windows").join(good, group)
     per_item = fits.groupBy(key, item).agg(
         F.max("n_windows").alias("n_windows"), F.count_distinct("item_at").alias("n_matched"),
-        F.min("changed").alias("n_changed_slots"))
+        F.max("changed").alias("n_changed_slots"))
     return per_item.where(F.col("n_matched") >= share * F.col("n_windows")).select(
         key, item, "n_windows", "n_matched", F.col("n_changed_slots").cast("long").alias("n_changed_slots"))
 
