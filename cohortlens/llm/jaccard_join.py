@@ -17,13 +17,17 @@ is at distance ``r = 1 - percent / 100`` or less.
    the least overlap ``ceil(percent * n / 100)``.  So a point is replicated to
    the regions of its first ``n - ceil(percent * n / 100) + 1`` shingles, and
    two linked points meet in the region of their first common shingle.
+   In the region of that shingle, at place ``i`` of the one and ``j`` of the
+   other, they have at most the smaller of ``n - i`` and ``m - j`` in common;
+   pairs for which this is too little are not paired there.
 4. *Inside a region* the first ``PIVOTS`` points are document pivots, compared
    with every other point of the region; a region of no more points is thereby
-   joined completely.  Sizes, and the L1 distance of class-count sketches (a
-   lower bound of the symmetric difference), rule pairs out; the rest is
-   compared exactly, each pair once.
-5. *Recursion* for larger regions.  Points that pivots have connected need no
-   comparison.  If at most ``WIDE`` points of a region are outside of its
+   joined completely.  Sizes, places, and the L1 distance of class-count
+   sketches (a lower bound of the symmetric difference), rule pairs out; the
+   rest is compared exactly, each pair once.
+5. *Recursion* for larger regions.  Points that by their place can link with
+   no size that the region holds leave it, and points that pivots have connected
+   need no comparison.  If at most ``WIDE`` points of a region are outside of its
    largest component, these are its next pivots, and by the triangle inequality
    each is compared only with points whose distance from the region's first
    pivot differs from its own by at most ``r``: then the region is joined
@@ -128,18 +132,26 @@ def _points(docs: DataFrame, key: str, k: int, percent: int, frequent) -> DataFr
     return map_batches(docs, points, f"`{key}` long, n long, f1 long, f2 long, sketch binary, window array<long>")
 
 
-_REGION = "region long, last long, level int, a long, b long, na long, nb long, many boolean"
+_REGION = "region long, last long, level int, a long, b long, na long, nb long, at long, many boolean"
+
+
+def _possible(na, ia, nb, ib, level, percent: int):
+    """Whether sets of ``na`` and ``nb`` items can link whose ``level``-th common
+    item stands at places ``ia`` and ``ib`` (numbers, arrays or columns)."""
+    least = F.least if hasattr(na, "cast") else np.minimum
+    both = least(na - ia, nb - ib) + level - 1
+    return 100 * both >= percent * (na + nb - both)
 
 
 def _region_pairs(rows: DataFrame, percent: int, pivots: int) -> DataFrame:
     """Pairs of each region's first ``pivots`` points with its other points,
     and (``many``, b = a) the points of regions that have more points.
 
-    ``rows`` (region, last, level, node, n) are dealt by region and sorted, so
+    ``rows`` (region, last, level, node, n, at) are dealt by region and sorted, so
     a region is a run of rows.  Only its first points are held in memory,
     whatever its size."""
     ship(rows.sparkSession)
-    names = ["region", "last", "level", "node", "n"]
+    names = ["region", "last", "level", "node", "n", "at"]
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.int64) for _ in names]
@@ -148,7 +160,7 @@ def _region_pairs(rows: DataFrame, percent: int, pivots: int) -> DataFrame:
             old = len(held[0])
             cols = [np.concatenate((h, batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64)))
                     for i, h in enumerate(held)]
-            region, last, level, node, n = cols
+            region, last, level, node, n, place = cols
             rows_n = len(region)
             if not rows_n:
                 continue
@@ -163,21 +175,21 @@ def _region_pairs(rows: DataFrame, percent: int, pivots: int) -> DataFrame:
                 j = start[i] + p
                 i, j = i[node[i] != node[j]], j[node[i] != node[j]]
                 near = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+                near &= _possible(n[i], place[i], n[j], place[j], level[i], percent)
                 i, j = i[near], j[near]
-                out.append((region[i], last[i], level[i], node[j], node[i], n[j], n[i], np.zeros(len(i), bool)))
+                out.append((region[i], last[i], level[i], node[j], node[i], n[j], n[i], place[i], np.zeros(len(i), bool)))
             large = np.repeat(size, size) > pivots
             if held_many and old:
                 large[:old] = False
             i = np.flatnonzero(large)
-            out.append((region[i], last[i], level[i], node[i], node[i], n[i], n[i], np.ones(len(i), bool)))
+            out.append((region[i], last[i], level[i], node[i], node[i], n[i], n[i], place[i], np.ones(len(i), bool)))
             cols_out = [np.concatenate(x) for x in zip(*out)]
             if len(cols_out[0]):
                 cols_out[2] = cols_out[2].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols_out],
-                                                 names=["region", "last", "level", "a", "b", "na", "nb", "many"])
-            at = first[-1]
+                                                 names=["region", "last", "level", "a", "b", "na", "nb", "at", "many"])
             held_many = int(size[-1]) > pivots
-            held = [x[at:][:pivots] for x in cols]
+            held = [x[first[-1] :][:pivots] for x in cols]
 
     dealt = rows.select(*names).repartition("region").sortWithinPartitions("region", "node")
     return dealt.mapInArrow(stream, _REGION)
@@ -247,8 +259,8 @@ def jaccard_links(docs: DataFrame, key: str = "doc_id", k: int = 5, percent: int
         key, "n", F.when(F.col("n") > 0, F.coalesce("node", key)).otherwise(F.col(key)).alias("node"))
     own = firsts.select(F.col("node").alias(key))
     nodes = stored(every.where("n > 0").join(own, key, "left_semi").dropDuplicates([key]).withColumnRenamed(key, "node"))
-    rows = nodes.select(F.explode("window").alias("region"), "node", "n").select(
-        "region", F.col("region").alias("last"), F.lit(1).alias("level"), "node", "n")
+    rows = nodes.select(F.posexplode("window").alias("at", "region"), "node", "n").select(
+        "region", F.col("region").alias("last"), F.lit(1).alias("level"), "node", "n", "at")
     sketches = nodes.select("node", "sketch")
     links = None
     while True:
@@ -256,7 +268,7 @@ def jaccard_links(docs: DataFrame, key: str = "doc_id", k: int = 5, percent: int
         tests = _compared(_distinct(found.where("not many")), docs, sketches, key, k, percent)
         fresh = tests.where((100 * F.col("both")) >= percent * (F.col("na") + F.col("nb") - F.col("both")))
         links = stored(fresh if links is None else links.unionByName(fresh))
-        many = found.where("many").select("region", "last", "level", F.col("a").alias("node"), F.col("na").alias("n"))
+        many = found.where("many").select("region", "last", "level", F.col("a").alias("node"), F.col("na").alias("n"), "at")
         if many.isEmpty():
             return points, links
         links, rows = _split(many, tests, links, docs, sketches, frequent, key, k, percent, wide, depth)
@@ -269,27 +281,31 @@ def _split(many: DataFrame, tests: DataFrame, links: DataFrame, docs: DataFrame,
     """One recursion: finishes regions with few points outside of their largest
     component, and gives the rows of the next regions of the others."""
     comp = stored(components(links, one_task=ONE_TASK_EDGES))
-    member = stored(many.join(comp, "node", "left")
-                    .select("region", "last", "level", "node", "n", F.coalesce("component", "node").alias("component")))
-    by_comp = member.groupBy("region", "component").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"))
+    least = many.groupBy("region").agg(F.min("n").alias("least"), F.min("node").alias("pivot"))
+    best = F.greatest(F.col("n") - F.col("at") + F.col("level") - 1, F.col("least"))  # the size that suits the point best
+    member = stored(many.join(least, "region").where(_possible(F.col("n"), F.col("at"), best, F.lit(0), F.col("level"), percent))
+                    .join(comp, "node", "left")
+                    .select("region", "last", "level", "node", "n", "at", "pivot", F.coalesce("component", "node").alias("component")))
+    by_comp = member.groupBy("region", "component").agg(F.count(F.lit(1)).alias("size"))
     region = stored(by_comp.groupBy("region").agg(
-        F.count(F.lit(1)).alias("parts"), F.sum("size").alias("size"), F.max(F.struct("size", "component")).alias("top"),
-        F.min("first").alias("pivot")).where("parts > 1")
-        .select("region", "pivot", F.col("top.component").alias("top"), (F.col("size") - F.col("top.size")).alias("outside")))
+        F.count(F.lit(1)).alias("parts"), F.sum("size").alias("size"), F.max(F.struct("size", "component")).alias("top"))
+        .where("parts > 1")
+        .select("region", F.col("top.component").alias("top"), (F.col("size") - F.col("top.size")).alias("outside")))
     open_rows = member.join(region, "region")
     done = (F.col("outside") <= wide) | (F.col("level") >= depth)
     # Triangle inequality at the region's first pivot, where both distances are known.
     gap = tests.select(F.col("a").alias("pivot"), F.col("b").alias("node"),
                        (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("d"))
     known = stored(open_rows.where(done).join(gap, ["pivot", "node"], "left"))
-    z = known.where("component <> top").select("region", F.col("node").alias("a"), F.col("n").alias("na"),
-                                               F.col("component").alias("ca"), F.col("d").alias("da"))
-    y = known.select("region", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"),
-                     F.col("d").alias("db"))
+    z = known.where("component <> top").select("region", F.col("node").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"),
+                                               F.col("component").alias("ca"), F.col("d").alias("da"), "level")
+    y = known.select("region", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"),
+                     F.col("component").alias("cb"), F.col("d").alias("db"))
     r = 1 - percent / 100 + 1e-9
     pairs = z.join(y, "region").where(
         (F.col("ca") != F.col("cb"))
         & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+        & _possible(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib"), F.col("level"), percent)
         & (F.col("da").isNull() | F.col("db").isNull() | (F.abs(F.col("da") - F.col("db")) <= r)))
     compared = _compared(_distinct(pairs.select("a", "b", "na", "nb")), docs, sketches, key, k, percent)
     fresh = compared.where((100 * F.col("both")) >= percent * (F.col("na") + F.col("nb") - F.col("both")))
@@ -302,23 +318,25 @@ def _split(many: DataFrame, tests: DataFrame, links: DataFrame, docs: DataFrame,
     own = docs.dropDuplicates([key]).join(wanted, docs[key] == wanted["node"]).select("node", "text", "regions")
 
     def deeper(part: dict) -> dict:
-        out: dict = {c: [] for c in ("region", "last", "level", "node", "n")}
+        out: dict = {c: [] for c in ("region", "last", "level", "node", "n", "at")}
         for node, regions, w in zip(part["node"], part["regions"], word_hashes(part["text"], fold=True)):
             s = _ordered(shingles(w, k), frequent.value)
             n = len(s)
             place = {int(x): i for i, x in enumerate(s.view(np.int64).tolist())}
             for one in regions:
                 to = n - _least_overlap(n, percent) + 1 + one["level"]
-                for x in s[place[one["last"]] + 1 : to]:
+                for i in range(place[one["last"]] + 1, min(to, n)):
+                    x = s[i]
                     name = mix(np.array([one["region"]], np.int64).view(U) * U(3) + x)
                     out["region"].append(int(name.view(np.int64)[0]))
                     out["last"].append(int(x.astype(np.int64)))
                     out["level"].append(one["level"] + 1)
                     out["node"].append(node)
                     out["n"].append(n)
+                    out["at"].append(i)
         return out
 
-    return links, stored(map_batches(own, deeper, "region long, last long, level int, node long, n long"))
+    return links, stored(map_batches(own, deeper, "region long, last long, level int, node long, n long, at long"))
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:

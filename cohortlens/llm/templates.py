@@ -18,7 +18,8 @@ tokens are literal and lower-cased.
    the document, for names also the other way round.  So a question with other
    names and numbers is found, and a chance likeness of templates is not.
 4. A document is contaminated by an item if the consistent alignments hold at
-   least ``share`` of the item's windows.
+   least ``share`` of the item's windows, or ``enough`` of them (13 tokens in a
+   row, as decontamination by n-grams asks for).
 
 Null or empty texts and items have no windows.  An item with fewer than
 ``least_literal`` literal tokens in every window cannot be told from chance and
@@ -39,7 +40,8 @@ from .words import BLOCK, U, cut_blocks, hash_spans, numbers, window_hashes
 WINDOW = 8
 LEAST_LITERAL = 4
 SHARE = 0.4
-BROADCAST_WINDOWS = 1_000_000
+ENOUGH = 6
+BROADCAST_WINDOWS = 200_000
 #: Words that are units behind a number (fixed values).
 UNITS = ("mm cm m km inch inches foot feet yard yards mile miles mg g kg ton tons tonne tonnes ounce ounces pound pounds lb lbs oz "
          "ml cl l liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month "
@@ -174,7 +176,7 @@ def template_windows(rows: DataFrame, key: str, lengths, least_literal: int, wan
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id", window: int = WINDOW,
-                 least_literal: int = LEAST_LITERAL, share: float = SHARE,
+                 least_literal: int = LEAST_LITERAL, share: float = SHARE, enough: int = ENOUGH,
                  broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """(key, item, n_windows, n_matched, n_changed_slots) of every document and
     item that it holds, re-parameterised or not."""
@@ -206,7 +208,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", ite
     per_item = fits.groupBy(key, item).agg(
         F.max("n_windows").alias("n_windows"), F.count_distinct("item_at").alias("n_matched"),
         F.max("changed").alias("n_changed_slots"))
-    return per_item.where(F.col("n_matched") >= share * F.col("n_windows")).select(
+    return per_item.where(F.col("n_matched") >= F.least(share * F.col("n_windows"), F.lit(float(enough)))).select(
         key, item, "n_windows", "n_matched", F.col("n_changed_slots").cast("long").alias("n_changed_slots"))
 
 

@@ -17,7 +17,7 @@ def test_leaks_and_parameters(spark):
                                "doc_id long, text string, item_id int, h string")
     bench = spark.createDataFrame([(100, ITEM), (200, OTHER), (300, "Tom 3"), (400, None), (200, OTHER), (None, ITEM)],
                                   "item_id long, text string")
-    for limit in (1_000_000, 0):  # with the broadcast filter, and all windows joined
+    for limit in (200_000, 0):  # with the broadcast filter, and all windows joined
         rows = contaminated(df, bench, broadcast_windows=limit).collect()
         got = {(r.doc_id, r.item_id): r for r in rows}
         assert len(rows) == len(got)
