@@ -20,6 +20,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.functions.quantiles import exact_medians
 from cohortlens.operators.recommend import score_treatments
 from cohortlens.operators.similarity import lit_set, lookup_row
 
@@ -31,23 +32,24 @@ DEFAULT_NEIGHBOURS = 7
 
 def scaling_stats(df: DataFrame, cols: list[str] = KNN_NUMERIC,
                   query_key: str | None = None) -> tuple[dict[str, tuple[float, float, float]], dict | None]:
-    """Per column (median, mean, population std) after median imputation,
-    from ONE aggregate pass: with m the median, k non-null values and z nulls,
-    the imputed sum is sum + z m and the imputed sum of squares sumsq + z m^2.
+    """Per column (median, mean, population std) after median imputation:
+    with m the median (exact, from counted values), k non-null values and z
+    nulls, the imputed sum is sum + z m and the sum of squares sumsq + z m^2.
     A zero std becomes 1 (the column then scales to 0).  With ``query_key``
     the same pass also returns the row with the smallest key (position 0)."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in cols:
         x = F.col(c).cast("double")
-        aggs += [F.median(x).alias(f"med_{c}"), F.sum(x).alias(f"sum_{c}"), F.sum(x * x).alias(f"sq_{c}"),
+        aggs += [F.sum(x).alias(f"sum_{c}"), F.sum(x * x).alias(f"sq_{c}"),
                  F.count(x).alias(f"cnt_{c}")]
     if query_key:
         aggs.append(F.min_by(F.struct(*df.columns), F.col(query_key)).alias("_q"))
     row = df.agg(*aggs).first()
+    medians = exact_medians(df, cols)
     n = float(row["_n"] or 0)
     out = {}
     for c in cols:
-        med = float(row[f"med_{c}"]) if row[f"med_{c}"] is not None else 0.0
+        med = medians[c] if medians[c] is not None else 0.0
         nulls = n - float(row[f"cnt_{c}"] or 0)
         total = float(row[f"sum_{c}"] or 0.0) + nulls * med
         sq = float(row[f"sq_{c}"] or 0.0) + nulls * med * med

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.functions.quantiles import exact_medians
 from cohortlens.functions.expr import canonical_set
 from cohortlens.operators.treatments import treatment_summary
 
@@ -72,10 +73,9 @@ def knn_dataset(base: DataFrame, dx: DataFrame) -> DataFrame:
 def modelling_flags(df: DataFrame) -> DataFrame:
     """P20: elderly (> 65), high burden (> 10), age median-filled.
 
-    The exact median is a single-row global aggregate joined back."""
-    med = df.agg(F.median("age").alias("_age_median"))
-    out = df.crossJoin(F.broadcast(med)).withColumn("age_filled", F.coalesce(F.col("age").cast("double"),
-                                                                              F.col("_age_median")))
+    The median is exact and comes from counted values."""
+    median = exact_medians(df, ["age"])["age"]
+    out = df.withColumn("age_filled", F.coalesce(F.col("age").cast("double"), F.lit(median).cast("double")))
     cols = [F.col("hadm_id"), F.col("age_filled").alias("age"),
             (F.col("age_filled") > 65).cast("int").alias("elderly"),
             F.coalesce("diagnosis_count", F.lit(0)).cast("long").alias("diagnosis_count"),

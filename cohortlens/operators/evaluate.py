@@ -168,10 +168,11 @@ def confusion_matrix(pred: DataFrame, model_col: str = "model") -> DataFrame:
         F.count_if((F.col("label") == 1) & (F.col("prediction") == 1)).alias("tp"))
 
 
-def tune_threshold(scored: DataFrame, default: float = 0.5, min_rows: int = 20) -> DataFrame:
+def tune_threshold(scored: DataFrame, default: float = 0.5, min_rows: int = 20, min_positives: int = 2) -> DataFrame:
     """M7: threshold with the best accuracy, ties by F1, then the lowest
     threshold, over {default} and every score; ``default`` unless there are
-    at least ``min_rows`` rows, both classes and two positives.
+    at least ``min_rows`` rows, ``min_positives`` positives and both classes
+    (with ``min_positives=0`` any scores are tuned).
 
     Cumulative counts by score (descending) replace a rescan per threshold."""
     per = scored.groupBy("score").agg(F.count_if(F.col("label") == 1).alias("pos"),
@@ -191,7 +192,9 @@ def tune_threshold(scored: DataFrame, default: float = 0.5, min_rows: int = 20)
     f1 = F.when(2 * tp + fp + (n1 - tp) > 0, 2 * tp / (2 * tp + fp + (n1 - tp))).otherwise(F.lit(0.0))
     best = (c.select(F.col("score").alias("threshold"), acc.alias("accuracy"), f1.alias("f1_score"), "N", "N1")
             .orderBy(F.col("accuracy").desc(), F.col("f1_score").desc(), F.col("threshold").asc()).limit(1))
-    eligible = (F.col("N") >= min_rows) & (F.col("N1") > 0) & (F.col("N1") < F.col("N")) & (F.col("N1") >= 2)
+    eligible = (F.col("N") >= min_rows) & (F.col("N1") >= min_positives)
+    if min_positives:
+        eligible = eligible & (F.col("N1") < F.col("N"))
     return best.select(F.when(eligible, F.col("threshold")).otherwise(F.lit(float(default))).alias("threshold"),
                        F.when(eligible, F.col("accuracy")).alias("validation_accuracy"),
                        F.when(eligible, F.col("f1_score")).alias("validation_f1"),

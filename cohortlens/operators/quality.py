@@ -68,18 +68,20 @@ def diagnosis_qa(dx: DataFrame) -> DataFrame:
 
 
 def table_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row per column with type, null count and exact distinct count,
-    all from a single aggregation (then unpivoted)."""
+    """One row per column with type, null count and exact distinct count.
+
+    Each (column, value) is counted first, with map-side combine; the values
+    then only need to be counted per column, so no row is expanded once for
+    every distinct count of one aggregate."""
     cols = columns or df.columns
     ensure_columns(df, cols)
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(cols):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"n{i}"), F.count_distinct(c).alias(f"d{i}")]
-    row = df.agg(*aggs)
     types = dict(df.dtypes)
-    stack = ", ".join(f"'{c}', '{types[c]}', n{i}, d{i}" for i, c in enumerate(cols))
-    return row.selectExpr("_rows AS row_count",
-                          f"stack({len(cols)}, {stack}) AS (column_name, data_type, null_count, distinct_count)")
+    one = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
+                                       F.col(c).cast("string").alias("v")) for c in cols]))
+    values = df.select(one.alias("p")).select("p.*").groupBy("column_name", "data_type", "v").agg(F.count(F.lit(1)).alias("n"))
+    return values.groupBy("column_name", "data_type").agg(
+        F.sum("n").alias("row_count"), F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+        F.count("v").alias("distinct_count")).select("row_count", "column_name", "data_type", "null_count", "distinct_count")
 
 
 def top_items(events: DataFrame, dictionary: DataFrame, n: int = 50) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators import cosine, evaluate, quality
 from cohortlens.operators.dataset import joined_dataset, modelling_flags
-from cohortlens.operators.neighbours import neighbour_vote
+from cohortlens.operators.neighbours import FIT_ROWS, neighbour_vote
 from cohortlens.plans.features import Features
 from cohortlens.plans.oracle_ctes import BASE_CTES, CLIN_CTES, DX_CTES, TALL_CTE, TR_CTES, TRC_CTE, base_ctes, with_ctes
 from cohortlens.plans.queries import jac_sql, r6, register
@@ -241,6 +241,21 @@ def q_alignment_bands(spark, sf_dir):
     return _r6_all(b.withColumn("band", F.col("band").cast("bigint")))
 
 
+_LOS_ALIGN = ALIGN_CTES.replace("b.mortality IS NOT NULL", "b.los_days IS NOT NULL").replace(
+    "CAST(b.mortality AS DOUBLE) AS y", "CAST(b.los_days AS DOUBLE) AS y, d.icd_version_mix AS g").replace(
+    "CAST(a.y = b.y AS DOUBLE) AS yy", "exp(-0.05 * abs(a.y - b.y)) AS yy").replace(
+    "ON a.hadm_id < b.hadm_id", "ON a.hadm_id < b.hadm_id AND a.g = b.g")
+
+
+@register("alignment_los_same_version", with_ctes(BASE_CTES, DX_CTES, _LOS_ALIGN) + """
+SELECT 'los_days' AS outcome_column, (SELECT count(*) FROM smp) AS sampled_patients, count(*) AS pair_count,
+       true AS same_version_only, round(corr(x, yy), 6) AS correlation, round(avg(x), 6) AS mean_similarity,
+       round(avg(yy), 6) AS mean_outcome_match_rate FROM prs""")
+def q_alignment_los_same_version(spark, sf_dir):
+    f = Features(spark, sf_dir)
+    return _r6_all(evaluate.outcome_alignment(joined_dataset(f.base, f.dx, None), "los_days", 1000, 42, True, 5)[0])
+
+
 # --- predictions of whole-table scores (M7, M9, M10, M20) -----------------------------
 
 def _score_predictions(spark, sf_dir):
@@ -336,36 +351,30 @@ def q_stratified_split(spark, sf_dir):
     return s.select("hadm_id", "mortality", "is_test")
 
 
-VOTE_SAMPLE = 2000
-
-
 def _vote(spark, sf_dir):
-    clin = Features(spark, sf_dir).clin
-    smp = materialize(evaluate.sample_by_hash(clin, VOTE_SAMPLE, 7))  # bounded sample, computed once
-    split = evaluate.stratified_split(smp, "mortality", 0.2, 42)
-    train = split.filter(~F.col("is_test"))
-    test = split.filter(F.col("is_test"))
-    return materialize(neighbour_vote(train, test, "mortality"))
+    """Every held-out admission of the whole cohort is scored; only the fit
+    rows of the vote are bounded (FIT_ROWS)."""
+    split = materialize(evaluate.stratified_split(Features(spark, sf_dir).clin, "mortality", 0.2, 42))
+    return materialize(neighbour_vote(split.filter(~F.col("is_test")), split.filter("is_test"), "mortality"))
 
 
 VOTE_CTES = r"""
-smp AS MATERIALIZED (SELECT *, array_concat(list_transform(rx_drug_list, lambda x: 'rx:' || x),
-                                        list_transform(proc_icd_list, lambda x: 'proc:' || x)) AS tt
-                 FROM clin ORDER BY md5(CAST(hadm_id AS VARCHAR) || '7'), hadm_id LIMIT 2000),
-rk AS (SELECT *, row_number() OVER (PARTITION BY mortality ORDER BY md5(CAST(hadm_id AS VARCHAR) || '42'), hadm_id) AS rn,
-              count(*) OVER (PARTITION BY mortality) AS n FROM smp),
-sp AS MATERIALIZED (SELECT *, rn <= floor(n * 0.2 + 0.5) AS is_test FROM rk),
+sp AS MATERIALIZED (
+  SELECT *, array_concat(list_transform(rx_drug_list, lambda x: 'rx:' || x), list_transform(proc_icd_list, lambda x: 'proc:' || x)) AS tt,
+    row_number() OVER (PARTITION BY mortality ORDER BY md5(CAST(hadm_id AS VARCHAR) || '42'), hadm_id)
+      <= floor(count(*) OVER (PARTITION BY mortality) * 0.2 + 0.5) AS is_test FROM clin),
+fit AS MATERIALIZED (SELECT * FROM sp WHERE NOT is_test ORDER BY md5(CAST(hadm_id AS VARCHAR) || '7'), hadm_id LIMIT {fit}),
 pairs AS (
   SELECT q.hadm_id AS qid, c.hadm_id AS cid, CAST(c.mortality AS DOUBLE) AS y,
          0.6 * {jd} + 0.4 * {jt} AS sim
-  FROM sp q JOIN sp c ON q.is_test AND NOT c.is_test),
+  FROM sp q JOIN fit c ON q.is_test),
 top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY sim DESC, cid ASC) AS k
                        FROM pairs WHERE sim > 0) WHERE k <= 15),
 votes AS (SELECT qid, sum(pow(sim, 2) * y) / sum(pow(sim, 2)) AS vote FROM top GROUP BY qid),
 vp AS (SELECT t.hadm_id, CAST(t.mortality AS INTEGER) AS label,
               coalesce(v.vote, (SELECT avg(CAST(mortality AS DOUBLE)) FROM sp WHERE NOT is_test)) AS score
        FROM sp t LEFT JOIN votes v ON t.hadm_id = v.qid WHERE t.is_test)
-""".format(jd=jac_sql("q.diagnoses_icd_list", "c.diagnoses_icd_list"), jt=jac_sql("q.tt", "c.tt"))
+""".format(jd=jac_sql("q.diagnoses_icd_list", "c.diagnoses_icd_list"), jt=jac_sql("q.tt", "c.tt"), fit=FIT_ROWS)
 
 
 @register("neighbour_vote", with_ctes(BASE_CTES, DX_CTES, TR_CTES, CLIN_CTES, VOTE_CTES) + """
@@ -396,49 +405,53 @@ def q_neighbour_vote_metrics(spark, sf_dir):
 
 # --- Spark ML model benchmark (no SQL oracle: rows-only check) ----------------------
 
-MODEL_SAMPLE = 5000
-_BENCH_CACHE: dict = {}
+def _model_tables(spark, sf_dir):
+    """Predictions for every held-out admission and importances, built once
+    per input and definition like the feature tables."""
+    from cohortlens.operators.models import run_model_benchmark
+    f = Features(spark, sf_dir)
+    made = {}
 
+    def bench(part):
+        if not made:
+            made.update(run_model_benchmark(f.clin, "mortality", include_gbt=True, boosting_rounds=20))
+        return made[part]
 
-def _model_bench(spark, sf_dir):
-    from cohortlens.operators.models import run_model_benchmark
-    key = (id(spark), sf_dir)
-    if key not in _BENCH_CACHE:
-        clin = Features(spark, sf_dir).clin
-        smp = materialize(evaluate.sample_by_hash(clin, MODEL_SAMPLE, 11))
-        _BENCH_CACHE[key] = run_model_benchmark(smp, "mortality")
-    return _BENCH_CACHE[key]
+    return (f._stored("ml_predictions", lambda: bench("predictions")),
+            f._stored("ml_importance", lambda: bench("importance")))
 
 
 @register("model_comparison")
 def q_model_comparison(spark, sf_dir):
-    return _model_bench(spark, sf_dir)["comparison"].drop("fit_predict_seconds")
+    from cohortlens.operators.models import compare_models
+    return compare_models(_model_tables(spark, sf_dir)[0])
 
 
 @register("model_predictions")
 def q_model_predictions(spark, sf_dir):
-    return _model_bench(spark, sf_dir)["predictions"]
+    return _model_tables(spark, sf_dir)[0]
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf_dir):
     from cohortlens.operators.models import top_features
-    return top_features(_model_bench(spark, sf_dir)["importance"], 10)
+    return top_features(_model_tables(spark, sf_dir)[1], 10)
 
 
 @register("best_model")
 def q_best_model(spark, sf_dir):
-    return _model_bench(spark, sf_dir)["best"].select("model", "roc_auc", "f1_score", "accuracy")
+    from cohortlens.operators.models import compare_models
+    return compare_models(_model_tables(spark, sf_dir)[0]).limit(1).select("model", "roc_auc", "f1_score", "accuracy")
 
 
 @register("model_confusion")
 def q_model_confusion(spark, sf_dir):
-    return evaluate.confusion_matrix(_model_bench(spark, sf_dir)["predictions"])
+    return evaluate.confusion_matrix(_model_tables(spark, sf_dir)[0])
 
 
 @register("model_residuals")
 def q_model_residuals(spark, sf_dir):
-    return evaluate.residual_histogram(_model_bench(spark, sf_dir)["predictions"], 30, "model")
+    return evaluate.residual_histogram(_model_tables(spark, sf_dir)[0], 30, "model")
 
 
 # --- documented operators (D1-D8) ----------------------------------------------------
