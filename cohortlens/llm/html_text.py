@@ -16,8 +16,9 @@ or ``main`` element starts from the innermost such element.
 
 Elements that say that they are no article text (menus, page headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments) are taken
-out first, by element name or by a word of class, id or role; ``header`` stays
-inside an ``article``.  What is kept loses no block, however short.
+out first, by element name or by a word of class, id or role.  Heads stay inside
+an ``article``, and a marked wrapper around the page's article stays (unless it
+is marked as comments).  What is kept loses no block, however short.
 
 Character references are decoded, white space inside a block becomes one space
 and is trimmed (a line break element is white space), and non-empty blocks are
@@ -45,11 +46,13 @@ OUT = frozenset("script style noscript template head title nav footer aside form
                 "iframe object embed svg canvas audio video map dialog menu".split())
 #: Words of class, id or role that mark such an element.
 OUT_WORDS = frozenset(
-    "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer sidebar aside complementary "
+    "hidden nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer sidebar aside complementary "
     "banner ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr "
     "notice notices alert popup modal overlay newsletter subscribe subscription signup login form search share sharing "
     "social related recommended comment comments disqus respond reply replies contentinfo copyright pagination pager".split())
-OUT_COMMENTS = frozenset("comment comments reply replies".split())
+OUT_COMMENTS = frozenset("comment comments disqus respond reply replies".split())
+#: Marks of a page's head, which inside an article may hold its title.
+OUT_HEADS = frozenset("header masthead topbar".split())
 #: Start tags that end an open paragraph.
 BREAKS_P = frozenset("address article aside blockquote body center details dialog dir div dl dd dt fieldset figcaption figure footer "
                      "form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table ul".split())
@@ -63,11 +66,12 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "out", "inline", "parent", "items", "c", "t", "lc", "lt", "density", "total")
+    __slots__ = ("tag", "out", "wrapper", "inline", "parent", "items", "c", "t", "lc", "lt", "density", "total")
 
     def __init__(self, tag: str, out: bool, parent: "Node | None"):
         self.tag, self.out, self.parent = tag, out, parent
         self.inline = tag in INLINE
+        self.wrapper = False  # out only by a mark that an article inside lifts
         self.items: list[Node | str] = []
         self.c = self.t = self.lc = self.lt = 0
         self.density = self.total = 0.0
@@ -89,7 +93,12 @@ class Tree(HTMLParser):
             for kind in ENDS[tag]:
                 self._end_upto((kind,), STOPS[tag])
         top = self.open[-1]
-        node = Node(tag, tag in OUT or self._marked(tag, attrs, top), top)
+        node = Node(tag, tag in OUT, top)
+        if not node.out and (marks := self._marks(tag, attrs)):
+            node.out, node.wrapper = True, OUT_COMMENTS.isdisjoint(marks)
+        if tag in ("article", "main") and not node.out and not any(x.tag in ("article", "main") for x in self.open):
+            for x in self.open:
+                x.out = x.out and not x.wrapper
         top.items.append(node)
         if tag == "body" and self.body is None:
             self.body = node
@@ -113,15 +122,19 @@ class Tree(HTMLParser):
             if self.open[i].tag in stops:
                 return
 
-    def _marked(self, tag: str, attrs: list, top: Node) -> bool:
-        if tag == "header":
-            while top is not None and top.tag != "article":
-                top = top.parent
-            return top is None
+    def _marks(self, tag: str, attrs: list) -> set:
+        """The words of class, id or role that take the element out."""
         if tag in ("html", "body", "main"):
-            return False
-        marks = OUT_COMMENTS if tag == "article" else OUT_WORDS
-        return any((k in ("class", "id", "role") and v and not marks.isdisjoint(_words(v))) or k == "hidden" for k, v in attrs)
+            return set()
+        words = {w for k, v in attrs if k in ("class", "id", "role") and v for w in _words(v)}
+        if tag == "header":
+            words.add("header")
+        if any(k == "hidden" for k, _ in attrs):
+            words.add("hidden")
+        marks = words & (OUT_COMMENTS if tag == "article" else OUT_WORDS)
+        if not marks.isdisjoint(OUT_HEADS) and any(x.tag == "article" for x in self.open):
+            marks -= OUT_HEADS
+        return marks
 
 
 def _words(value: str) -> list[str]:

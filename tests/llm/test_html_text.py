@@ -15,6 +15,9 @@ LONG = "Words of a long paragraph that clearly is the article, with some more wo
      "<aside>" + LONG * 5 + "</aside></body>", LONG.strip() + "\n" + LONG.strip()),
     ("<article><p>a<script>var x='<p>no</p>'</script><style>p{}</style>b</p><!-- c --><ul><li>l1<li>l2</ul></article>", "ab\nl1\nl2"),
     ("<article><p>cut off in the midd", "cut off in the midd"),
+    ("<body class='has-sidebar'><div class='page with-sidebar'><article><div class='entry-header'><h1>T</h1></div><p>x</p></article>"
+     "<div id=sidebar>s</div></div><div class='page-header'>top</div></body>", "T\nx"),
+    ("<article><p>x</p></article><div id=comments><article><p>" + LONG + "</p></article></div>", "x"),
     ("<div><p>" + LONG + "</p><p>" + LONG * 3 + "</p></div><div><a href=a>" + "link " * 30 + "</a> <a href=b>more links here</a></div>",
      LONG.strip() + "\n" + (LONG * 3).strip()),
 ])
