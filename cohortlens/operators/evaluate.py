@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.expr import jaccard_from_counts
 from cohortlens.session import materialize
-from cohortlens.functions.running import md5_bucket, quantile_bucket, running_sums
+from cohortlens.functions.running import hex_digits, md5_bucket, quantile_bucket, running_sums
 
 
 def hash_order(id_col: str, seed: int) -> F.Column:
@@ -69,8 +69,8 @@ def outcome_alignment(df: DataFrame, outcome: str = "mortality", sample_size: in
              .groupBy(F.col("a.id").alias("ia"), F.col("b.id").alias("ib")).agg(F.count(F.lit(1)).alias("k")))
     info = sample.select("id", F.size("s").alias("n"), "y")
     ia, ib = info.alias("ia"), info.alias("ib")
-    pairs = (inter.join(F.broadcast(ia), F.col("ia") == F.col("ia.id"))
-             .join(F.broadcast(ib), F.col("ib") == F.col("ib.id"))
+    pairs = (inter.join(ia, F.col("ia") == F.col("ia.id"))
+             .join(ib, F.col("ib") == F.col("ib.id"))
              .select(jaccard_from_counts(F.col("k"), F.col("ia.n"), F.col("ib.n")).alias("x"),
                      (F.exp(-los_rate * F.abs(F.col("ia.y") - F.col("ib.y"))) if is_los
                       else (F.col("ia.y") == F.col("ib.y")).cast("double")).alias("yy")))
@@ -210,7 +210,7 @@ def residual_histogram(pred: DataFrame, bins: int = 30, model_col: str | None =
     rng = r.groupBy(*keys).agg(F.min("r").alias("lo0"), F.max("r").alias("hi0"))
     rng = rng.select(*keys, F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
                      F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"))
-    joined = r.join(F.broadcast(rng), keys) if keys else r.crossJoin(rng)
+    joined = r.join(rng, keys) if keys else r.crossJoin(rng)
     b = F.least(F.floor((F.col("r") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
     counts = joined.groupBy(*keys, b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     all_bins = pred.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
@@ -230,9 +230,9 @@ def stratified_split(df: DataFrame, label: str, test_size: float = 0.2, seed: in
     hash order; adds ``is_test``.  Ranks come from distributed running sums,
     so a dominant class is still split over many tasks."""
     keyed = df.withColumn("_one", F.lit(1)).withColumn("_h", hash_order(id_col, seed))
-    ranked = running_sums(keyed, [label], [F.col("_h"), F.col(id_col)], ["_one"], bucket=md5_bucket(F.col("_h")))
+    ranked = running_sums(keyed, [label], [F.col("_h"), F.col(id_col)], ["_one"], bucket=md5_bucket(F.col("_h"), hex_digits(df.count())))
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    out = ranked.join(F.broadcast(sizes), label)  # one row per class
+    out = ranked.join(sizes, label)  # one row per class: Spark broadcasts it while it is small
     n_test = F.floor(F.col("_n") * F.lit(float(test_size)) + 0.5)
     return out.withColumn("is_test", F.col("cum__one") <= n_test).drop("_one", "_h", "cum__one", "_n")
 

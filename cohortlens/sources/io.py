@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -29,19 +30,25 @@ def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=RAW_SCHEMAS[table], mode="PERMISSIVE")
 
 
-def land_raw_tables(spark: SparkSession, csv_dir: str, out_dir: str, partitions: int | None = None) -> None:
-    """S1 + S6: land each raw CSV once as Parquet.  Gzip files do not split,
-    so each is repartitioned before the write."""
-    import os
+def land_raw_tables(spark: SparkSession, csv_dir: str, out_dir: str, partitions: int | None = None) -> list[str]:
+    """S1 + S6: land each raw CSV that is there once as Parquet; returns their
+    names.  Gzip files do not split, so each is repartitioned before the write.
+    Existence is Spark's own answer, so any store works."""
+    landed = []
     for table in RAW_SCHEMAS:
         for ext in (".csv.gz", ".csv"):
-            src = os.path.join(csv_dir, table + ext)
-            if os.path.exists(src):
-                df = read_raw_csv(spark, src, table)
-                if partitions:
-                    df = df.repartition(partitions)
-                df.write.mode("overwrite").parquet(os.path.join(out_dir, table))
-                break
+            try:
+                df = read_raw_csv(spark, f"{csv_dir.rstrip('/')}/{table}{ext}", table)
+            except AnalysisException as error:
+                if "PATH_NOT_FOUND" not in str(error.getCondition()):
+                    raise
+                continue
+            if partitions:
+                df = df.repartition(partitions)
+            df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{table}")
+            landed.append(table)
+            break
+    return landed
 
 
 def write_table(df: DataFrame, path: str, sort_within: list[str] | None = None) -> None:
