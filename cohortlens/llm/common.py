@@ -84,7 +84,7 @@ def map_batches(df: DataFrame, fn: Callable[[dict], Iterator[dict] | dict], sche
 
 
 #: Bytes of an Arrow batch on its way to Python.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 #: Bytes of input that one call of a batch function gets at most (a longer row comes alone).
 PIECE_BYTES = 4 << 20
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import map_batches
 
-SYMBOLS = 48
+SYMBOLS = 40
 ORDER = 3
 FIT_ROWS = 20_000
 BLOCK = 1 << 19
@@ -73,16 +73,18 @@ def _alphabet(counts: np.ndarray) -> np.ndarray:
 def code_table(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Code length in bits of the last of each ``ORDER + 1`` symbols, from the
     frozen counts (PPM without update; escape method C)."""
-    top = np.bincount(grams, weights=counts, minlength=SYMBOLS ** (ORDER + 1)).reshape((SYMBOLS,) * (ORDER + 1))
-    p = np.full(SYMBOLS, 1 / SYMBOLS)
+    top = np.zeros(SYMBOLS ** (ORDER + 1), np.float32)
+    top[grams] = counts
+    top = top.reshape((SYMBOLS,) * (ORDER + 1))
+    p = np.full(SYMBOLS, 1 / SYMBOLS, np.float32)
     for order in range(ORDER + 1):
-        n = top.sum(axis=tuple(range(ORDER - order)))
+        n = top.sum(axis=tuple(range(ORDER - order)), dtype=np.float64).astype(np.float32) if order < ORDER else top
         seen = n > 0
-        distinct, total = seen.sum(-1, keepdims=True), n.sum(-1, keepdims=True)
-        whole = total + distinct
-        escape = np.where(whole > 0, distinct / np.maximum(whole, 1), 1.0)
-        p = np.where(seen, n / np.maximum(whole, 1), escape * p)
-    return (-np.log2(p)).astype(np.float32).ravel()
+        distinct, total = seen.sum(-1, keepdims=True), n.sum(-1, keepdims=True, dtype=np.float64)
+        whole = np.maximum(total + distinct, 1).astype(np.float32)
+        escape = np.where(total > 0, distinct / whole, 1.0).astype(np.float32)
+        p = np.where(seen, n / whole, escape * p)
+    return -np.log2(p, out=p).ravel()
 
 
 def fit(docs: DataFrame, train: Column, key: str = "doc_id", fit_rows: int = FIT_ROWS) -> dict:
