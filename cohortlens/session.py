@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "cohortlens") -> SparkSession:
+              app_name: str = "cohortlens", checkpoint_dir: str | None = None) -> SparkSession:
     """Session tuned for the feature builds and similarity joins.
 
     AQE stays on so that shuffle partitions are coalesced at run time and
@@ -29,6 +29,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.driver.memory", os.environ.get("COHORTLENS_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

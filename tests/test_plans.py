@@ -1,30 +1,81 @@
-"""Plan-shape checks: filters and column pruning reach the Parquet scan."""
+"""Plan-shape checks: what reaches the scan, join strategies, exchange keys."""
 
 import os
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
 
-@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
-def test_measurement_filter_and_pruning_reach_scan(spark):
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scan_of(plan: str, table: str) -> str:
+    return next(line for line in plan.splitlines() if "FileScan parquet" in line and f"{table}.parquet" in line)
+
+
+def columns(scan: str) -> set[str]:
+    return {c.split(":")[0] for c in re.search(r"ReadSchema: struct<(.*?)>", scan)[1].split(",")}
+
+
+def test_measurements_read_only_their_columns(spark):
     from cohortlens.operators.measurements import daily_latest
     from cohortlens.sources.tpch import raw_tables
 
-    r = raw_tables(spark, SF)
-    plan = daily_latest(r.omr)._jdf.queryExecution().executedPlan().toString()
-    # lineitem is read with only the columns the measurement view needs
-    scans = [line for line in plan.splitlines() if "FileScan parquet" in line or "Scan parquet" in line]
-    lineitem_scan = [s for s in scans if "lineitem" in s]
-    assert lineitem_scan and "l_extendedprice" not in lineitem_scan[0]
+    plan = plan_of(daily_latest(raw_tables(spark, SF).omr))
+    assert columns(scan_of(plan, "lineitem")) == {
+        "l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"}
+    assert columns(scan_of(plan, "orders")) == {"o_orderkey", "o_custkey"}
+    assert "IsNotNull(l_orderkey)" in scan_of(plan, "lineitem")
+    # one partial aggregate, then one exchange on subject, type and day
+    assert len(re.findall(r"Exchange hashpartitioning\(subject_id#\d+L?, result_name#\d+, chartdate#\d+", plan)) == 1
 
 
-@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
-def test_topk_is_take_ordered(spark):
+def test_topk_is_take_ordered_over_one_scan(spark):
     from cohortlens.operators.similarity import find_similar_diagnoses
     from cohortlens.plans.features import Features
 
-    res = find_similar_diagnoses(Features(spark, SF).dx, None, k=5)
-    plan = res._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan or "Limit" in plan
+    plan = plan_of(find_similar_diagnoses(Features(spark, SF).dx, None, k=5))
+    assert "TakeOrderedAndProject(limit=5" in plan
+    assert plan.count("FileScan parquet") == 1 and "Exchange" not in plan and "Join" not in plan
+
+
+def test_titles_meet_counted_codes(spark):
+    """The dictionary join stands above the per-code aggregate, so a hot code is
+    partially aggregated instead of shuffled row by row."""
+    from cohortlens.operators.codes import diagnosis_features
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        d = spark.range(10).select(F.col("id").alias("hadm_id"), F.lit(1).alias("seq_num"), F.lit("A").alias("icd_code"), F.lit(9).alias("icd_version"))
+        base = spark.range(10).select(F.col("id").alias("hadm_id"), F.col("id").alias("subject_id"))
+        titles = spark.range(3).select(F.col("id").cast("string").alias("icd_code"), F.lit(9).alias("icd_version"), F.lit("t").alias("long_title"))
+        plan = plan_of(diagnosis_features(d, base, titles))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    join = next(i for i, x in enumerate(lines) if "LeftOuter" in x)
+    counted = next(i for i, x in enumerate(lines) if "Aggregate" in x and "icd_code" in x and "icd_version" in x and "count(1)" in x)
+    assert join < counted  # plans print the last operator first
+
+
+def test_treatment_features_do_not_read_the_dictionary(spark):
+    from cohortlens.operators import treatments
+    from cohortlens.sources.tpch import raw_tables
+
+    r = raw_tables(spark, SF)
+    assert "long_title" not in plan_of(treatments._procedure_features(r.procedures_icd, r.d_icd_procedures, False))
+    assert "long_title" in plan_of(treatments._procedure_features(r.procedures_icd, r.d_icd_procedures, True))
+
+
+def test_vote_is_one_pass_without_pairs(spark):
+    from cohortlens.operators.neighbours import cosine_knn, neighbour_vote  # noqa: F401
+    from cohortlens.plans.features import Features
+
+    clin = Features(spark, SF).clin
+    plan = plan_of(neighbour_vote(clin.where("hadm_id % 5 <> 0"), clin.where("hadm_id % 5 = 0")))
+    assert "MapInArrow" in plan and "Generate" not in plan and "CartesianProduct" not in plan
