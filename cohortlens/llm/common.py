@@ -27,6 +27,8 @@ def ship(spark: SparkSession) -> None:
     if getattr(sc, "_cohortlens_shipped", False):
         return
     home = os.path.dirname(os.path.abspath(cohortlens.__file__))
+    if not os.path.isdir(home):  # already imported from a shipped archive
+        return
     archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "cohortlens_code"), "zip",
                                   os.path.dirname(home), os.path.basename(home))
     sc.addPyFile(archive)
