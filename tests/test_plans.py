@@ -19,7 +19,7 @@ def scan_of(plan: str, table: str) -> str:
 
 
 def columns(scan: str) -> set[str]:
-    return {c.split(":")[0] for c in re.search(r"ReadSchema: struct<(.*?)>", scan)[1].split(",")}
+    return {c.split("#")[0].strip() for c in re.search(r"FileScan parquet \[([^\]]*)\]", scan)[1].split(",")}
 
 
 def test_measurements_read_only_their_columns(spark):
@@ -51,9 +51,11 @@ def test_titles_meet_counted_codes(spark):
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        d = spark.range(10).select(F.col("id").alias("hadm_id"), F.lit(1).alias("seq_num"), F.lit("A").alias("icd_code"), F.lit(9).alias("icd_version"))
+        d = spark.range(10).select(F.col("id").alias("hadm_id"), F.col("id").cast("int").alias("seq_num"),
+                                    F.concat(F.lit("c"), F.col("id") % 3).alias("icd_code"), (F.col("id") % 2 + 9).cast("int").alias("icd_version"))
         base = spark.range(10).select(F.col("id").alias("hadm_id"), F.col("id").alias("subject_id"))
-        titles = spark.range(3).select(F.col("id").cast("string").alias("icd_code"), F.lit(9).alias("icd_version"), F.lit("t").alias("long_title"))
+        titles = spark.range(3).select(F.col("id").cast("string").alias("icd_code"), (F.col("id") % 2 + 9).cast("int").alias("icd_version"),
+                                      F.col("id").cast("string").alias("long_title"))
         plan = plan_of(diagnosis_features(d, base, titles))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
