@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -56,16 +57,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Reliable checkpoint that computes its input once.
+    """Write ``df`` once as Parquet in the shared folder and read it back.
 
-    An eager ``checkpoint()`` runs the plan for its action and again to
-    write the checkpoint files unless the data is persisted, so the input is
-    persisted for the duration of the write and released afterwards.  The
-    result reads the files in ``spark.checkpoint.dir`` (lineage cut, so a
-    lost executor does not trigger a recomputation from the raw tables)."""
-    from pyspark import StorageLevel
-
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist(blocking=False)
-    return out
+    Computes its input once, cuts the lineage (a lost executor does not trigger
+    a recomputation from the raw tables), and lets later readers prune columns
+    and push filters down, which checkpointed rows do not."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cohortlens-tmp/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
