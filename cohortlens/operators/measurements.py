@@ -7,12 +7,11 @@ number ascending, null last (then value, to make the order total).
 
 Scale design: a subject may own a large share of all rows, so no join here
 pairs every admission of a subject with every measurement of that subject.
-Measurements are first reduced to one row per (subject, type, day), then
-rolled up to (subject, type, month) and (subject, type, year).  An as-of
-lookup "latest row dated on or before day b" is then the minimum of three
-equi-joins with bounded fan-out: days of b's month (<= 31), months of b's
-year (<= 11) and earlier years.  All reductions are partial aggregates
-(map-side combine); AQE splits skewed join partitions.
+Measurements are first reduced to one row per (subject, type, day) by partial
+aggregates.  They are then read in order of day together with the admissions'
+bounds, per (subject, type, year), so that "latest on or before day b" is the
+last record seen; a table with one row per (subject, type, year) carries the
+latest record of earlier years.
 """
 
 from __future__ import annotations
@@ -69,55 +68,42 @@ def daily_latest(omr: DataFrame, names: list[str] = MEASUREMENT_NAMES) -> DataFr
             .withColumn("mo", F.month("chartdate")))
 
 
-def latest_as_of(probes: DataFrame, daily: DataFrame) -> DataFrame:
-    """As-of lookup: for each probe (hadm_id, subject_id, kind, bound day b)
-    and measurement type, candidate records dated on or before b.
-
-    Three equi-joins with bounded fan-out replace a join of every admission
-    with every record of its subject:
-
-    * records of b's own month dated on or before b (<= 31 per type);
-    * the running latest over the earlier months of b's year: a prefix table
-      over (subject, type, year) ordered by month (a window of <= 12 rows),
-      where each row is valid for bound months up to the next data month, so
-      a probe matches exactly one row per type;
-    * the same over earlier years (a window over the calendar span).
-
-    Tier-2 probes also get each subject's overall latest record per type
-    (kind ``overall``) from a per-(subject, type) aggregate, and its undated
-    record (kind ``undated``), which ranks behind every dated one.  Returns
-    (hadm_id, admit_day, kind, result_name, ord); the minimum ``ord`` per
-    group is the latest record.
-    """
-    undated = daily.filter(F.col("chartdate").isNull())
-    daily = daily.filter(F.col("chartdate").isNotNull())
-    p = probes.select("hadm_id", "admit_day", "subject_id", "kind", "b",
-                      F.year("b").alias("b_yr"), F.month("b").alias("b_mo"))
-    monthly = daily.groupBy("subject_id", "result_name", "yr", "mo").agg(F.min("ord").alias("m_ord"))
-    yearly = monthly.groupBy("subject_id", "result_name", "yr").agg(F.min("m_ord").alias("y_ord"))
-    w_mo = Window.partitionBy("subject_id", "result_name", "yr").orderBy("mo")
-    m_prefix = monthly.select("subject_id", "result_name", "yr", "mo",
-                              F.min("m_ord").over(w_mo.rowsBetween(Window.unboundedPreceding, 0)).alias("ord"),
-                              F.lead("mo").over(w_mo).alias("next_mo"))
-    w_yr = Window.partitionBy("subject_id", "result_name").orderBy("yr")
-    y_prefix = yearly.select("subject_id", "result_name", "yr",
-                             F.min("y_ord").over(w_yr.rowsBetween(Window.unboundedPreceding, 0)).alias("ord"),
-                             F.lead("yr").over(w_yr).alias("next_yr"))
-    out = ["hadm_id", "admit_day", "kind", "result_name", "ord"]
-    same_month = (p.join(daily, (p.subject_id == daily.subject_id) & (p.b_yr == daily.yr)
-                         & (p.b_mo == daily.mo) & (daily.chartdate <= p.b)).select(*out))
-    same_year = (p.join(m_prefix, (p.subject_id == m_prefix.subject_id) & (p.b_yr == m_prefix.yr)
-                        & (m_prefix.mo < p.b_mo) & (m_prefix.next_mo.isNull() | (p.b_mo <= m_prefix.next_mo)))
-                 .select(*out))
-    by_year = (p.join(y_prefix, (p.subject_id == y_prefix.subject_id) & (y_prefix.yr < p.b_yr)
-                      & (y_prefix.next_yr.isNull() | (p.b_yr <= y_prefix.next_yr)))
-               .select(*out))
-    per_subject = yearly.groupBy("subject_id", "result_name").agg(F.min("y_ord").alias("ord"))
-    overall = (p.filter(F.col("kind") == "t2").join(per_subject, "subject_id")
-               .select("hadm_id", "admit_day", F.lit("overall").alias("kind"), "result_name", "ord"))
-    no_day = (p.filter(F.col("kind") == "t2").join(undated.select("subject_id", "result_name", "ord"), "subject_id")
-              .select("hadm_id", "admit_day", F.lit("undated").alias("kind"), "result_name", "ord"))
-    return same_month.unionByName(same_year).unionByName(by_year).unionByName(overall).unionByName(no_day)
+def latest_as_of(probes: DataFrame, daily: DataFrame, names: list[str] = MEASUREMENT_NAMES) -> DataFrame:
+    """As-of lookup: for each probe (hadm_id, admit_day, subject_id, kind, bound
+    day b) and measurement type, the latest record dated on or before b; for
+    kind ``t2`` else the subject's latest record overall, else an undated one.
+
+    Probes and daily records are one table, dealt by (subject, type, year) and
+    read in order of day: the last record seen is the answer within the bound's
+    year (a window of one subject's year, so a hot subject is split by year).
+    A small table with the latest record of all earlier years (a window over
+    the calendar) answers for probes that see none in their year.  Returns
+    (hadm_id, admit_day, kind, result_name, ord)."""
+    dated = daily.filter(F.col("chartdate").isNotNull())
+    kind = daily.schema["ord"].dataType
+    marks = probes.select("subject_id", F.explode(F.array(*[F.lit(n) for n in names])).alias("result_name"), F.col("b").alias("day"),
+                          F.year("b").alias("yr"), F.lit(None).cast(kind).alias("ord"), "hadm_id", "admit_day", "kind")
+    records = dated.select("subject_id", "result_name", F.col("chartdate").alias("day"), "yr", "ord",
+                           *[F.lit(None).cast(probes.schema[c].dataType).alias(c) for c in ("hadm_id", "admit_day", "kind")])
+    in_order = (Window.partitionBy("subject_id", "result_name", "yr")
+                .orderBy("day", F.col("hadm_id").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = (records.unionByName(marks).withColumn("ord", F.last("ord", ignorenulls=True).over(in_order))
+             .filter(F.col("hadm_id").isNotNull()))
+
+    yearly = dated.groupBy("subject_id", "result_name", "yr").agg(F.min("ord").alias("y_ord"))
+    by_year = Window.partitionBy("subject_id", "result_name").orderBy("yr")
+    earlier = yearly.select(F.col("subject_id").alias("e_subject"), F.col("result_name").alias("e_name"), F.col("yr").alias("e_yr"),
+                            F.min("y_ord").over(by_year.rowsBetween(Window.unboundedPreceding, 0)).alias("e_ord"),
+                            F.lead("yr").over(by_year).alias("e_next"))
+    ever = daily.groupBy(F.col("subject_id").alias("s_subject"), F.col("result_name").alias("s_name")).agg(
+        F.min(F.when(F.col("chartdate").isNotNull(), F.col("ord"))).alias("overall"),
+        F.min(F.when(F.col("chartdate").isNull(), F.col("ord"))).alias("undated"))
+    out = found.join(earlier, (F.col("subject_id") == F.col("e_subject")) & (F.col("result_name") == F.col("e_name"))
+                     & (F.col("e_yr") < F.col("yr")) & (F.col("e_next").isNull() | (F.col("yr") <= F.col("e_next"))), "left")
+    out = out.join(ever, (F.col("subject_id") == F.col("s_subject")) & (F.col("result_name") == F.col("s_name")), "left")
+    as_of = F.coalesce("ord", "e_ord")
+    return out.select("hadm_id", "admit_day", "kind", "result_name",
+                      F.when(F.col("kind") == "t2", F.coalesce(as_of, "overall", "undated")).otherwise(as_of).alias("ord"))
 
 
 def measurement_features(cohort: DataFrame, omr: DataFrame, lookback_days: int = 0) -> DataFrame:
@@ -135,13 +121,11 @@ def measurement_features(cohort: DataFrame, omr: DataFrame, lookback_days: int =
                      F.struct(F.lit("t2").alias("kind"), F.date_sub(admit, 1).alias("b")))
     probes = (cohort.select("hadm_id", "subject_id", admit.alias("admit_day"), F.explode(bounds).alias("pb"))
               .select("hadm_id", "subject_id", "admit_day", "pb.kind", "pb.b"))
-    # The daily table feeds three branches that prune columns differently, so
-    # Spark cannot reuse one exchange for them; write it once to the shared
-    # checkpoint folder (this also cuts the lineage back to the raw scans).
+    # The daily table is read three times; written once, its input is read once.
     cands = latest_as_of(probes, materialize(daily_latest(omr)))
     aggs = []
     for name, key in _KEYS.items():
-        for kind in ("t1", "t2", "overall", "undated"):
+        for kind in ("t1", "t2"):
             aggs.append(F.min(F.when((F.col("result_name") == name) & (F.col("kind") == kind), F.col("ord")))
                         .alias(f"{key}_{kind}"))
     per_adm = cands.groupBy("hadm_id", "admit_day").agg(*aggs)
@@ -153,7 +137,7 @@ def measurement_features(cohort: DataFrame, omr: DataFrame, lookback_days: int =
         # Tier 1 counts only when its latest in-stay row is on or after admission.
         t1_ok = t1.isNotNull() & (-t1["neg_day"] >= F.unix_date(F.col("admit_day")) - F.lit(int(lookback_days)))
         t1_val = F.when(t1_ok, t1["value"])
-        t2_val = F.coalesce(F.col(f"{key}_t2"), F.col(f"{key}_overall"), F.col(f"{key}_undated"))["value"]
+        t2_val = F.col(f"{key}_t2")["value"]
         value = F.when(t1_val.isNotNull(), t1_val).otherwise(t2_val)
         source = (F.when(t1_val.isNotNull(), F.lit("TIER1"))
                   .when(t2_val.isNotNull(), F.lit("TIER2")))
