@@ -62,7 +62,10 @@ def op1_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     turns = table(spark, sf_dir, "conversations")
     convs = stored(conversations(turns))
-    return preferences(turns, neighbour_pairs(convs), convs=convs)
+    out = preferences(turns, neighbour_pairs(convs), convs=convs)
+    # Spans as text (start-end,start-end), so that engines compare alike.
+    return out.withColumns({c: F.array_join(F.transform(c, lambda x: F.concat_ws("-", x["start"], x["end"])), ",")
+                            for c in ("chosen_spans", "rejected_spans")})
 
 
 @query(sql.OP2)

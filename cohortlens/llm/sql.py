@@ -25,13 +25,13 @@ with conv as (
 select chosen_id as pair_id, chosen_id, rejected_id, n::int as n_prompt_turns,
   coalesce(list_aggregate(list_transform(good[1:n], lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), 'string_agg', ''), '') as prompt,
   coalesce(list_aggregate(list_transform(g, lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), 'string_agg', ''), '') as chosen,
-  list_transform(list_filter(range(1, len(g) + 1), lambda k: g[k].role = 'assistant'), lambda k: {
-    'start': (coalesce(list_sum(list_transform(g[1:k - 1], lambda x: length(x.role) + length(x.text) + 13)), 0) + length(g[k].role) + 5)::int,
-    'end': (coalesce(list_sum(list_transform(g[1:k - 1], lambda x: length(x.role) + length(x.text) + 13)), 0) + length(g[k].role) + 5 + length(g[k].text))::int}) as chosen_spans,
+  array_to_string(list_transform(list_filter(range(1, len(g) + 1), lambda k: g[k].role = 'assistant'), lambda k:
+    (coalesce(list_sum(list_transform(g[1:k - 1], lambda x: length(x.role) + length(x.text) + 13)), 0) + length(g[k].role) + 5)::int || '-' ||
+    (coalesce(list_sum(list_transform(g[1:k - 1], lambda x: length(x.role) + length(x.text) + 13)), 0) + length(g[k].role) + 5 + length(g[k].text))::int), ',') as chosen_spans,
   case when bad is not null then coalesce(list_aggregate(list_transform(b, lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), 'string_agg', ''), '') end as rejected,
-  case when bad is not null then list_transform(list_filter(range(1, len(b) + 1), lambda k: b[k].role = 'assistant'), lambda k: {
-    'start': (coalesce(list_sum(list_transform(b[1:k - 1], lambda x: length(x.role) + length(x.text) + 13)), 0) + length(b[k].role) + 5)::int,
-    'end': (coalesce(list_sum(list_transform(b[1:k - 1], lambda x: length(x.role) + length(x.text) + 13)), 0) + length(b[k].role) + 5 + length(b[k].text))::int}) end as rejected_spans
+  case when bad is not null then array_to_string(list_transform(list_filter(range(1, len(b) + 1), lambda k: b[k].role = 'assistant'), lambda k:
+    (coalesce(list_sum(list_transform(b[1:k - 1], lambda x: length(x.role) + length(x.text) + 13)), 0) + length(b[k].role) + 5)::int || '-' ||
+    (coalesce(list_sum(list_transform(b[1:k - 1], lambda x: length(x.role) + length(x.text) + 13)), 0) + length(b[k].role) + 5 + length(b[k].text))::int), ',') end as rejected_spans
 from rest
 """
 
