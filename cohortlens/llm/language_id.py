@@ -6,17 +6,18 @@ in the longest context in which it was seen; every shorter step down costs the
 escape probability of the context left (escape method C: distinct symbols
 against occurrences plus distinct symbols), ending in a uniform order -1.  The
 statistics are frozen after the fit, so a text's code length is the sum of
-``-log2`` of these probabilities over all of its bytes: every context tree is
-evaluated once into a table by the last four symbols, and scoring is a table
-look-up.  The language with the shortest code wins; the score is its posterior
-probability under equal priors.
+``-log2`` of these probabilities over all of its bytes.  The language with the
+shortest code wins; the score is its posterior probability under equal priors.
 
-Symbols are bytes with A-Z lower-cased; the ``SYMBOLS - 1`` most frequent ones
-of the fit keep their identity, all others share one symbol.
+Symbols are the 256 bytes with A-Z lower-cased.  The trees are kept as sorted
+grams.  For speed, every context tree is evaluated once into a table of the
+grams made of the ``SYMBOLS - 1`` most frequent bytes of the fit only; grams
+with another byte are looked up in the sorted grams, once per distinct gram of
+a block.  Both give the same code lengths, so ``SYMBOLS`` changes no result.
 
 The fit reads a bounded, hash-drawn sample of about ``fit_rows`` labelled rows;
-counts are aggregated by Spark and the model is at most ``SYMBOLS ** 4`` counts
-a language, whatever the size of the corpus.  Every row is scored over its
+counts are aggregated by Spark and the model is at most the distinct grams of
+that sample, whatever the size of the corpus.  Every row is scored over its
 whole text.
 
 Null text, and text without a letter (Unicode), gives ``und`` with score 0.  A
@@ -36,7 +37,9 @@ from pyspark.sql import functions as F
 
 from .common import map_batches
 
+#: Symbols of the dense table; 0 stands for all bytes that are not in it.
 SYMBOLS = 40
+BYTES = 256
 ORDER = 3
 FIT_ROWS = 20_000
 BLOCK = 1 << 19
@@ -51,18 +54,18 @@ def _folded(rows: list[bytes]) -> np.ndarray:
     return b + (upper.view(np.uint8) << 5)
 
 
-def _grams(symbols: np.ndarray) -> np.ndarray:
+def _grams(symbols: np.ndarray, base: int = SYMBOLS) -> np.ndarray:
     """Number of every ``ORDER + 1`` symbols in a row."""
     n = len(symbols) - ORDER
-    out = np.zeros(max(n, 0), np.int32)
+    out = np.zeros(max(n, 0), np.int64)
     for i in range(ORDER + 1):
-        out *= SYMBOLS
+        out *= base
         out += symbols[i : i + n]
     return out
 
 
 def _alphabet(counts: np.ndarray) -> np.ndarray:
-    """byte -> symbol; 0 is the shared symbol.  Ties go to the smaller byte."""
+    """byte -> symbol of the dense table; 0 is any other.  Ties go to the smaller byte."""
     out = np.zeros(256, np.int32)
     for i, b in enumerate(np.argsort(-counts, kind="stable")[: SYMBOLS - 1]):
         if counts[b]:
@@ -70,20 +73,61 @@ def _alphabet(counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def code_table(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Code length in bits of the last of each ``ORDER + 1`` symbols, from the
-    frozen counts (PPM without update; escape method C)."""
-    top = np.zeros(SYMBOLS ** (ORDER + 1), np.float32)
-    top[grams] = counts
-    top = top.reshape((SYMBOLS,) * (ORDER + 1))
-    p = np.full(SYMBOLS, 1 / SYMBOLS, np.float32)
+def context_levels(grams: np.ndarray, counts: np.ndarray, base: int = BYTES) -> list[tuple[np.ndarray, ...]]:
+    """Of every order: sorted grams with the probability of their last symbol,
+    and sorted contexts with their escape probability (frozen counts, escape
+    method C)."""
+    out = []
     for order in range(ORDER + 1):
-        n = top.sum(axis=tuple(range(ORDER - order)), dtype=np.float64).astype(np.float32) if order < ORDER else top
-        seen = n > 0
-        distinct, total = seen.sum(-1, keepdims=True), n.sum(-1, keepdims=True, dtype=np.float64)
-        whole = np.maximum(total + distinct, 1).astype(np.float32)
-        escape = np.where(total > 0, distinct / whole, 1.0).astype(np.float32)
-        p = np.where(seen, n / whole, escape * p)
+        keys, at = np.unique(grams % base ** (order + 1), return_inverse=True)
+        n = np.bincount(at, weights=counts, minlength=len(keys))
+        contexts, own, distinct = np.unique(keys // base, return_inverse=True, return_counts=True)
+        whole = np.bincount(own, weights=n, minlength=len(contexts)) + distinct
+        out.append((keys, (n / whole[own]).astype(np.float32), contexts, (distinct / whole).astype(np.float32)))
+    return out
+
+
+def _found(sorted_keys: np.ndarray, values: np.ndarray, keys: np.ndarray, missing: float) -> np.ndarray:
+    if not len(sorted_keys):
+        return np.full(len(keys), missing, np.float32)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return np.where(sorted_keys[at] == keys, values[at], np.float32(missing))
+
+
+def gram_bits(grams: np.ndarray, levels: list[tuple[np.ndarray, ...]], base: int = BYTES) -> np.ndarray:
+    """Code length in bits of the last symbol of each gram."""
+    p = np.full(len(grams), 1 / base, np.float32)
+    for order, (keys, shares, contexts, escapes) in enumerate(levels):
+        own = grams % base ** (order + 1)
+        share = _found(keys, shares, own, 0.0)
+        p = np.where(share > 0, share, _found(contexts, escapes, own // base, 1.0) * p)
+    return -np.log2(p)
+
+
+def _renumbered(keys: np.ndarray, length: int, base: int, symbols: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(keys), np.int64)
+    for i in reversed(range(length)):
+        out = out * SYMBOLS + symbols[keys // base**i % base]
+    return out
+
+
+def code_table(grams: np.ndarray, counts: np.ndarray, alphabet: np.ndarray | None = None) -> np.ndarray:
+    """Code length in bits of the last of each ``ORDER + 1`` symbols, from the
+    frozen counts (PPM without update).  With an ``alphabet`` the grams are of
+    bytes and the entries with symbol 0 mean nothing."""
+    base, symbols = (SYMBOLS, np.arange(SYMBOLS)) if alphabet is None else (BYTES, alphabet)
+    return _dense(context_levels(grams, counts, base), base, symbols)
+
+
+def _dense(levels: list[tuple[np.ndarray, ...]], base: int, symbols: np.ndarray) -> np.ndarray:
+    p = np.full(SYMBOLS, 1 / base, np.float32)
+    for order, (keys, shares, contexts, escapes) in enumerate(levels):
+        share = np.zeros(SYMBOLS ** (order + 1), np.float32)
+        share[_renumbered(keys, order + 1, base, symbols)] = shares
+        escape = np.ones(SYMBOLS**order, np.float32)
+        escape[_renumbered(contexts, order, base, symbols)] = escapes
+        share = share.reshape((SYMBOLS,) * (order + 1))
+        p = np.where(share > 0, share, escape.reshape((SYMBOLS,) * order + (1,)) * p)
     return -np.log2(p, out=p).ravel()
 
 
@@ -113,32 +157,50 @@ def fit(docs: DataFrame, train: Column, key: str = "doc_id", fit_rows: int = FIT
             by.setdefault(lang, []).append(row)
         for lang, own in by.items():
             # Grams that reach over the end of a row only hold padding spaces at their end.
-            g, n = np.unique(_grams(alphabet[_folded(own)]), return_counts=True)
+            g, n = np.unique(_grams(_folded(own), BYTES), return_counts=True)
             yield {"lang": [lang] * len(g), "gram": g, "n": n}
 
-    found = (map_batches(rows, grams_seen, "lang string, gram int, n long")
+    found = (map_batches(rows, grams_seen, "lang string, gram long, n long")
              .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
     langs = sorted(found["lang"].unique())
     trees = []
     for lang in langs:
         own = found[found["lang"] == lang].sort_values("gram")
-        trees.append((own["gram"].to_numpy(np.int32), own["n"].to_numpy(np.int64)))
+        trees.append((own["gram"].to_numpy(np.int64), own["n"].to_numpy(np.int64)))
     return {"name": uuid.uuid4().hex, "langs": langs, "alphabet": alphabet, "trees": trees}
 
 
-_TABLES: dict[str, np.ndarray] = {}
+_TABLES: dict[str, tuple[np.ndarray, list]] = {}
 
 
-def _table(model: dict) -> np.ndarray:
-    """[gram, language] code lengths, built once a Python worker."""
+def _table(model: dict) -> tuple[np.ndarray, list]:
+    """[gram, language] code lengths of the frequent bytes and the levels of
+    every language, built once a Python worker."""
     if model["name"] not in _TABLES:
         _TABLES.clear()
-        _TABLES[model["name"]] = np.stack([code_table(*t) for t in model["trees"]], axis=1)
+        table = np.empty((SYMBOLS ** (ORDER + 1), len(model["trees"])), np.float32)
+        levels = [context_levels(*t) for t in model["trees"]]
+        for i, own in enumerate(levels):
+            table[:, i] = _dense(own, BYTES, model["alphabet"])
+        _TABLES[model["name"]] = table, levels
     return _TABLES[model["name"]]
 
 
-def code_lengths(rows: list[bytes], alphabet: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """[row, language] code length in bits of every whole text."""
+def _bits(folded: np.ndarray, alphabet: np.ndarray, table: np.ndarray, levels: list | None) -> np.ndarray:
+    """[byte, language] code lengths behind the first ``ORDER`` bytes."""
+    symbols = alphabet[folded]
+    bits = table[_grams(symbols)]
+    if levels is not None and len(bits):
+        other = symbols == 0
+        at = np.flatnonzero(np.logical_or.reduce([other[i : i + len(bits)] for i in range(ORDER + 1)]))
+        grams, back = np.unique(_grams(folded, BYTES)[at], return_inverse=True)
+        bits[at] = np.stack([gram_bits(grams, x) for x in levels], axis=1)[back]
+    return bits
+
+
+def code_lengths(rows: list[bytes], alphabet: np.ndarray, table: np.ndarray, levels: list | None = None) -> np.ndarray:
+    """[row, language] code length in bits of every whole text.  With the
+    ``levels`` of the languages, grams with symbol 0 are looked up there."""
     out = np.zeros((len(rows), table.shape[1]))
     start = 0
     while start < len(rows):
@@ -148,11 +210,11 @@ def code_lengths(rows: list[bytes], alphabet: np.ndarray, table: np.ndarray) ->
             to += 1
         own = rows[start:to]
         if to == start + 1 and size > BLOCK:  # one long text, in blocks that share ORDER symbols
-            symbols = alphabet[_folded(own)]
+            folded = _folded(own)
             for at in range(0, size, BLOCK):
-                out[start] += table[_grams(symbols[at : at + BLOCK + ORDER])].sum(0, dtype=np.float64)
+                out[start] += _bits(folded[at : at + BLOCK + ORDER], alphabet, table, levels).sum(0, dtype=np.float64)
         else:
-            bits = table[_grams(alphabet[_folded(own)])]
+            bits = _bits(_folded(own), alphabet, table, levels)
             total = np.zeros((len(bits) + 1, bits.shape[1]))
             np.cumsum(bits, axis=0, dtype=np.float64, out=total[1:])
             size = np.array([len(x) for x in own])
@@ -182,7 +244,7 @@ def language_id(docs: DataFrame, model: dict, key: str = "doc_id", columns: tupl
         pred, prob, rate = [UNDEFINED] * len(raw), [0.0] * len(raw), [0.0] * len(raw)
         at = [i for i, ok in enumerate(known) if ok]
         if at:
-            bits = code_lengths([raw[i] for i in at], sent.value["alphabet"], _table(sent.value))
+            bits = code_lengths([raw[i] for i in at], sent.value["alphabet"], *_table(sent.value))
             best = bits.argmin(1)
             low = bits[np.arange(len(at)), best]
             share = 1 / np.exp2(-np.minimum(bits - low[:, None], 1000.0)).sum(1)

@@ -86,3 +86,29 @@ def test_defined_cases(spark):
     nothing = fit(df.limit(0), F.lit(True))
     assert nothing["langs"] == [] and {r.lang_pred for r in language_id(df, nothing).collect()} == {"und"}
     assert language_id(df.limit(0), model).collect() == []
+
+
+def test_every_byte_has_its_own_code_length(monkeypatch):
+    from cohortlens.llm import language_id as m
+
+    r = np.random.default_rng(2)
+    spread = (r.geometric(0.04, 4000) * 37 % 256).astype(np.uint8)  # far more byte values than SYMBOLS
+    train, rows = bytes(spread[:3000]), [bytes(spread[3000:]), b"", bytes(r.integers(0, 256, 300).astype(np.uint8))]
+    grams, n = np.unique(_grams(_folded([train]), 256), return_counts=True)
+    alphabet = m._alphabet(np.bincount(_folded([train]), minlength=256))
+    assert (np.bincount(spread, minlength=256) > 0).sum() > 2 * SYMBOLS
+    table, levels = m._table({"name": "t", "alphabet": alphabet, "trees": [(grams, n)]})
+    got = code_lengths(rows, alphabet, table, levels)[:, 0]
+    monkeypatch.setitem(plain_ppm.__globals__, "SYMBOLS", 256)
+    for row, bits in zip(rows, got):
+        assert bits == pytest.approx(plain_ppm(_folded([train]).tolist(), _folded([row]).tolist()), rel=1e-4, abs=1e-3)
+    monkeypatch.setattr(m, "BLOCK", 64)
+    assert np.allclose(code_lengths(rows, alphabet, table, levels)[:, 0], got)
+
+
+def test_languages_that_differ_in_rare_bytes_only(spark):
+    common = "".join(chr(c) for c in range(33, 127)) * 20
+    rows = [(i, common + w, lang) for i, (w, lang) in enumerate([(" b\u00e9te", "fr"), (" b\u00eate", "gr")] * 5)]
+    df = spark.createDataFrame(rows + [(20, "b\u00eate", None), (21, "b\u00e9te", None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language_id(df, fit(df, F.lit(True))).collect()}
+    assert (got[20].lang_pred, got[21].lang_pred) == ("gr", "fr") and got[20].score > 0.5 < got[21].score
