@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: How a turn is rendered: opening with the role, text, closing (fixed values).
 OPEN, MIDDLE, CLOSE = "<|", "|>\n", "<|end|>\n"
 TRAINED = "assistant"
@@ -50,6 +52,50 @@ def neighbour_pairs(convs: DataFrame, conv: str = "conv_id", block: int = 64) ->
         F.col("p.chosen").alias("pair_id"), F.col("p.chosen").alias("chosen"), F.col("p.rejected").alias("rejected"))
 
 
+def _prefix_hashes(turns: Column) -> Column:
+    """Hash of the first 1, 2, ... turns, without the whole conversation (unless
+    it has one turn)."""
+    chain = F.aggregate(turns, F.array(F.lit(0).cast("long")), lambda acc, one: F.concat(
+        acc, F.array(F.xxhash64(F.element_at(acc, -1), one["role"], one["text"]))))
+    return F.slice(chain, F.lit(2), F.greatest(F.size(turns) - 1, F.lit(1)))
+
+
+def opening_pairs(convs: DataFrame, conv: str = "conv_id", bits: int = 6) -> DataFrame:
+    """(pair_id, chosen, rejected) over the whole table: conversations that
+    share their first turns are paired wherever their ids lie, those that share
+    most turns first; only what is left goes to ``neighbour_pairs``.
+
+    Only the lengths at which shared prefixes part are looked at.  Within a
+    prefix, ids are paired in blocks of ``2 ** bits``, and the odd one of each
+    goes up to a block of as many blocks, so a hot prefix is never one group."""
+    free = stored(convs.select(F.col(conv).alias("id"), _prefix_hashes(F.col("turns")).alias("h")))
+    each = free.select(F.posexplode("h").alias("at", "own"), "h").withColumn("next", F.get("h", F.col("at") + 1))
+    shared = each.groupBy("at", "own").agg(F.count("*").alias("n"), F.count("next").alias("longer"), F.min("next").alias("low"),
+                                           F.max("next").alias("high"))
+    parting = shared.where((F.col("n") > 1) & ((F.col("longer") < F.col("n")) | (F.col("low") < F.col("high"))))
+    lengths = sorted((r["at"] for r in parting.select("at").distinct().collect()), reverse=True)
+    if not lengths:
+        return neighbour_pairs(convs, conv)
+    low, high = free.agg(F.min("id"), F.max("id")).first()
+    shifts = range(bits, max(abs(low), abs(high)).bit_length(), bits)
+    blocks = [F.shiftright("id", k) for k in shifts] + [F.lit(0).cast("long")]
+    found = None
+    for at in lengths:
+        rest, own = free.where(F.size("h") <= at), free.where(F.size("h") > at)
+        for block in blocks:
+            groups = stored(own.groupBy(F.get("h", F.lit(at)).alias("own"), block.alias("block"))
+                            .agg(F.array_sort(F.collect_list(F.struct("id", "h"))).alias("all")))
+            pair = F.transform(F.sequence(F.lit(1), F.floor(F.size("all") / 2).cast("int")), lambda i: F.struct(
+                F.get("all", i * 2 - 2)["id"].alias("chosen"), F.get("all", i * 2 - 1)["id"].alias("rejected")))
+            pairs = groups.where(F.size("all") > 1).select(F.explode(pair).alias("p")).select(
+                F.col("p.chosen").alias("pair_id"), F.col("p.chosen").alias("chosen"), F.col("p.rejected").alias("rejected"))
+            found = pairs if found is None else found.unionByName(pairs)
+            own = groups.where(F.size("all") % 2 == 1).select(F.explode(F.slice("all", -1, 1)).alias("x")).select("x.id", "x.h")
+        free = stored(rest.unionByName(own))
+    left = convs.join(free.select(F.col("id").alias(conv)), conv, "left_semi")
+    return found.unionByName(neighbour_pairs(left, conv))
+
+
 def common_turns(a: Column, b: Column) -> Column:
     """Number of leading turns with equal role and text."""
     same = F.zip_with(a, b, lambda x, y: F.coalesce((x["role"] == y["role"]) & (x["text"] == y["text"]), F.lit(False)))

@@ -55,14 +55,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql.OP1)
 def op1_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Preference pairs of neighbouring conversations, those that open alike
-    first."""
+    """Preference pairs of conversations that open alike, then of neighbours."""
     from .common import stored
-    from .preference import conversations, neighbour_pairs, preferences
+    from .preference import conversations, opening_pairs, preferences
 
     turns = table(spark, sf_dir, "conversations")
     convs = stored(conversations(turns))
-    out = preferences(turns, neighbour_pairs(convs), convs=convs)
+    out = preferences(turns, opening_pairs(convs), convs=convs)
     # Spans as text (start-end,start-end), so that engines compare alike.
     return out.withColumns({c: F.array_join(F.transform(c, lambda x: F.concat_ws("-", x["start"], x["end"])), ",")
                             for c in ("chosen_spans", "rejected_spans")})

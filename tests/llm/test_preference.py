@@ -1,4 +1,4 @@
-from cohortlens.llm.preference import conversations, neighbour_pairs, preferences
+from cohortlens.llm.preference import conversations, neighbour_pairs, opening_pairs, preferences
 
 SCHEMA = "conv_id long, turn long, role string, text string, chosen string, prompt long"
 
@@ -50,3 +50,23 @@ def test_neighbours_that_open_alike_are_paired(spark):
     assert preferences(df, neighbour_pairs(convs).limit(0)).collect() == []
     empty = df.limit(0)
     assert preferences(empty, neighbour_pairs(conversations(empty))).collect() == []
+
+
+def test_same_prompts_far_apart_are_paired(spark):
+    u, a, s = "user", "assistant", "system"
+    convs = {c: [(s, "common"), (u, f"own {c}"), (a, "x")] for c in range(100, 400)}  # a hot first turn
+    convs |= {c: [(s, "common"), (u, "asked twice"), (a, str(c))] for c in (105, 390)}
+    convs |= {c: [(u, "far"), (a, str(c))] for c in (3, 70_000)}
+    convs |= {c: [(u, f"alone {c}")] for c in (5, 6, 2_000_000)}
+    df = turns(spark, [(c, i, r, t) for c, ts in convs.items() for i, (r, t) in enumerate(ts)])
+    own = conversations(df)
+    pairs = opening_pairs(own).collect()
+    assert sorted(x for p in pairs for x in (p.chosen, p.rejected) if x is not None) == sorted(convs)
+    got = {(p.chosen, p.rejected) for p in pairs}
+    assert {(105, 390), (3, 70_000), (5, 6), (2_000_000, None)} <= got
+    assert sum(c in range(100, 400) and r in range(100, 400) for c, r in got) == 150  # blocks alone leave an odd one each
+    rows = {r.pair_id: r for r in preferences(df, opening_pairs(own)).collect()}
+    assert rows[105].n_prompt_turns == 2 and rows[3].n_prompt_turns == 1
+    alone = own.where("conv_id in (5, 6, 2000000)")
+    assert sorted(map(tuple, opening_pairs(alone).collect())) == sorted(map(tuple, neighbour_pairs(alone).collect()))
+    assert opening_pairs(own.limit(0)).collect() == []
