@@ -8,11 +8,12 @@ characters outside of links, the density is
 
 (counts of 0 taken as 1; ``LCb`` and ``Cb`` are those of the body): characters
 per tag, lowered where the characters are links.  A container's density sum is
-the sum of the densities of its blocks.  The container with the largest sum is
+the sum of the densities of its blocks; an ``article`` or ``main`` element adds
+the largest sum inside it to its own, so it comes before its parts, but not
+before a denser container outside.  The container with the largest sum is
 the core of the article; the threshold is the least density on the path from
 it to the body, and at every step of that path sibling blocks at or above the
-threshold belong to the article too.  A path that runs through an ``article``
-or ``main`` element starts from the innermost such element.
+threshold belong to the article too.
 
 Elements that say that they are no article text (menus, page headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments) are taken
@@ -66,7 +67,7 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "out", "wrapper", "inline", "parent", "items", "c", "t", "lc", "lt", "density", "total")
+    __slots__ = ("tag", "out", "wrapper", "inline", "parent", "items", "c", "t", "lc", "lt", "density", "total", "best")
 
     def __init__(self, tag: str, out: bool, parent: "Node | None"):
         self.tag, self.out, self.parent = tag, out, parent
@@ -74,7 +75,7 @@ class Node:
         self.wrapper = False  # out only by a mark that an article inside lifts
         self.items: list[Node | str] = []
         self.c = self.t = self.lc = self.lt = 0
-        self.density = self.total = 0.0
+        self.density = self.total = self.best = 0.0
 
 
 class Tree(HTMLParser):
@@ -167,6 +168,11 @@ def _measure(nodes: list[Node]) -> None:
             lc, lt, t, plain = max(node.lc, 1), max(node.lt, 1), max(node.t, 1), max(node.c - node.lc, 1)
             base = math.log(node.c / plain * lc + share * node.c + math.e)
             node.density = node.c / t * max(0.0, math.log(node.c / lc * t / lt) / math.log(base))
+        if node.tag in ("article", "main"):
+            node.total += node.best
+        node.best = max(node.best, node.total)
+        if node.parent is not None:
+            node.parent.best = max(node.parent.best, node.best)
         if node.parent is not None and not node.inline:
             up = node.parent
             while up.inline and up.parent is not None:
@@ -211,22 +217,17 @@ def main_text(html: str | None) -> str:
     core = max(nodes, key=lambda x: (not x.inline, x.total))
     if not core.c:
         core = body
-    up = core
-    while up is not None and up.tag not in ("article", "main"):
-        up = up.parent
-    core = up or core
     path, up = [], core
     while up is not None:
         path.append(up)
         up = up.parent
     least = min(x.density for x in path)
     parts = [core]
-    if core.tag not in ("article", "main"):
-        for child, up in zip(path, path[1:]):
-            own = [x for x in up.items if type(x) is Node and not x.out and not x.inline]
-            at = own.index(child) if child in own else 0
-            near = [x.c > 0 and x.density >= least for x in own]
-            parts = [x for x, ok in zip(own[:at], near) if ok] + parts + [x for x, ok in zip(own[at + 1:], near[at + 1:]) if ok]
+    for child, up in zip(path, path[1:]):
+        own = [x for x in up.items if type(x) is Node and not x.out and not x.inline]
+        at = own.index(child) if child in own else 0
+        near = [x.c > 0 and x.density >= least for x in own]
+        parts = [x for x, ok in zip(own[:at], near) if ok] + parts + [x for x, ok in zip(own[at + 1:], near[at + 1:]) if ok]
     blocks: list[list[str]] = []
     for part in parts:
         _write(part, None, blocks)

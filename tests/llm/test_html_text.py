@@ -39,3 +39,16 @@ def test_rows(spark):
     got = sorted((r.page_id or 0, r.url, r.text, r.n_chars) for r in main_texts(df).collect())
     assert got == [(0, "v", "x", 1), (1, "u", "été", 3), (1, "u", "été", 3), (2, None, "", 0)]
     assert main_texts(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<body><div>" + "".join(f"<article><p>{LONG}{i}</p><p>{LONG * i}</p></article>" for i in (1, 2, 3)) + "</div></body>",
+     "\n".join(f"{LONG}{i}\n{(LONG * i).strip()}" for i in (1, 2, 3))),
+    ("<body><article><p>" + LONG + "</p><div><article class=card><p>" + LONG * 4 + "</p><p>" + LONG * 5 + "</p></article></div><p>"
+     + LONG + "end</p></article></body>",
+     "\n".join((LONG.strip(), (LONG * 4).strip(), (LONG * 5).strip(), LONG + "end"))),
+    ("<body><article><a href=x>t</a></article><div><p>" + LONG * 2 + "</p><p>" + LONG * 3 + "</p></div></body>",
+     (LONG * 2).strip() + "\n" + (LONG * 3).strip()),
+])
+def test_density_chooses_where_there_are_articles(html, want):
+    assert main_text(html) == want
