@@ -414,7 +414,7 @@ def _model_tables(spark, sf_dir):
 
     def bench(part):
         if not made:
-            made.update(run_model_benchmark(f.clin, "mortality", include_gbt=True, boosting_rounds=20))
+            made.update(run_model_benchmark(f.clin, "mortality", include_gbt=True))
         return made[part]
 
     return (f._stored("ml_predictions", lambda: bench("predictions")),
