@@ -245,12 +245,14 @@ def _distinct(pairs: DataFrame) -> DataFrame:
 
 
 def jaccard_links(docs: DataFrame, key: str = "doc_id", k: int = 5, percent: int = 80, pivots: int = PIVOTS,
-                  wide: int = WIDE, depth: int = DEPTH, sample: int = SAMPLE_DOCS) -> tuple[DataFrame, DataFrame]:
+                  wide: int = WIDE, depth: int = DEPTH, sample: int = SAMPLE_DOCS, exact: bool = True) -> tuple[DataFrame, DataFrame]:
     """(points, links).  Points: (key, n, node) of every document, ``node`` the
-    smallest id with an equal set.  Links: (a, b, na, nb, both) of compared
-    nodes at the similarity or above; together with the points they connect
-    exactly what all links connect."""
+    smallest id with an equal set.  Links: (a, b, na, nb, both) of all pairs of
+    nodes, a < b, at the similarity or above.  Without ``exact`` only of enough
+    pairs: with the points they connect exactly what all links connect."""
     spark = docs.sparkSession
+    if exact:  # unequal sets at the similarity share so many shingles, which bounds the levels that all such pairs reach
+        depth = min(depth, -(-percent // max(100 - percent, 1)))
     docs = texts(docs, key)
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, key, k, sample))
     every = stored(_points(docs, key, k, percent, frequent))
@@ -269,18 +271,19 @@ def jaccard_links(docs: DataFrame, key: str = "doc_id", k: int = 5, percent: int
         fresh = tests.where((100 * F.col("both")) >= percent * (F.col("na") + F.col("nb") - F.col("both")))
         links = stored(fresh if links is None else links.unionByName(fresh))
         many = found.where("many").select("region", "last", "level", F.col("a").alias("node"), F.col("na").alias("n"), "at")
-        if many.isEmpty():
-            return points, links
-        links, rows = _split(many, tests, links, docs, sketches, frequent, key, k, percent, wide, depth)
+        rows = None
+        if not many.isEmpty():
+            links, rows = _split(many, tests, links, docs, sketches, frequent, key, k, percent, wide, depth, exact)
         if rows is None:
-            return points, links
+            return points, links.dropDuplicates(["a", "b"]) if exact else links
 
 
 def _split(many: DataFrame, tests: DataFrame, links: DataFrame, docs: DataFrame, sketches: DataFrame, frequent,
-           key: str, k: int, percent: int, wide: int, depth: int) -> tuple[DataFrame, DataFrame | None]:
+           key: str, k: int, percent: int, wide: int, depth: int, exact: bool) -> tuple[DataFrame, DataFrame | None]:
     """One recursion: finishes regions with few points outside of their largest
-    component, and gives the rows of the next regions of the others."""
-    comp = stored(components(links, one_task=ONE_TASK_EDGES))
+    component, and gives the rows of the next regions of the others.  ``exact``
+    takes every point as a component of its own, so all pairs are compared."""
+    comp = stored(components(links.limit(0) if exact else links, one_task=ONE_TASK_EDGES))
     least = many.groupBy("region").agg(F.min("n").alias("least"), F.min("node").alias("pivot"))
     best = F.greatest(F.col("n") - F.col("at") + F.col("level") - 1, F.col("least"))  # the size that suits the point best
     member = stored(many.join(least, "region").where(_possible(F.col("n"), F.col("at"), best, F.lit(0), F.col("level"), percent))
@@ -341,13 +344,25 @@ def _split(many: DataFrame, tests: DataFrame, links: DataFrame, docs: DataFrame,
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """(key, n_shingles, component_id) of every row of ``docs``."""
-    points, links = jaccard_links(docs, key, **options)
+    points, links = jaccard_links(docs, key, exact=False, **options)
     comp = stored(components(links, one_task=ONE_TASK_EDGES)).withColumnRenamed("node", "of")
     points = stored(points)
     return points.join(comp, points["node"] == comp["of"], "left").select(
         key, F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
 
 
+def link_counts(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """(key, n_links) of every row: other rows with a word whose set is equal or
+    at the similarity or above."""
+    points, links = jaccard_links(docs, key, **options)
+    points = stored(points)
+    own = stored(points.where("n > 0 and node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("rows")))
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    far = both.join(own.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("rows").alias("far"))
+    total = own.join(far, "node", "left").select("node", (F.col("rows") - 1 + F.coalesce("far", F.lit(0))).alias("links"))
+    return points.join(total, "node", "left").select(key, F.coalesce("links", F.lit(0)).alias("n_links"))
+
+
 def one_of_each(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one row of every component, that of the smallest id; rows
     with a null id stay."""

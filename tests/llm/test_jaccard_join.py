@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from cohortlens.llm.jaccard_join import jaccard_components, one_of_each
+from cohortlens.llm.jaccard_join import jaccard_components, jaccard_links, link_counts, one_of_each
 
 
 def sets_of(text):
@@ -79,3 +79,24 @@ def test_a_dense_group_and_repeats(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_components(df).collect() == []
+
+
+@pytest.mark.parametrize("options", [{}, {"pivots": 2, "wide": 2}, {"pivots": 1, "wide": 0, "depth": 6, "sample": 10}])
+def test_all_links_of_a_dense_group(spark, options):
+    r = random.Random(9)
+    rows = corpus(4, 60)
+    for i in range(40):
+        w = [f"b{j}" for j in range(90)]
+        for _ in range(r.randrange(1, 3)):
+            w[r.randrange(90)] = f"x{i}"
+        rows.append((2000 + i, " ".join(w)))
+    rows += [(3000 + i, " ".join("abcdefghi"[:8 + i % 2])) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    s = {i: sets_of(t) for i, t in rows}
+    near = {(a, b) for a in s for b in s if a < b and s[a] and s[b] and 100 * len(s[a] & s[b]) >= 80 * len(s[a] | s[b])}
+    points, links = jaccard_links(df, **options)
+    node = {x.doc_id: x.node for x in points.collect()}
+    got = sorted((x.a, x.b) for x in links.collect())
+    assert got == sorted({(a, b) for a, b in near if node[a] == a and node[b] == b and s[a] != s[b]})
+    want = {i: sum(i in pair for pair in near) for i in s}
+    assert {x.doc_id: x.n_links for x in link_counts(df, **options).collect()} == want
