@@ -113,3 +113,14 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import best_fit
 
     return best_fit(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies aligned by bytes in every document."""
+    import public_tokenizers
+
+    from .alignment import alignment
+
+    return alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                     public_tokenizers.path("piece_bpe_32k.model")).documents
