@@ -132,3 +132,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .spelling import spelling_variants
 
     return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and perplexity bands over every whole document."""
+    from .perplexity import quality
+
+    return quality(table(spark, sf_dir, "documents"))
