@@ -2,8 +2,8 @@
 M20, A25-A27).
 
 No operator emits all pairs of a group or ranks a whole group in one task:
-pair statistics come from a token join plus closed-form totals, and ranks
-and cumulative counts come from :func:`running_sums`.
+pair statistics come from counts of subsets plus closed-form totals, and
+ranks and cumulative counts come from :func:`running_sums`.
 """
 
 from __future__ import annotations
@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions.expr import jaccard_from_counts
-from cohortlens.session import materialize
 from cohortlens.functions.running import hex_digits, md5_bucket, quantile_bucket, running_sums
+from cohortlens.operators.overlaps import MOST_ITEMS, pair_totals, shared_pairs, signatures
+from cohortlens.session import materialize
 
 
 def hash_order(id_col: str, seed: int) -> F.Column:
@@ -43,85 +43,57 @@ def sample_by_hash(df: DataFrame, n: int, seed: int, id_col: str = "hadm_id") ->
     return df.withColumn("_h", hash_order(id_col, seed)).orderBy("_h", id_col).limit(int(n)).drop("_h")
 
 
-def outcome_alignment(df: DataFrame, outcome: str = "mortality", sample_size: int = 1000, seed: int = 42,
+def outcome_alignment(df: DataFrame, outcome: str = "mortality", sample_size: int | None = None, seed: int = 42,
                       same_version_only: bool = False, bins: int = 5, set_col: str = "diagnoses_icd_list",
-                      los_rate: float = 0.05) -> tuple[DataFrame, DataFrame]:
-    """Diagnosis Jaccard of sampled pairs against outcome agreement.
+                      los_rate: float = 0.05, most_items: int = MOST_ITEMS) -> tuple[DataFrame, DataFrame]:
+    """Diagnosis Jaccard of all pairs of a cohort against outcome agreement.
 
     Returns (summary, bands).  Outcome agreement is equality, or
-    exp(-rate |a - b|) for ``los_days``.  Pairs sharing a code come from a
-    token join; pairs sharing none have similarity 0 and are accounted for
-    in closed form (pair counts per stratum, agreement totals from class
-    counts, or from sorted prefix sums for LOS), so no pair list of the whole
-    sample is ever built.
-    """
+    exp(-rate |a - b|) for ``los_days`` (whole days).  The pairs are never
+    listed: ``overlaps.py`` counts them by sizes and overlap, and pairs that
+    share no code have similarity 0 and follow from the totals.  With a
+    ``sample_size`` only that many rows in hash order take part."""
     if bins < 1:
         raise ValueError("bins must be >= 1")
-    is_los = outcome == "los_days"
+    rate = los_rate if outcome == "los_days" else None
     grp = F.col("icd_version_mix") if same_version_only else F.lit("all")
-    sample = materialize(sample_by_hash(df.filter(F.col(outcome).isNotNull()), sample_size, seed).select(
-        F.col("hadm_id").alias("id"), grp.alias("g"), F.array_distinct(set_col).alias("s"),
-        F.col(outcome).cast("double").alias("y")))  # bounded sample, read several times
-    toks = sample.select("id", "g", F.explode("s").alias("tok"))
-    a, b = toks.alias("a"), toks.alias("b")
-    inter = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.g") == F.col("b.g"))
-                    & (F.col("a.id") < F.col("b.id")))
-             .groupBy(F.col("a.id").alias("ia"), F.col("b.id").alias("ib")).agg(F.count(F.lit(1)).alias("k")))
-    info = sample.select("id", F.size("s").alias("n"), "y")
-    ia, ib = info.alias("ia"), info.alias("ib")
-    pairs = (inter.join(ia, F.col("ia") == F.col("ia.id"))
-             .join(ib, F.col("ib") == F.col("ib.id"))
-             .select(jaccard_from_counts(F.col("k"), F.col("ia.n"), F.col("ib.n")).alias("x"),
-                     (F.exp(-los_rate * F.abs(F.col("ia.y") - F.col("ib.y"))) if is_los
-                      else (F.col("ia.y") == F.col("ib.y")).cast("double")).alias("yy")))
-    pos = pairs.withColumn("band", band_of(F.col("x"), bins))
-    pos_band = pos.groupBy("band").agg(F.count(F.lit(1)).alias("p_n"), F.sum("x").alias("p_x"),
-                                       F.sum("yy").alias("p_y"))
-    pos_tot = pos.agg(F.count(F.lit(1)).alias("P"), F.sum("x").alias("Sx"), F.sum(F.col("x") * F.col("x")).alias("Sxx"),
-                      F.sum(F.col("x") * F.col("yy")).alias("Sxy"), F.sum("yy").alias("Py"),
-                      F.sum(F.col("yy") * F.col("yy")).alias("Pyy"))
-
-    counts = sample.groupBy("g").agg(F.count(F.lit(1)).alias("ng"))
-    n_pairs = counts.agg(F.sum(F.col("ng") * (F.col("ng") - 1) / 2).alias("N"))
-    if is_los:
-        ordered = sample.select("id", "g", "y", F.exp(los_rate * F.col("y")).alias("e1"),
-                                F.exp(2 * los_rate * F.col("y")).alias("e2"))
-        cum = running_sums(ordered, ["g"], [F.col("y"), F.col("id")], ["e1", "e2"],
-                           bucket=quantile_bucket(ordered, F.col("y")), inclusive=False)
-        totals = cum.agg(F.sum(F.exp(-los_rate * F.col("y")) * F.col("cum_e1")).alias("Y"),
-                         F.sum(F.exp(-2 * los_rate * F.col("y")) * F.col("cum_e2")).alias("YY"))
-    else:
-        per_class = sample.groupBy("g", "y").agg(F.count(F.lit(1)).alias("c"))
-        totals = per_class.agg(F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("Y")).withColumn("YY", F.col("Y"))
-    tot = n_pairs.crossJoin(totals).crossJoin(pos_tot)  # single-row aggregates
-    tot = tot.select(F.col("N").cast("double").alias("N"), F.col("Y").cast("double").alias("Y"),
-                     F.col("YY").cast("double").alias("YY"), F.col("P").cast("double").alias("P"),
-                     F.coalesce("Sx", F.lit(0.0)).alias("Sx"), F.coalesce("Sxx", F.lit(0.0)).alias("Sxx"),
-                     F.coalesce("Sxy", F.lit(0.0)).alias("Sxy"), F.coalesce("Py", F.lit(0.0)).alias("Py"))
+    rows = df.filter(F.col(outcome).isNotNull())
+    if same_version_only:
+        rows = rows.filter(F.col("icd_version_mix").isNotNull())
+    if sample_size is not None:
+        rows = sample_by_hash(rows, sample_size, seed)
+    sigs = materialize(signatures(rows, set_col, outcome, grp))  # read several times
+    # At most (sizes)^2 x overlaps rows; every pair was counted in both orders.
+    shared = materialize(shared_pairs(sigs, rate, most_items))
+    x = F.col("k").cast("double") / (F.col("a") + F.col("b") - F.col("k"))
+    w, yy = F.col("pairs").cast("double") / 2, F.col("agree") / 2
+    pos = shared.select(x.alias("x"), w.alias("w"), yy.alias("yy")).withColumn("band", band_of(F.col("x"), bins))
+    pos_band = pos.groupBy("band").agg(F.sum("w").alias("p_n"), F.sum(F.col("x") * F.col("w")).alias("p_x"), F.sum("yy").alias("p_y"))
+    pos_tot = pos.agg(F.sum("w").alias("P"), F.sum(F.col("x") * F.col("w")).alias("Sx"), F.sum(F.col("x") * F.col("x") * F.col("w")).alias("Sxx"),
+                      F.sum(F.col("x") * F.col("yy")).alias("Sxy"), F.sum("yy").alias("Py"))
+    tot = pair_totals(sigs, rate).crossJoin(pos_tot)  # single-row aggregates
+    tot = tot.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ("N", "Y", "YY", "P", "Sx", "Sxx", "Sxy", "Py")])
     var_x = F.col("N") * F.col("Sxx") - F.col("Sx") * F.col("Sx")
     var_y = F.col("N") * F.col("YY") - F.col("Y") * F.col("Y")
     corr = F.when((var_x > 0) & (var_y > 0),
-                  (F.col("N") * F.col("Sxy") - F.col("Sx") * F.col("Y")) / F.sqrt(var_x * var_y))
-    summary = tot.select(F.lit(outcome).alias("outcome_column"),
-                         F.lit(None).cast("long").alias("sampled_patients"),
-                         F.col("N").cast("long").alias("pair_count"),
-                         F.lit(same_version_only).alias("same_version_only"),
-                         corr.alias("correlation"),
-                         (F.col("Sx") / F.col("N")).alias("mean_similarity"),
-                         (F.col("Y") / F.col("N")).alias("mean_outcome_match_rate"))
-    summary = summary.crossJoin(sample.agg(F.count(F.lit(1)).alias("_n"))).withColumn(
-        "sampled_patients", F.col("_n")).drop("_n")
+                  (F.col("N") * F.col("Sxy") - F.col("Sx") * F.col("Y")) / (F.sqrt(var_x) * F.sqrt(var_y)))
+    size = sigs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+    summary = tot.crossJoin(size).select(
+        F.lit(outcome).alias("outcome_column"), F.col("rows").cast("long").alias("sampled_patients"),
+        F.col("N").cast("long").alias("pair_count"), F.lit(same_version_only).alias("same_version_only"),
+        corr.alias("correlation"), F.when(F.col("N") > 0, F.col("Sx") / F.col("N")).alias("mean_similarity"),
+        F.when(F.col("N") > 0, F.col("Y") / F.col("N")).alias("mean_outcome_match_rate"))
     edges = band_edges(bins)
     band_list = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("band"))
     zero = tot.select((F.col("N") - F.col("P")).alias("z_n"), (F.col("Y") - F.col("Py")).alias("z_y"))
     bands = band_list.join(pos_band, "band", "left").crossJoin(zero)
-    n_ = F.coalesce("p_n", F.lit(0)) + F.when(F.col("band") == 0, F.col("z_n")).otherwise(F.lit(0.0))
+    n_ = F.coalesce("p_n", F.lit(0.0)) + F.when(F.col("band") == 0, F.col("z_n")).otherwise(F.lit(0.0))
     x_ = F.coalesce("p_x", F.lit(0.0))
     y_ = F.coalesce("p_y", F.lit(0.0)) + F.when(F.col("band") == 0, F.col("z_y")).otherwise(F.lit(0.0))
     lower = F.element_at(F.array(*[F.lit(e) for e in edges]), F.col("band") + 1)
     upper = F.element_at(F.array(*[F.lit(e) for e in edges]), F.col("band") + 2)
     bands = bands.select("band", lower.alias("band_lower"), upper.alias("band_upper"),
-                         n_.cast("long").alias("pair_count"),
+                         F.round(n_).cast("long").alias("pair_count"),
                          F.when(n_ > 0, x_ / n_).alias("similarity_mean"),
                          F.when(n_ > 0, y_ / n_).alias("outcome_match_rate"))
     return summary, bands

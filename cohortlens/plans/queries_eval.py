@@ -208,52 +208,59 @@ def q_modelling_flags(spark, sf_dir):
 # --- alignment (M6, A26, A27) ------------------------------------------------------
 
 ALIGN_CTES = r"""
-elig AS (SELECT b.hadm_id, d.diagnoses_icd_list AS s, CAST(b.mortality AS DOUBLE) AS y
-         FROM base b JOIN dx d ON b.hadm_id = d.hadm_id WHERE b.mortality IS NOT NULL),
-smp AS MATERIALIZED (SELECT * FROM elig ORDER BY md5(CAST(hadm_id AS VARCHAR) || '42'), hadm_id LIMIT 1000),
+elig AS (SELECT b.hadm_id, d.diagnoses_icd_list AS s, CAST({y} AS DOUBLE) AS y, {g} AS g
+         FROM base b JOIN dx d ON b.hadm_id = d.hadm_id WHERE {y} IS NOT NULL AND {g} IS NOT NULL),
+places AS (SELECT code, row_number() OVER (ORDER BY code) - 1 AS place FROM (SELECT DISTINCT unnest(s) AS code FROM elig)),
+masks AS (SELECT e.hadm_id, any_value(e.y) AS y, any_value(e.g) AS g, len(any_value(e.s)) AS n,
+                 coalesce(bit_or(1::HUGEINT << CAST(p.place AS INTEGER)), 0::HUGEINT) AS m
+          FROM (SELECT *, unnest(CASE WHEN len(s) = 0 THEN [NULL] ELSE s END) AS code FROM elig) e LEFT JOIN places p ON p.code = e.code GROUP BY e.hadm_id),
 prs AS MATERIALIZED (
-  SELECT {jac} AS x, CAST(a.y = b.y AS DOUBLE) AS yy FROM smp a JOIN smp b ON a.hadm_id < b.hadm_id),
+  SELECT x, yy, count(*) AS w FROM (
+    SELECT CASE WHEN a.n + b.n = 0 THEN 0.0 ELSE bit_count(a.m & b.m) * 1.0 / (a.n + b.n - bit_count(a.m & b.m)) END AS x, {agree} AS yy
+    FROM masks a JOIN masks b ON a.hadm_id < b.hadm_id AND a.g = b.g) GROUP BY x, yy),
+tot AS (SELECT sum(w) AS n, sum(w * x) AS sx, sum(w * x * x) AS sxx, sum(w * yy) AS sy, sum(w * yy * yy) AS syy, sum(w * x * yy) AS sxy FROM prs),
 bnd AS (SELECT *, CASE {bands} END AS band FROM prs)
-""".format(jac=jac_sql("a.s", "b.s"),
-           bands=" ".join(f"WHEN x <= {repr(e)} THEN {i}" for i, e in enumerate(evaluate.band_edges(5)[1:])))
+"""
+_ALIGN_SUMMARY = """
+SELECT '{outcome}' AS outcome_column, (SELECT count(*) FROM elig) AS sampled_patients, CAST(n AS BIGINT) AS pair_count,
+       {same} AS same_version_only, round((n * sxy - sx * sy) / (sqrt(n * sxx - sx * sx) * sqrt(n * syy - sy * sy)), 6) AS correlation,
+       round(sx / n, 6) AS mean_similarity, round(sy / n, 6) AS mean_outcome_match_rate FROM tot"""
+
+
+def _align_ctes(y: str, g: str, agree: str) -> str:
+    return ALIGN_CTES.format(y=y, g=g, agree=agree, bands=" ".join(
+        f"WHEN x <= {repr(e)} THEN {i}" for i, e in enumerate(evaluate.band_edges(5)[1:])))
+
+
+_DIED_ALIGN = _align_ctes("b.mortality", "'all'", "CAST(a.y = b.y AS DOUBLE)")
+_LOS_ALIGN = _align_ctes("b.los_days", "d.icd_version_mix", "exp(-0.05 * abs(a.y - b.y))")
 
 
 def _alignment(spark, sf_dir):
+    """All pairs of the whole cohort."""
     f = Features(spark, sf_dir)
-    return evaluate.outcome_alignment(joined_dataset(f.base, f.dx, None), "mortality", 1000, 42, False, 5)
+    return evaluate.outcome_alignment(joined_dataset(f.base, f.dx, None), "mortality")
 
 
-@register("alignment_summary", with_ctes(BASE_CTES, DX_CTES, ALIGN_CTES) + """
-SELECT 'mortality' AS outcome_column, (SELECT count(*) FROM smp) AS sampled_patients, count(*) AS pair_count,
-       false AS same_version_only, round(corr(x, yy), 6) AS correlation, round(avg(x), 6) AS mean_similarity,
-       round(avg(yy), 6) AS mean_outcome_match_rate FROM prs""")
+@register("alignment_summary", with_ctes(BASE_CTES, DX_CTES, _DIED_ALIGN) + _ALIGN_SUMMARY.format(outcome="mortality", same="false"))
 def q_alignment_summary(spark, sf_dir):
     return _r6_all(_alignment(spark, sf_dir)[0])
 
 
-@register("alignment_bands", with_ctes(BASE_CTES, DX_CTES, ALIGN_CTES) + """
+@register("alignment_bands", with_ctes(BASE_CTES, DX_CTES, _DIED_ALIGN) + """
 , bl AS (SELECT range AS band FROM range(5))
 SELECT bl.band, round(bl.band * 0.2, 6) AS band_lower, round(CASE WHEN bl.band = 4 THEN 1.0 ELSE (bl.band + 1) * 0.2 END, 6) AS band_upper,
-       count(x) AS pair_count, round(avg(x), 6) AS similarity_mean, round(avg(yy), 6) AS outcome_match_rate
+       CAST(coalesce(sum(w), 0) AS BIGINT) AS pair_count, round(sum(w * x) / sum(w), 6) AS similarity_mean, round(sum(w * yy) / sum(w), 6) AS outcome_match_rate
 FROM bl LEFT JOIN bnd ON bl.band = bnd.band GROUP BY bl.band""")
 def q_alignment_bands(spark, sf_dir):
     b = _alignment(spark, sf_dir)[1]
     return _r6_all(b.withColumn("band", F.col("band").cast("bigint")))
 
 
-_LOS_ALIGN = ALIGN_CTES.replace("b.mortality IS NOT NULL", "b.los_days IS NOT NULL").replace(
-    "CAST(b.mortality AS DOUBLE) AS y", "CAST(b.los_days AS DOUBLE) AS y, d.icd_version_mix AS g").replace(
-    "CAST(a.y = b.y AS DOUBLE) AS yy", "exp(-0.05 * abs(a.y - b.y)) AS yy").replace(
-    "ON a.hadm_id < b.hadm_id", "ON a.hadm_id < b.hadm_id AND a.g = b.g")
-
-
-@register("alignment_los_same_version", with_ctes(BASE_CTES, DX_CTES, _LOS_ALIGN) + """
-SELECT 'los_days' AS outcome_column, (SELECT count(*) FROM smp) AS sampled_patients, count(*) AS pair_count,
-       true AS same_version_only, round(corr(x, yy), 6) AS correlation, round(avg(x), 6) AS mean_similarity,
-       round(avg(yy), 6) AS mean_outcome_match_rate FROM prs""")
+@register("alignment_los_same_version", with_ctes(BASE_CTES, DX_CTES, _LOS_ALIGN) + _ALIGN_SUMMARY.format(outcome="los_days", same="true"))
 def q_alignment_los_same_version(spark, sf_dir):
     f = Features(spark, sf_dir)
-    return _r6_all(evaluate.outcome_alignment(joined_dataset(f.base, f.dx, None), "los_days", 1000, 42, True, 5)[0])
+    return _r6_all(evaluate.outcome_alignment(joined_dataset(f.base, f.dx, None), "los_days", same_version_only=True)[0])
 
 
 # --- predictions of whole-table scores (M7, M9, M10, M20) -----------------------------
