@@ -17,7 +17,7 @@ character.  They are found in these steps:
 4. *Bounds.*  Each word carries a 64-bit signature of all its grams.  Grams that
    the other word lacks are at most ``affected``, so no more signature bits may
    be missing, on either side; what is left is verified by edit distance.  Both
-   happen inside the join, so pairs that fail are never rows.
+   happen where a list is merged, as arrays, so pairs that fail are never rows.
 5. *Words without a bound.*  Where one edit could change all grams of a word
    (none, or a few short words), the word is looked up through two-character
    grams, of which one edit changes at most two, against all words.
@@ -32,11 +32,15 @@ rows count repeatedly.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored
+from .common import map_batches, ship, stored
 from .grams import BEGIN, END, GramDictionary
 
 #: Fixed value: characters of a word.
@@ -46,6 +50,10 @@ MIN_COUNT = 3
 #: A two-character gram that more places of words begin with is made longer.
 FREQUENT = 200
 RATIO = 2
+#: Words of a list that one task holds.
+LIST_ROWS = 50_000
+#: Pairs that are compared at once.
+PAIRS = 1 << 21
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -119,23 +127,112 @@ def _entries(words: DataFrame) -> DataFrame:
         "word", "n", "lost", "signature", "size", F.col("at.listed").alias("gram"), F.col("at.places").alias("place"))
 
 
-def _joined(probe: DataFrame, lists: DataFrame, shifts: list[tuple[int, int]], once: bool) -> DataFrame:
+def _joined(probe: DataFrame, lists: DataFrame, shifts: list[tuple[int, int]], once: bool, list_rows: int = LIST_ROWS) -> DataFrame:
     """Pairs (word, other) at edit distance 1 that share a listed gram where
     the other is longer by the first and the gram later by the second number of
-    a shift.  ``once`` keeps pairs of one length in code-point order only."""
+    a shift.  ``once`` keeps pairs of one length in code-point order only.
+
+    A list and the words that ask it meet in one task, list first; a list of
+    more than ``list_rows`` words is dealt to several, and each gets all that
+    ask.  A task holds one list at a time and reads the askers in batches."""
     shift = F.explode(F.array(*[F.struct(F.lit(a).alias("longer"), F.lit(b).alias("later")) for a, b in shifts]))
+    columns = ["word", "n", "lost", "signature"]
     asked = probe.withColumn("shift", shift).select(
         F.xxhash64("gram", F.col("size") + F.col("shift.longer"), F.col("place") + F.col("shift.later")).alias("key"),
-        F.col("word"), F.col("n"), F.col("lost"), F.col("signature"))
-    held = lists.select(F.xxhash64("gram", "size", "place").alias("key"), F.col("word").alias("other"), F.col("n").alias("other_n"),
-                        F.col("lost").alias("other_lost"), F.col("signature").alias("other_signature"))
-    mine, other = F.col("signature"), F.col("other_signature")
-    near = ((F.bit_count(mine.bitwiseAND(F.bitwise_not(other))) <= F.col("lost"))
-            & (F.bit_count(other.bitwiseAND(F.bitwise_not(mine))) <= F.col("other_lost")))
-    if once:
-        near = near & ((F.char_length("word") < F.char_length("other")) | (F.col("word") < F.col("other")))
-    near = near & (F.levenshtein("word", "other", 1) == 1)
-    return asked.join(held, (asked["key"] == held["key"]) & near).select("word", "n", "other", "other_n")
+        F.lit(True).alias("asks"), *columns)
+    held = lists.select(F.xxhash64("gram", "size", "place").alias("key"), F.lit(False).alias("asks"), *columns)
+    heavy = stored(held.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > list_rows)
+                   .select("key", F.ceil(F.col("rows") / list_rows).cast("int").alias("parts")))
+    salt = F.lit(0)
+    if not heavy.isEmpty():
+        parts = F.coalesce("parts", F.lit(1))
+        held = held.join(heavy, "key", "left").withColumn("salt", F.pmod(F.xxhash64("word"), parts).cast("int")).drop("parts")
+        asked = asked.join(heavy, "key", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    else:
+        held, asked = held.withColumn("salt", salt), asked.withColumn("salt", salt)
+    met = held.unionByName(asked).repartition("key", "salt").sortWithinPartitions("key", "salt", "asks")
+    ship(met.sparkSession)
+    return met.select("key", "salt", "asks", *columns).mapInArrow(
+        lambda batches: _merged(batches, once), "word string, n long, other string, other_n long")
+
+
+def _merged(batches: Iterator[pa.RecordBatch], once: bool) -> Iterator[pa.RecordBatch]:
+    """Merges each list with the words that ask it; rows come sorted by key,
+    salt and side."""
+    at: tuple | None = None
+    held: list[Words] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, salt = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        asks = batch.column(2).to_numpy(zero_copy_only=False)
+        rows = Words(np.array(batch.column(3).to_pylist()), *(batch.column(i).to_numpy() for i in (4, 5, 6)))
+        edge = np.flatnonzero((key[1:] != key[:-1]) | (salt[1:] != salt[:-1]) | (asks[1:] != asks[:-1])) + 1
+        found: list[tuple] = []
+        for low, high in zip([0, *edge.tolist()], [*edge.tolist(), len(key)]):
+            if at != (name := (key[low], salt[low])):
+                at, held = name, []
+            part = rows.rows(slice(low, high))
+            if not asks[low]:
+                held.append(part)
+            elif held:
+                if len(held) > 1:
+                    held = [Words(*(np.concatenate(x) for x in zip(*held)))]
+                found += _near(part, held[0], once)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["word", "n", "other", "other_n"])
+
+
+class Words(NamedTuple):
+    word: np.ndarray
+    n: np.ndarray
+    lost: np.ndarray
+    signature: np.ndarray
+
+    def rows(self, at) -> "Words":
+        return Words(*(x[at] for x in self))
+
+    def least(self) -> np.ndarray:
+        """Signature bits that a near word must share."""
+        return np.maximum(np.bitwise_count(self.signature.view(np.uint64)).astype(np.int16) - self.lost, 0).astype(np.uint8)
+
+
+def _near(asked: Words, held: Words, once: bool) -> list[tuple]:
+    """(word, n, other, other_n) of the pairs that the bounds leave and whose
+    distance is 1, in blocks of pairs."""
+    out = []
+    theirs, need = held.signature.view(np.uint64), held.least()
+    step = max(1, PAIRS // len(theirs))
+    for low in range(0, len(asked.word), step):
+        mine = asked.rows(slice(low, low + step))
+        common = np.bitwise_count(mine.signature.view(np.uint64)[:, None] & theirs[None, :])
+        i, j = np.nonzero(common >= np.maximum(mine.least()[:, None], need[None, :]))
+        if len(i):
+            a, b = mine.word[i], held.word[j]
+            good = one_edit(a, b)
+            if once:
+                good &= (np.char.str_len(a) < np.char.str_len(b)) | (a < b)
+            good = np.flatnonzero(good)
+            if len(good):
+                out.append((a[good], mine.n[i[good]], b[good], held.n[j[good]]))
+    return out
+
+
+def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether strings differ by exactly one inserted, deleted or replaced
+    character, pair by pair."""
+    width = max(a.dtype.itemsize, b.dtype.itemsize) // 4 + 1
+    x, y = (np.ascontiguousarray(v.astype(f"U{width}")).view(np.uint32).reshape(len(v), width) for v in (a, b))
+    n, m = np.char.str_len(a), np.char.str_len(b)
+    differ = x != y
+    out = (n == m) & (differ.sum(1) == 1)
+    for short, long, rows in ((x, y, np.flatnonzero(m == n + 1)), (y, x, np.flatnonzero(n == m + 1))):
+        if len(rows):
+            # Behind the first difference the longer one is one place later.
+            first = differ[rows].argmax(1)
+            moved = short[rows][:, :-1] == long[rows][:, 1:]
+            out[rows] = (moved | (np.arange(width - 1)[None, :] < first[:, None])).all(1)
+    return out
 
 
 def near_pairs(words: DataFrame, frequent: int = FREQUENT, longest: int = 3) -> DataFrame:

@@ -92,6 +92,27 @@ def test_near_pairs_equal_brute_force(spark, frequent, longest):
     assert got == sorted((a, b) for i, a in enumerate(names) for b in names[i + 1 :] if one_edit(a, b))
 
 
+def test_long_lists_are_dealt(spark, monkeypatch):
+    from cohortlens.llm import spelling
+
+    joined = spelling._joined
+    monkeypatch.setattr(spelling, "_joined", lambda *a, **k: joined(*a, **k, list_rows=3))
+    monkeypatch.setattr(spelling, "PAIRS", 7)
+    test_near_pairs_equal_brute_force(spark, 3, 3)
+
+
+def test_one_edit():
+    import numpy as np
+
+    from cohortlens.llm.spelling import one_edit as fast
+
+    r = random.Random(2)
+    words = ["", "a", "ab", "ba", "aab", "aba", "abé", "abéz", "éab"] + ["".join(r.choice("aé") for _ in range(r.randrange(6))) for _ in range(40)]
+    pairs = [(a, b) for a in words for b in words]
+    got = fast(np.array([a for a, _ in pairs]), np.array([b for _, b in pairs]))
+    assert got.tolist() == [one_edit(a, b) for a, b in pairs]
+
+
 def test_forms_ties_and_chains(spark):
     words = {"abcde": 100, "abcdf": 100, "abcdx": 50, "abcdxy": 25, "abcdxyz": 12, "abcdxyzz": 13, "zzzzz": 3, "zzzzzz": 3}
     got = sorted(tuple(r) for r in forms(spark.createDataFrame(list(words.items()), "word string, n long")).collect())
