@@ -15,11 +15,14 @@ the core of the article; the threshold is the least density on the path from
 it to the body, and at every step of that path sibling blocks at or above the
 threshold belong to the article too.
 
-Elements that say that they are no article text (menus, page headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, reader comments) are taken
-out first, by element name or by a word of class, id or role.  Heads stay inside
-an ``article``, and a marked wrapper around the page's article stays (unless it
-is marked as comments).  What is kept loses no block, however short.
+Elements that are never article text by their name (menus, footers, asides,
+controls, scripts, styles) and reader comments are taken out first.  A form, a
+page header and an element with a word in class, id or role that marks menus,
+sidebars, notices, adverts and the like is only taken out if it holds no more
+than half of the page's text outside of links and no outermost ``article`` or
+``main``: a layout class, or a form around a whole page, says nothing about the
+text.  Heads stay inside an ``article``.  A head ends at the first element that
+cannot stand in one.  What is kept loses no block, however short.
 
 Character references are decoded, white space inside a block becomes one space
 and is trimmed (a line break element is white space), and non-empty blocks are
@@ -32,6 +35,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import deque
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -43,9 +47,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rb rp rt "
                    "s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements whose text is never article text.
-OUT = frozenset("script style noscript template head title nav footer aside form button select option textarea input "
+OUT = frozenset("script style noscript template head title nav footer aside button select option textarea input "
                 "iframe object embed svg canvas audio video map dialog menu".split())
-#: Words of class, id or role that mark such an element.
+#: Elements that a head may hold.
+IN_HEAD = frozenset("head title base link meta style script noscript template".split())
+#: Words of class, id or role that mark an element as no article text.
 OUT_WORDS = frozenset(
     "hidden nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer sidebar aside complementary "
     "banner ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr "
@@ -67,43 +73,55 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "out", "wrapper", "inline", "parent", "items", "c", "t", "lc", "lt", "density", "total", "best")
+    __slots__ = ("tag", "out", "marked", "outermost", "inline", "parent", "holder", "items", "own", "plain", "c", "t", "lc", "lt", "density",
+                 "total", "best")
 
-    def __init__(self, tag: str, out: bool, parent: "Node | None"):
-        self.tag, self.out, self.parent = tag, out, parent
+    def __init__(self, tag: str, parent: "Node | None"):
+        self.tag, self.parent = tag, parent
+        self.out = tag in OUT
         self.inline = tag in INLINE
-        self.wrapper = False  # out only by a mark that an article inside lifts
+        #: The nearest block around.
+        self.holder = parent if parent is None or not parent.inline else parent.holder or parent
+        self.marked = False  # out if it holds little of the page
+        self.outermost = False  # an article or main that is in no other, or holds one
         self.items: list[Node | str] = []
-        self.c = self.t = self.lc = self.lt = 0
+        self.own = self.plain = self.c = self.t = self.lc = self.lt = 0
         self.density = self.total = self.best = 0.0
 
 
 class Tree(HTMLParser):
-    """Nodes of one page; elements that are left open end with their parent."""
+    """Nodes of one page; elements that are left open end with their parent.
+
+    The places of the open elements of each name are kept, so that a tag costs
+    no walk over the open elements, however deep the page is."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = Node("#page", False, None)
+        self.root = Node("#page", None)
         self.open = [self.root]
+        self.places: dict[str, list[int]] = {}
         self.body: Node | None = None
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag not in IN_HEAD and self.places.get("head"):
+            self._end_upto(("head",), ())
         if tag in BREAKS_P:
             self._end_upto(("p",), ("td", "th", "button", "table") if tag != "table" else ("td", "th", "button"))
         if tag in ENDS:
             for kind in ENDS[tag]:
                 self._end_upto((kind,), STOPS[tag])
         top = self.open[-1]
-        node = Node(tag, tag in OUT, top)
+        node = Node(tag, top)
         if not node.out and (marks := self._marks(tag, attrs)):
-            node.out, node.wrapper = True, OUT_COMMENTS.isdisjoint(marks)
-        if tag in ("article", "main") and not node.out and not any(x.tag in ("article", "main") for x in self.open):
-            for x in self.open:
-                x.out = x.out and not x.wrapper
+            node.out = not OUT_COMMENTS.isdisjoint(marks)
+            node.marked = not node.out
+        if tag in ("article", "main") and not node.out:
+            node.outermost = not (self.places.get("article") or self.places.get("main"))
         top.items.append(node)
         if tag == "body" and self.body is None:
             self.body = node
         if tag not in VOID:
+            self.places.setdefault(tag, []).append(len(self.open))
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -116,24 +134,25 @@ class Tree(HTMLParser):
         self.open[-1].items.append(data)
 
     def _end_upto(self, tags: tuple, stops: tuple) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in tags:
-                del self.open[i:]
-                return
-            if self.open[i].tag in stops:
-                return
+        """Ends the innermost open element of ``tags`` unless one of ``stops``
+        was opened after it."""
+        at, stop = (max((p[-1] for t in names if (p := self.places.get(t))), default=0) for names in (tags, stops))
+        if at > stop:
+            while len(self.open) > at:
+                self.places[self.open.pop().tag].pop()
 
     def _marks(self, tag: str, attrs: list) -> set:
-        """The words of class, id or role that take the element out."""
+        """The words of class, id or role, or the name, that speak against the
+        element."""
         if tag in ("html", "body", "main"):
             return set()
         words = {w for k, v in attrs if k in ("class", "id", "role") and v for w in _words(v)}
-        if tag == "header":
-            words.add("header")
+        if tag in ("header", "form"):
+            words.add("header" if tag == "header" else "login")
         if any(k == "hidden" for k, _ in attrs):
             words.add("hidden")
         marks = words & (OUT_COMMENTS if tag == "article" else OUT_WORDS)
-        if not marks.isdisjoint(OUT_HEADS) and any(x.tag == "article" for x in self.open):
+        if not marks.isdisjoint(OUT_HEADS) and self.places.get("article"):
             marks -= OUT_HEADS
         return marks
 
@@ -150,9 +169,21 @@ def _ordered(root: Node) -> list[Node]:
     return out
 
 
+def _settle(nodes: list[Node]) -> None:
+    """Decides which marked elements are out, from what they hold."""
+    for node in reversed(nodes):
+        node.own = sum(len(" ".join(x.split())) for x in node.items if type(x) is str)
+        node.plain = 0 if node.tag == "a" else node.plain + node.own
+        if node.parent is not None:
+            node.parent.plain += node.plain
+            node.parent.outermost = node.parent.outermost or node.outermost
+    for node in nodes:
+        node.out = node.marked and not node.outermost and 2 * node.plain <= nodes[0].plain
+
+
 def _measure(nodes: list[Node]) -> None:
     for node in reversed(nodes):
-        node.c += sum(len(" ".join(x.split())) for x in node.items if type(x) is str)
+        node.c += node.own
         if node.tag == "a":
             node.lc, node.lt = node.c, node.t + 1
         if node.parent is not None:
@@ -173,11 +204,8 @@ def _measure(nodes: list[Node]) -> None:
         node.best = max(node.best, node.total)
         if node.parent is not None:
             node.parent.best = max(node.parent.best, node.best)
-        if node.parent is not None and not node.inline:
-            up = node.parent
-            while up.inline and up.parent is not None:
-                up = up.parent
-            up.total += node.density
+        if node.holder is not None and not node.inline:
+            node.holder.total += node.density
 
 
 def _write(node: Node, keep: set | None, blocks: list[list[str]]) -> None:
@@ -211,7 +239,8 @@ def main_text(html: str | None) -> str:
     tree.feed(html)
     tree.close()
     body = tree.body or tree.root
-    body.parent, body.out = None, False
+    body.parent, body.holder, body.out, body.marked = None, None, False, False
+    _settle(_ordered(body))
     nodes = _ordered(body)
     _measure(nodes)
     core = max(nodes, key=lambda x: (not x.inline, x.total))
@@ -222,12 +251,13 @@ def main_text(html: str | None) -> str:
         path.append(up)
         up = up.parent
     least = min(x.density for x in path)
-    parts = [core]
+    parts = deque([core])
     for child, up in zip(path, path[1:]):
         own = [x for x in up.items if type(x) is Node and not x.out and not x.inline]
         at = own.index(child) if child in own else 0
         near = [x.c > 0 and x.density >= least for x in own]
-        parts = [x for x, ok in zip(own[:at], near) if ok] + parts + [x for x, ok in zip(own[at + 1:], near[at + 1:]) if ok]
+        parts.extendleft(x for x, ok in zip(own[at - 1 :: -1] if at else [], near[at - 1 :: -1]) if ok)
+        parts.extend(x for x, ok in zip(own[at + 1 :], near[at + 1 :]) if ok)
     blocks: list[list[str]] = []
     for part in parts:
         _write(part, None, blocks)

@@ -52,3 +52,142 @@ def test_rows(spark):
 ])
 def test_density_chooses_where_there_are_articles(html, want):
     assert main_text(html) == want
+
+
+BODY = f"<h1>T</h1><p>{LONG}</p><p>{LONG * 2}</p>"
+WANT = "\n".join(("T", LONG.strip(), (LONG * 2).strip()))
+
+
+@pytest.mark.parametrize("html", [
+    f"<body><nav>menu</nav><div class='layout with-sidebar'>{BODY}<div class=sidebar>s</div></div></body>",
+    f"<body><div class='page no-header'>{BODY}</div></body>",
+    f"<body><div class='related-work'>{BODY}</div><div class=related>other pages</div></body>",
+    f"<body><form id='aspnetForm'><input name=q><button>Go</button><article>{BODY}</article></form></body>",
+    f"<body><form id='aspnetForm'><select><option>1</select>{BODY}</form><form>mail <input></form></body>",
+    f"<html><head><title>t</title><meta charset=x><div>{BODY}</div>",
+    f"<body><div class='subscribe-page hidden' hidden>{BODY}</div><footer>f</footer></body>",
+])
+def test_marks_weigh_and_do_not_delete(html):
+    assert main_text(html) == WANT
+
+
+@pytest.mark.parametrize("html", [
+    "<div>" * 50_000 + "<p>deep text</p>", "<b>" * 20_000 + "deep text", "<table><tr><td><p>" * 10_000 + "deep text",
+    "<ul><li>" * 20_000 + "deep text", "<p>x<div>" * 20_000 + "<p>deep text", "</div>" * 50_000 + "deep text",
+    "<div><p>side words</p>" * 10_000 + "deep text"])
+def test_deep_pages_take_linear_time(html):
+    import time
+
+    start = time.time()
+    assert main_text(html).endswith("deep text")
+    assert time.time() - start < 5  # a second here; minutes if it grew with the square
+
+
+def _brute(tree):
+    """Composite text density by recursion over (tag, children) pages without
+    marks: counts, densities, density sums, core, threshold, siblings."""
+    import math
+
+    inline = {"a", "b"}
+
+    def counts(x):
+        if isinstance(x, str):
+            return len(" ".join(x.split())), 0, 0, 0
+        c = t = lc = lt = 0
+        for y in x[1]:
+            a, b, d, e = counts(y)
+            c, t, lc, lt = c + a, t + b + (not isinstance(y, str)), lc + d, lt + e
+        return (c, t, c, t + 1) if x[0] == "a" else (c, t, lc, lt)
+
+    body = counts(tree)
+
+    def density(x):
+        c, t, lc, lt = counts(x)
+        if not c:
+            return 0.0
+        base = math.log(c / max(c - lc, 1) * max(lc, 1) + body[2] / max(body[0], 1) * c + math.e)
+        return c / max(t, 1) * max(0.0, math.log(c / max(lc, 1) * max(t, 1) / max(lt, 1)) / math.log(base))
+
+    def blocks_below(x):
+        return [z for y in x[1] if not isinstance(y, str) for z in ([y] if y[0] not in inline else blocks_below(y))]
+
+    def total(x):
+        own = sum(density(y) for y in blocks_below(x))
+        if x[0] in ("article", "main"):
+            own += max((total(y) for y in below(x)), default=0.0)
+        return own
+
+    def below(x):
+        for y in x[1]:
+            if not isinstance(y, str):
+                yield y
+                yield from below(y)
+
+    level, every = [tree], []  # in order of depth, as ties go to the first
+    while level:
+        every += level
+        level = [y for x in level for y in x[1] if not isinstance(y, str)]
+    core = max((x for x in every if x[0] not in inline), key=total)
+    if not counts(core)[0]:
+        core = tree
+
+    def path(x):
+        if x is core:
+            return [x]
+        for y in x[1]:
+            if not isinstance(y, str) and (found := path(y)):
+                return [x, *found]
+        return []
+
+    way = path(tree)
+    least = min(density(x) for x in way)
+
+    def chosen(i):
+        if way[i] is core:
+            return [core]
+        out = []
+        for y in way[i][1]:
+            if y is way[i + 1]:
+                out += chosen(i + 1)
+            elif not isinstance(y, str) and y[0] not in inline and counts(y)[0] and density(y) >= least:
+                out.append(y)
+        return out if way[i + 1][0] not in inline else chosen(i + 1)
+
+    texts = []
+
+    def write(x):
+        if isinstance(x, str):
+            texts[-1] += x
+            return
+        if x[0] not in inline:
+            texts.append("")
+        for y in x[1]:
+            write(y)
+        if x[0] not in inline:
+            texts.append("")
+
+    for part in chosen(0):
+        write(part)
+    return "\n".join(t for t in (" ".join(x.split()) for x in texts) if t)
+
+
+def test_equals_brute_force_density_on_random_pages():
+    import random
+
+    r = random.Random(12)
+
+    def made(depth):
+        tag = r.choice(["div", "div", "section", "article", "p", "p", "a", "b"] if depth else ["p", "a"])
+        if tag in ("p", "a", "b") or not depth:
+            kids = [" ".join(r.choice(["word", "longer-word", "x"]) for _ in range(r.randrange(0, 25)))]
+            if tag == "p" and r.random() < 0.4:
+                kids.append(("a", [" link text"]))
+            return tag, kids
+        return tag, [made(depth - 1) for _ in range(r.randrange(1, 5))]
+
+    def html(x):
+        return x if isinstance(x, str) else f"<{x[0]}>{''.join(map(html, x[1]))}</{x[0]}>"
+
+    for _ in range(300):
+        tree = ("body", [made(4) for _ in range(r.randrange(1, 4))])
+        assert main_text(html(tree)) == _brute(tree)
