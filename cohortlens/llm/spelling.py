@@ -172,13 +172,15 @@ def _merged(batches: Iterator[pa.RecordBatch], once: bool) -> Iterator[pa.Record
         for low, high in zip([0, *edge.tolist()], [*edge.tolist(), len(key)]):
             if at != (name := (key[low], salt[low])):
                 at, held = name, []
+            if asks[low] and not held:
+                continue
             part = rows.rows(slice(low, high))
             if not asks[low]:
                 held.append(part)
-            elif held:
-                if len(held) > 1:
-                    held = [Words(*(np.concatenate(x) for x in zip(*held)))]
-                found += _near(part, held[0], once)
+                continue
+            if len(held) > 1:
+                held = [Words(*(np.concatenate(x) for x in zip(*held)))]
+            found += _near(part, held[0], once)
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["word", "n", "other", "other_n"])
 
