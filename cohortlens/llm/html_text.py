@@ -18,10 +18,10 @@ threshold belong to the article too.
 Elements that are never article text by their name (menus, footers, asides,
 controls, scripts, styles) and reader comments are taken out first.  A form, a
 page header and an element with a word in class, id or role that marks menus,
-sidebars, notices, adverts and the like is only taken out if it holds no more
-than half of the page's text outside of links and no outermost ``article`` or
-``main``: a layout class, or a form around a whole page, says nothing about the
-text.  Heads stay inside an ``article``.  A head ends at the first element that
+sidebars, notices, adverts and the like stays if it holds an outermost
+``article`` or ``main`` or, on a page without such, more than half of the text
+outside of links: a layout class, or a form around a whole page, says nothing
+about the text.  Heads stay inside an ``article``.  A head ends at the first element that
 cannot stand in one.  What is kept loses no block, however short.
 
 Character references are decoded, white space inside a block becomes one space
@@ -178,7 +178,7 @@ def _settle(nodes: list[Node]) -> None:
             node.parent.plain += node.plain
             node.parent.outermost = node.parent.outermost or node.outermost
     for node in nodes:
-        node.out = node.marked and not node.outermost and 2 * node.plain <= nodes[0].plain
+        node.out = node.marked and not node.outermost and (nodes[0].outermost or 2 * node.plain <= nodes[0].plain)
 
 
 def _measure(nodes: list[Node]) -> None:

@@ -71,6 +71,10 @@ def test_marks_weigh_and_do_not_delete(html):
     assert main_text(html) == WANT
 
 
+def test_an_advert_longer_than_a_short_article_goes():
+    assert main_text(f"<body><div class=ad>{LONG * 3}</div><article><h1>T</h1><p>Short.</p></article></body>") == "T\nShort."
+
+
 @pytest.mark.parametrize("html", [
     "<div>" * 50_000 + "<p>deep text</p>", "<b>" * 20_000 + "deep text", "<table><tr><td><p>" * 10_000 + "deep text",
     "<ul><li>" * 20_000 + "deep text", "<p>x<div>" * 20_000 + "<p>deep text", "</div>" * 50_000 + "deep text",
