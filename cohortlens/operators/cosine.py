@@ -176,7 +176,7 @@ def complete_profile(profiles: DataFrame, knn: DataFrame) -> DataFrame:
         F.coalesce("unique_icd_count", n_list.cast("long")).alias("unique_icd_count"),
         F.coalesce(F.try_divide(n_list.cast("double"), n_list.cast("double")), F.lit(0.0))
         .alias("diagnosis_diversity_ratio"),
-        F.element_at("diagnoses_icd_list", 1).alias("primary_diagnosis_icd"),
+        F.get("diagnoses_icd_list", F.lit(0)).alias("primary_diagnosis_icd"),
         F.col("g_known").isNotNull().cast("int").alias("gender_known"),
         F.col("r_known").isNotNull().cast("int").alias("race_known"))
 
@@ -191,3 +191,56 @@ def knn_for_profile(knn: DataFrame, profile: dict, k: int = DEFAULT_NEIGHBOURS,
     scored = cosine_scores(knn, q, stats)
     return (scored.orderBy(F.col("distance").asc(), F.col("hadm_id").asc()).limit(int(k))
             .select("hadm_id", "subject_id", "distance", "similarity", "los_days"))
+
+
+def knn_for_profiles(knn: DataFrame, profiles: DataFrame, k: int = DEFAULT_NEIGHBOURS, stats=None,
+                     block_rows: int = 20_000, block_profiles: int = 2_000) -> DataFrame:
+    """M3 for a batch of completed profiles (:func:`complete_profile`):
+    (profile_id, rank, hadm_id, subject_id, distance, similarity, los_days) of
+    the k nearest admissions of each, ties by id.
+
+    Distances are compared to nine places, as equal rows may differ in their
+    last bits.  Admissions and profiles are dealt to blocks; every pair of
+    blocks is one join key, so a task holds ``block_rows`` admissions and
+    ``block_profiles`` profiles at most, however many there are, and a rank
+    limit before the shuffle leaves k rows of each profile and task."""
+    from pyspark.sql import Window
+
+    from cohortlens.session import materialize
+
+    stats = stats or scaling_stats(knn)[0]
+    empty = F.array().cast("array<string>")
+
+    def z_array(prefix: str = "") -> Column:
+        return F.array(*[z_expr(f"{prefix}{c}", {f"{prefix}{c}": stats[c]}) for c in KNN_NUMERIC])
+
+    def square(z: Column) -> Column:
+        return F.aggregate(z, F.lit(0.0), lambda s, x: s + x * x)
+
+    def hashed(c: str) -> Column:
+        return F.transform(F.coalesce(F.col(c), empty), lambda x: F.xxhash64(x))
+
+    row = F.struct("hadm_id", "subject_id", "los_days", "gender", "race", z_array().alias("z"), hashed("diagnoses_3digit_list").alias("groups"),
+                   hashed("diagnoses_icd_list").alias("codes"),
+                   F.sqrt(square(z_array()) + 2.0 + F.size("diagnoses_3digit_list") + F.size("diagnoses_icd_list")).alias("norm"))
+    own = F.struct("profile_id", "gender", "race", z_array().alias("z"), hashed("known_groups").alias("groups"), hashed("known_codes").alias("codes"),
+                   F.sqrt(square(z_array()) + F.col("gender_known") + F.col("race_known") + F.size("known_groups") + F.size("known_codes")).alias("norm"))
+    rows, asked = materialize(knn.select(row.alias("c"))), materialize(profiles.select(own.alias("q")))
+    n_rows, n_asked = (max(1, -(-df.count() // most)) for df, most in ((rows, block_rows), (asked, block_profiles)))
+
+    def blocks(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    rows = rows.withColumn("rows", F.pmod(F.xxhash64("c.hadm_id"), F.lit(n_rows))).withColumn("asked", blocks(n_asked))
+    asked = asked.withColumn("asked", F.pmod(F.xxhash64("q.profile_id"), F.lit(n_asked))).withColumn("rows", blocks(n_rows))
+    q, c = F.col("q"), F.col("c")
+    dot = (F.aggregate(F.zip_with(q["z"], c["z"], lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+           + F.coalesce((q["gender"] == c["gender"]).cast("double"), F.lit(0.0)) + F.coalesce((q["race"] == c["race"]).cast("double"), F.lit(0.0))
+           + F.size(F.array_intersect(q["groups"], c["groups"])) + F.size(F.array_intersect(q["codes"], c["codes"])))
+    size = q["norm"] * c["norm"]
+    pairs = rows.join(asked, ["rows", "asked"]).select(
+        "q.profile_id", "c.hadm_id", "c.subject_id", "c.los_days", F.when(size > 0, dot / size).otherwise(F.lit(0.0)).alias("cosine"))
+    order = Window.partitionBy("profile_id").orderBy(F.round(1.0 - F.col("cosine"), 9).asc(), F.col("hadm_id").asc())
+    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= int(k)).select(
+        "profile_id", "rank", "hadm_id", "subject_id", (1.0 - F.col("cosine")).alias("distance"),
+        F.least(F.greatest(F.col("cosine"), F.lit(0.0)), F.lit(1.0)).alias("similarity"), "los_days")

@@ -86,7 +86,7 @@ def _from_items(long: DataFrame, sigs: DataFrame, rate: float | None, most_items
         "g", F.col("s").alias("s1"), F.col("y").alias("y1"), F.col("n").alias("n1"), "item", F.explode("all").alias("salt"))
     other = sigs.select("g", F.col("s").alias("s2"), F.col("y").alias("y2"), F.col("n").alias("n2"), F.explode("s").alias("item"), salt.alias("salt"))
     shared = F.array_intersect("s1", "s2")
-    met = mine.join(other, ["g", "item", "salt"]).where(F.element_at(shared, 1) == F.col("item"))
+    met = mine.join(other, ["g", "item", "salt"]).where(F.get(shared, F.lit(0)) == F.col("item"))
     same = (F.col("s1") == F.col("s2")) & (F.col("y1") == F.col("y2"))
     ways = F.col("n1").cast(_BIG) * F.col("n2").cast("decimal(18,0)") - F.when(same, F.col("n1")).otherwise(F.lit(0)).cast(_BIG)
     found = met.select(F.size("s1").alias("a"), F.size("s2").alias("b"), F.size(shared).alias("k"), ways.cast(_BIG).alias("pairs"),

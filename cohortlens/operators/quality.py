@@ -48,23 +48,29 @@ def intensity_distribution(tr: DataFrame) -> DataFrame:
         F.avg("proc_count").alias("mean_proc_count"))
 
 
+def distinct_integers(df: DataFrame, column: str, name: str) -> DataFrame:
+    """One row: the exact number of distinct non-null integers of a column.
+
+    Ids become bits of bitmaps of 32,768 ids each, combined map-side, so the
+    shuffle carries bitmaps and not ids, and no row is expanded."""
+    ids = df.select(F.col(column).cast("long").alias("id")).where(F.col("id").isNotNull())
+    return (ids.groupBy(F.bitmap_bucket_number("id").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits"))
+            .agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias(name)))
+
+
 def treatment_qa(tr: DataFrame) -> DataFrame:
     """Verification row of the treatment table."""
-    return tr.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct("subject_id").alias("unique_subjects"),
-        F.count_distinct("hadm_id").alias("unique_admissions"),
-        F.min("treatment_complexity_score").alias("min_complexity"),
-        F.max("treatment_complexity_score").alias("max_complexity"),
-        F.count_if(F.col("treatment_intensity_label") == "High").alias("high_intensity"),
-        F.count_if(F.col("treatment_intensity_label") == "Medium").alias("medium_intensity"),
-        F.count_if(F.col("treatment_intensity_label") == "Low").alias("low_intensity"))
+    score, label = F.col("treatment_complexity_score"), F.col("treatment_intensity_label")
+    rows = tr.agg(F.count(F.lit(1)).alias("n_rows"), F.min(score).alias("lowest_score"), F.max(score).alias("highest_score"),
+                  *[F.count_if(label == x).alias(f"{x.lower()}_rows") for x in ("High", "Medium", "Low")])
+    # Single rows.
+    return rows.crossJoin(distinct_integers(tr, "subject_id", "n_subjects")).crossJoin(distinct_integers(tr, "hadm_id", "n_admissions"))
 
 
 def diagnosis_qa(dx: DataFrame) -> DataFrame:
     """Verification row of the diagnosis table."""
-    return dx.agg(F.count(F.lit(1)).alias("total_rows"), F.avg("diagnosis_count").alias("avg_dx"),
-                  F.count_if(F.col("primary_diagnosis_icd").isNull()).alias("missing_primary"))
+    return dx.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("diagnosis_count").alias("mean_codes"),
+                  F.count_if(F.col("primary_diagnosis_icd").isNull()).alias("without_primary"))
 
 
 def table_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -85,14 +91,17 @@ def table_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def top_items(events: DataFrame, dictionary: DataFrame, n: int = 50) -> DataFrame:
-    """A28 + J17: top n items by events (ties by item id), with distinct
-    patients and numeric results; the dictionary join runs after the top n,
-    so its build side is at most n rows."""
-    agg = events.groupBy("itemid").agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.count_distinct("subject_id").alias("patient_count"),
-        F.count("valuenum").alias("numeric_count"))
-    top = agg.orderBy(F.col("event_count").desc(), F.col("itemid").asc()).limit(int(n))
+    """A28 + J17: top n items by distinct patients (ties by item id), over the
+    events that have an item and a result.
+
+    Events are counted for each item and patient first, with map-side combine,
+    so that distinct patients are a plain count and no row is expanded; the
+    dictionary join runs after the top n, so its build side is at most n rows."""
+    seen = events.where(F.col("itemid").isNotNull() & F.col("valuenum").isNotNull()).groupBy("itemid", "subject_id").agg(
+        F.count(F.lit(1)).alias("n"))
+    agg = seen.groupBy("itemid").agg(F.sum("n").alias("event_count"), F.count("subject_id").alias("patient_count"),
+                                     F.sum("n").alias("numeric_count"))
+    top = agg.orderBy(F.col("patient_count").desc(), F.col("itemid").asc()).limit(int(n))
     d = dictionary.select("itemid", "label", "fluid", "category")
     return d.join(F.broadcast(top), "itemid").select("itemid", "label", "fluid", "category", "event_count",
                                                     "patient_count", "numeric_count")

@@ -30,20 +30,26 @@ def _definition() -> str:
     return hashlib.sha256(b"".join(n.read_bytes() for n in names)).hexdigest()
 
 
-def _input_stamp(spark: SparkSession, sf_dir: str) -> str:
-    """Key of an input folder: path, size and modification time of the files of
-    every table that is read, through Spark (so any store works)."""
-    parts = [sf_dir, _definition()]
-    for name in INPUTS:
-        meta = read_table(spark, sf_dir, name).select(
-            F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").alias("h")).distinct()
-        row = meta.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()
-        parts.append(f"{name}:{row['n']}:{row['s']}")
-    return hashlib.sha256("|".join(parts).encode()).hexdigest()[:24]
+#: Raw tables that each stored table is built from.
+_COHORT = ("customer", "nation", "orders", "lineitem")
+INPUTS = {"base": _COHORT, "dx": (*_COHORT, "part"), "tr": (*_COHORT, "part"), "tall": ("orders", "lineitem", "part")}
+ALL_INPUTS = (*_COHORT, "part")
 
 
-#: Tables that the feature builds read.
-INPUTS = ("customer", "nation", "orders", "lineitem", "part")
+def input_files(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
+    """{table: its files as path, size and modification time}, in order.
+
+    A listing through Spark's file reader, so that any store works: of the
+    binary source only the columns that need no content are asked for, so no
+    data row is read, whatever the size of the tables."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in ALL_INPUTS]
+    rows = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+            .select("path", "length", F.col("modificationTime").cast("double").alias("at")).collect())
+    out: dict[str, list[str]] = {name: [] for name in ALL_INPUTS}
+    for r in rows:
+        name = next(n for n in ALL_INPUTS if f"/{n}.parquet" in r["path"])
+        out[name].append(f"{r['path']}:{r['length']}:{r['at']}")
+    return {name: sorted(files) for name, files in out.items()}
 
 
 class Features:
@@ -66,7 +72,7 @@ class Features:
         if not self.materialize:
             return build()
         from cohortlens.session import ensure_checkpoint_dir
-        root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/cohortlens-tables/{self._stamp}/{name}"
+        root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/cohortlens-tables/{name}-{self._stamp(name)}"
         # A build goes to a folder of its own and is published by a pointer
         # that is written last: two sessions may both build, none reads half.
         try:
@@ -80,8 +86,14 @@ class Features:
         return self.spark.read.parquet(found)
 
     @cached_property
-    def _stamp(self) -> str:
-        return _input_stamp(self.spark, self.sf_dir)
+    def _files(self) -> dict[str, list[str]]:
+        return input_files(self.spark, self.sf_dir)
+
+    def _stamp(self, name: str) -> str:
+        """Key of a stored table: its own inputs' files and the code, so that a
+        changed input only rebuilds the tables that read it."""
+        files = [f for t in INPUTS.get(name, ALL_INPUTS) for f in self._files[t]]
+        return hashlib.sha256("|".join([self.sf_dir, _definition(), *files]).encode()).hexdigest()[:24]
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)

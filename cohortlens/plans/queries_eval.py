@@ -55,18 +55,22 @@ def q_intensity_distribution(spark, sf_dir):
 
 
 @register("treatment_qa", with_ctes(TRC_CTE) + """
-SELECT count(*) AS total_rows, count(DISTINCT subject_id) AS unique_subjects, count(DISTINCT hadm_id) AS unique_admissions,
-  round(min(treatment_complexity_score), 6) AS min_complexity, round(max(treatment_complexity_score), 6) AS max_complexity,
-  count(*) FILTER (WHERE treatment_intensity_label = 'High') AS high_intensity,
-  count(*) FILTER (WHERE treatment_intensity_label = 'Medium') AS medium_intensity,
-  count(*) FILTER (WHERE treatment_intensity_label = 'Low') AS low_intensity FROM trc""")
+, labels AS (SELECT treatment_intensity_label AS label, count(*) AS n, min(treatment_complexity_score) AS low,
+                    max(treatment_complexity_score) AS high FROM trc GROUP BY ALL),
+subjects AS (SELECT DISTINCT subject_id FROM trc), admitted AS (SELECT DISTINCT hadm_id FROM trc)
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, (SELECT count(subject_id) FROM subjects) AS n_subjects,
+  (SELECT count(hadm_id) FROM admitted) AS n_admissions, round(min(low), 6) AS lowest_score, round(max(high), 6) AS highest_score,
+  CAST(coalesce(sum(CASE label WHEN 'High' THEN n END), 0) AS BIGINT) AS high_rows,
+  CAST(coalesce(sum(CASE label WHEN 'Medium' THEN n END), 0) AS BIGINT) AS medium_rows,
+  CAST(coalesce(sum(CASE label WHEN 'Low' THEN n END), 0) AS BIGINT) AS low_rows FROM labels""")
 def q_treatment_qa(spark, sf_dir):
     return _r6_all(quality.treatment_qa(Features(spark, sf_dir).tr_capped))
 
 
 @register("diagnosis_qa", with_ctes(BASE_CTES, DX_CTES) + """
-SELECT count(*) AS total_rows, round(avg(diagnosis_count), 6) AS avg_dx,
-       count(*) FILTER (WHERE primary_diagnosis_icd IS NULL) AS missing_primary FROM dx""")
+, halves AS (SELECT primary_diagnosis_icd IS NULL AS bare, count(*) AS n, sum(diagnosis_count) AS codes FROM dx GROUP BY ALL)
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, round(sum(codes) / sum(n), 6) AS mean_codes,
+       CAST(coalesce(sum(CASE WHEN bare THEN n END), 0) AS BIGINT) AS without_primary FROM halves""")
 def q_diagnosis_qa(spark, sf_dir):
     return _r6_all(quality.diagnosis_qa(Features(spark, sf_dir).dx))
 
@@ -88,7 +92,8 @@ def q_table_profile(spark, sf_dir):
 @register("top_lab_items", with_ctes("""
 top AS (SELECT itemid, count(*) AS event_count, count(DISTINCT subject_id) AS patient_count,
                count(valuenum) AS numeric_count
-        FROM labevents GROUP BY itemid ORDER BY event_count DESC, itemid ASC LIMIT 50)""") + """
+        FROM labevents WHERE itemid IS NOT NULL AND valuenum IS NOT NULL
+        GROUP BY itemid ORDER BY patient_count DESC, itemid ASC LIMIT 50)""") + """
 SELECT d.itemid, d.label, d.fluid, d.category, t.event_count, t.patient_count, t.numeric_count
 FROM top t JOIN d_labitems d ON t.itemid = d.itemid""")
 def q_top_lab_items(spark, sf_dir):
@@ -362,7 +367,7 @@ def _vote(spark, sf_dir):
     """Every held-out admission of the whole cohort is scored; only the fit
     rows of the vote are bounded (FIT_ROWS)."""
     split = materialize(evaluate.stratified_split(Features(spark, sf_dir).clin, "mortality", 0.2, 42))
-    return materialize(neighbour_vote(split.filter(~F.col("is_test")), split.filter("is_test"), "mortality"))
+    return materialize(neighbour_vote(split.filter(~F.col("is_test")), split.filter("is_test"), "mortality", fit_rows=FIT_ROWS))
 
 
 VOTE_CTES = r"""
@@ -627,6 +632,40 @@ def q_profile_knn(spark, sf_dir):
     return _r6_all(cosine.knn_for_profile(knn, done, k=7))
 
 
+PROFILE_BATCH_CTES = KNN_CTES.split("\nq AS (")[0] + """
+qp AS MATERIALIZED (SELECT s.*, len(s.diagnoses_icd_list) AS n_codes, {z}
+       FROM z s, med m, st WHERE s.hadm_id % 50 = 0),
+ps AS (
+  SELECT qp.hadm_id AS profile_id, c.hadm_id, c.subject_id, c.los_days,
+    ({dot} + CAST(c.gender = qp.gender AS DOUBLE) + CAST(c.race = qp.race AS DOUBLE)
+     + len(list_intersect(qp.diagnoses_icd_list, c.diagnoses_icd_list)))
+    / (sqrt({cn} + 2 + len(c.diagnoses_3digit_list) + len(c.diagnoses_icd_list)) * sqrt({qn} + 2 + qp.n_codes)) AS cosine
+  FROM z c, qp)
+""".format(
+    z=", ".join(f"({v} - st.a_{c}) / st.s_{c} AS qz_{c}" for c, v in [
+        ("age", "CAST(coalesce(s.age, m.m_age) AS DOUBLE)"), *[(c, f"coalesce(s.{c}, m.m_{c})") for c in ("bmi", "systolic_bp", "diastolic_bp")],
+        ("diagnosis_count", "len(s.diagnoses_icd_list)"), ("unique_icd_count", "len(s.diagnoses_icd_list)"),
+        ("diagnosis_diversity_ratio", "(CASE WHEN len(s.diagnoses_icd_list) > 0 THEN 1.0 ELSE 0.0 END)")]),
+    dot=" + ".join(f"qp.qz_{c} * c.z_{c}" for c in _N), cn=" + ".join(f"c.z_{c} * c.z_{c}" for c in _N),
+    qn=" + ".join(f"qp.qz_{c} * qp.qz_{c}" for c in _N))
+
+
+@register("profile_knn_batch", with_ctes(BASE_CTES, DX_CTES, PROFILE_BATCH_CTES) + """
+SELECT profile_id, CAST(row_number() OVER w AS INTEGER) AS rank, hadm_id, subject_id, round(1.0 - cosine, 6) AS distance,
+       round(least(greatest(cosine, 0.0), 1.0), 6) AS similarity, los_days
+FROM ps WINDOW w AS (PARTITION BY profile_id ORDER BY round(1.0 - cosine, 9), hadm_id) QUALIFY row_number() OVER w <= 7""")
+def q_profile_knn_batch(spark, sf_dir):
+    """A batch of JSON profiles (every admission whose id is divisible by 50,
+    rendered and parsed back) against the whole cohort."""
+    from cohortlens.sources.io import PROFILE_SCHEMA
+    knn = Features(spark, sf_dir).knn
+    js = knn.where("hadm_id % 50 = 0").select(F.to_json(F.struct(
+        F.col("hadm_id").alias("profile_id"), F.col("age").cast("double").alias("age"), "gender", "race",
+        "bmi", "systolic_bp", "diastolic_bp", "diagnoses_icd_list")).alias("json"))
+    profiles = js.select(F.from_json("json", PROFILE_SCHEMA).alias("p")).select("p.*")
+    return _r6_all(cosine.knn_for_profiles(knn, cosine.complete_profile(profiles, knn), k=7))
+
+
 # --- dataset summary and feature checks (A25, A31) -------------------------------------
 
 @register("dataset_summary", with_ctes(BASE_CTES, DX_CTES) + f"""

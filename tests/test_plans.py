@@ -79,5 +79,17 @@ def test_vote_is_one_pass_without_pairs(spark):
     from cohortlens.plans.features import Features
 
     clin = Features(spark, SF).clin
-    plan = plan_of(neighbour_vote(clin.where("hadm_id % 5 <> 0"), clin.where("hadm_id % 5 = 0")))
+    plan = plan_of(neighbour_vote(clin.where("hadm_id % 5 <> 0"), clin.where("hadm_id % 5 = 0"), fit_rows=2000))
     assert "MapInArrow" in plan and "Generate" not in plan and "CartesianProduct" not in plan
+
+
+def test_vote_against_all_rows_has_no_nested_loop(spark):
+    from cohortlens.operators.neighbours import neighbour_vote
+    from cohortlens.operators.similarity import batch_similar_diagnoses
+    from cohortlens.plans.features import Features
+
+    f = Features(spark, SF)
+    for plan in (plan_of(neighbour_vote(f.clin.where("hadm_id % 5 <> 0"), f.clin.where("hadm_id % 5 = 0"))),
+                 plan_of(batch_similar_diagnoses(f.dx, f.dx.where("hadm_id % 50 = 0")))):
+        assert "NestedLoop" not in plan and "CartesianProduct" not in plan and "MapInArrow" not in plan
+        assert "WindowGroupLimit" in plan
