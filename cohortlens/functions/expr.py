@@ -1,7 +1,7 @@
 """Column expressions shared by the operators.
 
 Everything here is a built-in Spark expression (JVM side, whole-stage
-codegen); no Python UDF is used anywhere in the library.
+codegen).
 """
 
 from __future__ import annotations
@@ -53,11 +53,6 @@ def jaccard_from_counts(inter: Column, size_a: Column, size_b: Column,
             .otherwise(inter.cast("double") / union.cast("double")))
 
 
-def equal_or_zero(a: str | Column, b: str | Column) -> Column:
-    """1.0 when both are non-null and equal, else 0.0 (null never matches)."""
-    return F.coalesce((col(a) == col(b)).cast("double"), F.lit(0.0))
-
-
 def closeness(a: str | Column, b: str | Column) -> Column:
     """max(0, 1 - |a - b|) for scores in [0, 1]."""
     return F.greatest(F.lit(0.0), 1.0 - F.abs(col(a).cast("double") - col(b).cast("double")))
@@ -101,11 +96,6 @@ def context_similarity(q: dict, c: dict) -> Column:
             + w["race"] * string_match(q["race"], c["race"]))
 
 
-def joined_list(c: str | Column, sep: str = ",") -> Column:
-    """Sorted array rendered as text, so that engines compare equal."""
-    return F.array_join(F.array_sort(col(c)), sep)
-
-
 def code_group(version: str | Column, code: str | Column) -> Column:
     """Version-prefixed 3-character group, e.g. ``10_I10``."""
     return F.concat_ws("_", col(version).cast("string"), F.substring(F.trim(col(code)), 1, 3))

@@ -90,6 +90,19 @@ def table_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         F.count("v").alias("distinct_count")).select("row_count", "column_name", "data_type", "null_count", "distinct_count")
 
 
+def id_columns(df: DataFrame) -> list[str]:
+    """Columns whose name ends in ``id``."""
+    return [c for c in df.columns if c.lower().endswith("id")]
+
+
+def row_sample(df: DataFrame, n: int = 25) -> DataFrame:
+    """The first n rows in order of the id columns (of all columns
+    where there is none), so that the sample is the same every time; a bounded
+    top n of each task, not a sort."""
+    order = id_columns(df) or df.columns
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(int(n))
+
+
 def top_items(events: DataFrame, dictionary: DataFrame, n: int = 50) -> DataFrame:
     """A28 + J17: top n items by distinct patients (ties by item id), over the
     events that have an item and a result.

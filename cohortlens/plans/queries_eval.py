@@ -89,6 +89,14 @@ def q_table_profile(spark, sf_dir):
     return quality.table_profile(f.table("orders"), _PROFILE_COLS)
 
 
+@register("table_preview", with_ctes().rstrip().rstrip(",") + """
+SELECT subject_id, hadm_id, admission_type, 'subject_id,hadm_id' AS id_columns
+FROM admissions ORDER BY subject_id NULLS LAST, hadm_id NULLS LAST LIMIT 25""")
+def q_table_preview(spark, sf_dir):
+    a = Features(spark, sf_dir).raw.admissions.select("subject_id", "hadm_id", "admission_type")
+    return quality.row_sample(a).withColumn("id_columns", F.lit(",".join(quality.id_columns(a))))
+
+
 @register("top_lab_items", with_ctes("""
 top AS (SELECT itemid, count(*) AS event_count, count(DISTINCT subject_id) AS patient_count,
                count(valuenum) AS numeric_count

@@ -102,3 +102,10 @@ def test_distinct_integers_without_expand(spark):
     out = quality.treatment_qa(df)
     assert (out.first().n_rows, out.first().n_subjects, out.first().n_admissions, out.first().high_rows) == (9, 1, 6, 9)
     assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_sample_and_id_columns(spark):
+    df = spark.createDataFrame([(3, "b", 1), (1, "a", 2), (None, "c", 3), (1, "z", 1)], "stay_id long, note string, subjectID long")
+    assert quality.id_columns(df) == ["stay_id", "subjectID"]
+    assert [(r.stay_id, r.subjectID) for r in quality.row_sample(df, 3).collect()] == [(1, 1), (1, 2), (3, 1)]
+    assert [r.note for r in quality.row_sample(df.select("note"), 2).collect()] == ["a", "b"]
