@@ -5,8 +5,8 @@ holds two documents of one source or of one duplicate cluster.  A document
 above the capacity is cut: whole pieces of the capacity fill bins of their own,
 the rest is packed like any other.
 
-Pieces are dealt by hash into shards of about ``shard_rows`` and each shard is
-packed by one task, longest piece first (best-fit decreasing).  A shard's open
+Pieces are dealt by a hash of their row number, so that no repeated id fills a
+shard, into shards of about ``shard_rows`` and each shard is packed by one task, longest piece first (best-fit decreasing).  A shard's open
 bins stand in order of their residual space and carry one bitmap of the sources
 and clusters they hold; from the first bin that is large enough the search goes
 on to its successors until a bin has none of the piece's bits: the tightest
@@ -91,14 +91,14 @@ def best_fit(docs: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, sha
                            "source", "cluster", "row")
     n = rows.select(F.sum(F.greatest(F.ceil(F.col("size") / capacity), F.lit(1)))).first()[0] or 0
     shards = max(1, -(-int(n) // shard_rows))
-    # By id, with a row number for null ids only, so that nulls cannot fill a shard.
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(F.coalesce(F.col(key), F.col("row")), F.col("piece")), F.lit(shards)))
+    # The row number is written with the rows, so a repeated task deals alike.
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("row", "piece"), F.lit(shards)))
 
     def shard(keys, table):
         number = keys[0].as_py()
-        ids = table[key].to_numpy(zero_copy_only=False)
+        ids, known = table[key].fill_null(0).to_numpy(), table[key].is_valid().to_numpy()
         length, piece = table["length"].to_numpy(), table["piece"].to_numpy()
-        order = np.lexsort((piece, np.nan_to_num(ids.astype(np.float64), nan=-1.0), -length))
+        order = np.lexsort((table["row"].to_numpy(), piece, ids, known, -length))  # null ids first
         table = table.take(pa.array(order))
         sizes = table["length"].to_pylist()
         bins = np.array(pack(sizes, table["source"].to_pylist(), table["cluster"].to_pylist(), capacity), np.int64)
@@ -106,5 +106,5 @@ def best_fit(docs: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, sha
         return pa.table({key: table[key], "piece": table["piece"], "start": table["start"], "length": table["length"],
                          "bin_id": (number << 32) + bins, "bin_used": used[bins]})
 
-    return (dealt.select(key, "piece", "start", "length", "source", "cluster", "shard").groupBy("shard")
+    return (dealt.select(key, "piece", "start", "length", "source", "cluster", "row", "shard").groupBy("shard")
             .applyInArrow(shard, f"`{key}` long, piece int, start long, length long, bin_id long, bin_used long"))

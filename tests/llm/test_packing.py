@@ -59,3 +59,15 @@ def test_rows_stay_whole(spark):
     assert best_fit(df.limit(0)).collect() == []
     again = best_fit(df, capacity=100, shard_rows=200, cluster=F.lit(1)).collect()
     assert len({x.bin_id for x in again}) == len(out)  # one cluster: a bin each
+
+
+def test_one_id_is_dealt_like_any_other(spark):
+    rows = [(7, "x" * (i % 90), None) for i in range(1200)] + [(2**53 + i, "y" * 40, None) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    out = best_fit(df, capacity=100, shard_rows=100, cluster=F.lit(None)).collect()
+    per = defaultdict(int)
+    for x in out:
+        per[x.bin_id >> 32] += 1
+    assert len(out) == 1204 and len(per) == 13 and max(per.values()) < 200
+    one = {r.doc_id: r.bin_id for r in best_fit(df.where("doc_id > 7"), capacity=80, cluster=F.lit(None)).collect()}
+    assert [one[2**53 + i] for i in range(4)] == [0, 0, 1, 1]  # in order of id
