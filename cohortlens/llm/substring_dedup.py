@@ -260,17 +260,25 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", size: int = SIZE) -> D
         F.when(F.col("copy"), F.lit(EMPTY)).otherwise(F.coalesce("left", "sha")).alias("kept_sha256"))
 
 
+def _free_names(docs: DataFrame, n: int) -> list[str]:
+    """``n`` column names that ``docs`` does not have, whatever their case."""
+    taken = {c.lower() for c in docs.columns}
+    names = (f"_own{i}" for i in range(n + len(taken)))
+    return [x for x in names if x not in taken][:n]
+
+
 def without_repeats(docs: DataFrame, key: str = "doc_id", size: int = SIZE) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text`` (and ``n_chars``
     counted anew); rows that lose every word go, all others stay."""
     every, cuts = find_repeats(docs, key, size)
     copies = stored(every.where("copy").select(key).distinct())
+    of, left = _free_names(docs, 2)
     kept = stored(kept_texts(cuts, key, size, layout=True).select(
-        F.col(key).alias("_of"), F.col("kept").cast("string").alias("_kept")))
-    out = docs.join(copies, key, "left_anti").join(kept, F.col(key) == F.col("_of"), "left")
-    text = F.coalesce("_kept", "text")
-    changed = F.col("_of").isNotNull()
-    out = out.where(~changed | (F.length("_kept") > 0))
-    news = {"text": text} | ({"n_chars": F.when(changed, F.length("_kept").cast("long")).otherwise(F.col("n_chars"))}
+        F.col(key).alias(of), F.col("kept").cast("string").alias(left)))
+    out = docs.join(copies, key, "left_anti").join(kept, F.col(key) == F.col(of), "left")
+    text = F.coalesce(left, "text")
+    changed = F.col(of).isNotNull()
+    out = out.where(~changed | (F.length(left) > 0))
+    news = {"text": text} | ({"n_chars": F.when(changed, F.length(left).cast("long")).otherwise(F.col("n_chars"))}
                              if "n_chars" in docs.columns else {})
     return out.withColumns(news).select(*docs.columns)

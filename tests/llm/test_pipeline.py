@@ -61,3 +61,17 @@ def test_whole_run_on_null_and_repeated_rows(spark, tmp_path):
     df.limit(0).write.parquet(f"{tmp_path}/e/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/e/benchmark.parquet")
     assert pipeline.run(spark, f"{tmp_path}/e").collect() == []
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    names = ["_kept", "_of", "_own0", "_OWN1", "copy", "first", "gone", "h", "n", "k", "at", "size", "component_id", "lang_pred", "score", "bin_id"]
+    passage = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, f"The opening number {i} of the text is its own. " * 3 + (passage if i < 3 else ""), "en", "s", 1, *["x"] * len(names)) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = pipeline.stored(stage(spark, docs, DATA))
+        assert docs.columns[5:] == names, name
+        assert all(list(r)[5:] == ["x"] * len(names) for r in docs.collect())
+    assert {r.doc_id: passage in r.text for r in docs.collect()}.get(1, False) is False
+    pipeline.STAGES[-1][1](spark, docs, DATA).collect()
