@@ -1,3 +1,5 @@
+import random
+
 from cohortlens.llm.url_filter import url_verdicts
 
 
@@ -46,3 +48,43 @@ def test_blocks_reach_aliases_unless_one_is_allowed(spark):
     got = {r.page_id: r.verdict for r in url_verdicts(df, redirects=moved).collect()}
     assert got == {**want, 8: "block"}
     assert url_verdicts(df.limit(0)).collect() == []
+
+
+def test_random_graph_against_union_find(spark):
+    r = random.Random(3)
+    hosts = ["a.org", "b.org", "bad.net", "good.com", "m.example.com"]
+    urls = [f"http://{r.choice(hosts)}/{r.choice(['es/', 'fr/', 'en/', 'x/', ''])}{i}" for i in range(120)]
+    links = {i: [r.choice(urls) for _ in range(r.choice([0, 0, 1, 1, 2]))] for i in range(120)}
+    rows = [(i, u, page("", "".join(r.choice([canonical, refresh])(x) for x in links[i]))) for i, u in enumerate(urls)]
+
+    def judged(url):
+        host, path = url[7:].split("/", 1)
+        fits = [(len(rule), verdict) for rule, verdict in
+                (("com/", "allow"), ("example.com/en/", "block"), ("net/es/", "block"), ("net/fr/", "block"))
+                if ("." + host).endswith("." + rule.split("/")[0]) and ("/" + path).startswith(rule[rule.index("/"):])]
+        return max(fits)[1] if fits else None
+
+    root = {u: u for u in urls}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, own in links.items():
+        for x in own:
+            root[find(urls[i])] = find(x)
+    want = {}
+    for i, u in enumerate(urls):
+        said = {judged(x) for x in urls if find(x) == find(u)}
+        want[i] = judged(u) or ("block" if "block" in said and "allow" not in said else "allow")
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {x.page_id: x.verdict for x in url_verdicts(df).collect()} == want
+    assert len({find(u) for u in urls}) < 100 and set(want.values()) == {"allow", "block"}
+
+
+def test_long_urls_and_pages(spark):
+    long = "http://x.net/es/" + "a/" * 50_000
+    rows = [(1, long, page("", "x" * 300_000 + canonical("http://y.org/1"))), (2, "http://y.org/1", "y" * 300_000), (2, "http://y.org/1", None)]
+    got = url_verdicts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, len(r.path), r.verdict) for r in got) == [(1, 100_004, "block"), (2, 2, "block"), (2, 2, "block")]
