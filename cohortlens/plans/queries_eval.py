@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators import cosine, evaluate, quality
 from cohortlens.operators.dataset import joined_dataset, modelling_flags
+from cohortlens.operators.knn_join import knn_join
 from cohortlens.operators.neighbours import FIT_ROWS, neighbour_vote
 from cohortlens.plans.features import Features
 from cohortlens.plans.oracle_ctes import BASE_CTES, CLIN_CTES, DX_CTES, TALL_CTE, TR_CTES, TRC_CTE, base_ctes, with_ctes
@@ -593,6 +594,19 @@ def q_euclidean_neighbours(spark, sf_dir):
     return _r6_all(documented.euclidean_neighbours(emb, None, 10))
 
 
+@register("euclidean_knn_batch", """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+d AS (SELECT q.vec_id AS query_id, e.vec_id AS id,
+             sqrt(list_sum(list_transform(list_zip(e.v, q.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS distance
+      FROM e, e q WHERE q.vec_id % 50 = 0 AND e.vec_id <> q.vec_id)
+SELECT query_id, id, round(distance, 6) AS distance FROM d
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, id) <= 10""")
+def q_euclidean_knn_batch(spark, sf_dir):
+    """Ten nearest vectors of every id divisible by 50 among all vectors."""
+    emb = Features(spark, sf_dir).table("embeddings")
+    return _r6_all(knn_join(emb.where("vec_id % 50 = 0"), emb, 10, key="vec_id", vector="embedding"))
+
+
 # --- profile search (S8, P18, P19) ---------------------------------------------------
 
 @register("profile_knn", with_ctes(BASE_CTES, DX_CTES, KNN_CTES.split("\nq AS (")[0]) + """
