@@ -111,7 +111,7 @@ def _visits(queries: DataFrame, pivots, cells: list, near: list[list[float]], k:
     return queries.mapInArrow(visit, "query_id long, qv array<double>, cell int")
 
 
-def _best(k: int, exclude_same_id: bool, zero: float):
+def _best(k: int, exclude_same_id: bool, zero: float, digits: int | None):
     def best(keys, queries: pa.Table, points: pa.Table) -> pa.Table:
         out: tuple[list, list, list] = ([], [], [])
         if queries.num_rows and points.num_rows:
@@ -129,6 +129,7 @@ def _best(k: int, exclude_same_id: bool, zero: float):
                     diff = x[at] - part[i]
                     d = np.sqrt((diff * diff).sum(1))
                     d[d <= zero] = 0.0
+                    d = d if digits is None else d.round(digits)
                     order = np.lexsort((ids[at], d))[:k]
                     out[0].append(np.full(len(order), qid[low + i]))
                     out[1].append(ids[at][order])
@@ -141,9 +142,11 @@ def _best(k: int, exclude_same_id: bool, zero: float):
 
 
 def knn_join(queries: DataFrame, points: DataFrame, k: int, key: str = "hadm_id", vector: Column | str = "v",
-             exclude_same_id: bool = True, pivots: int = PIVOTS, cell: int = CELL, block: int = QUERIES, zero: float = 0.0) -> DataFrame:
+             exclude_same_id: bool = True, pivots: int = PIVOTS, cell: int = CELL, block: int = QUERIES, zero: float = 0.0,
+             digits: int | None = None) -> DataFrame:
     """(query_id, id, distance) of the k nearest ``points`` of every row of
-    ``queries`` (Euclidean, ties by id).  Distances up to ``zero`` count as 0."""
+    ``queries`` (Euclidean, ties by id).  Distances up to ``zero`` count as 0,
+    and are ranked as rounded to ``digits`` decimals, if given."""
     spark = queries.sparkSession
     schema = "query_id long, id long, distance double"
     points = _usable(points, key, vector)
@@ -173,6 +176,6 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, key: str = "hadm_id"
     left = visits.withColumn("part", F.explode(F.sequence(F.lit(0), parts[F.col("cell")] - 1)))
     right = dealt.join(met, "cell").select("id", "v", "cell", "part", F.col("met").alias("block"))
     found = left.groupBy("cell", "part", "block").cogroup(right.groupBy("cell", "part", "block")).applyInArrow(
-        _best(k, exclude_same_id, zero), schema)
+        _best(k, exclude_same_id, zero, digits), schema)
     last = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))
     return found.withColumn("rank", last).where(F.col("rank") <= k).drop("rank")
