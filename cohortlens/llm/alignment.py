@@ -50,6 +50,10 @@ from .common import _pieces, ship, stored, texts
 
 #: Characters of a text that are encoded at once; a longer text is cut.
 SEGMENT_CHARS = 1 << 16
+#: Bytes of texts that the encoders get at once.
+ENCODE_BYTES = 1 << 17
+#: Bytes of texts that are aligned at once.
+PART_BYTES = 1 << 19
 #: Marks a B id in a group's name.
 B_SIDE = np.uint32(1 << 31)
 
@@ -188,9 +192,9 @@ def aligned(size_a: np.ndarray, size_b: np.ndarray) -> Aligned:
                    mark[end_a] == 3, mark[end_b] == 3)
 
 
-def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(x) for x in rows], np.int64)
-    return np.fromiter(chain.from_iterable(rows), np.int64, int(sizes.sum())), sizes
+    return np.concatenate([np.zeros(0, np.uint32), *rows]).astype(np.int64), sizes
 
 
 def _encoded(voc: Vocabulary, segments: list[list[str]]) -> list[list[int]]:
@@ -199,6 +203,25 @@ def _encoded(voc: Vocabulary, segments: list[list[str]]) -> list[list[int]]:
     return [next(ids) if len(x) == 1 else list(chain.from_iterable(next(ids) for _ in x)) for x in segments]
 
 
+def _spelled(raws: list[bytes], va: Vocabulary, vb: Vocabulary, segment: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(place, ids of A, ids of B) of every text that both sides spell.
+
+    What the encoders return is many times larger than the text, so they get
+    ``ENCODE_BYTES`` at a time (a longer text comes alone) and only plain id
+    arrays are kept."""
+    begin, total = 0, 0
+    for end, raw in enumerate(raws):
+        total += len(raw)
+        if total < ENCODE_BYTES and end + 1 < len(raws):
+            continue
+        segments = [[t] if len(t) <= segment else va.segments(t, segment, vb)
+                    for t in (x.decode("utf-8", "replace") for x in raws[begin : end + 1])]
+        for k, (a, b) in enumerate(zip(_encoded(va, segments), _encoded(vb, segments)), begin):
+            if b"".join(map(va.tokens.__getitem__, a)) == b" " + raws[k] == b"".join(map(vb.tokens.__getitem__, b)):
+                yield k, np.array(a, np.uint32), np.array(b, np.uint32)
+        begin, total = end + 1, 0
+
+
 @functools.lru_cache(maxsize=2)
 def _written(n: int) -> np.ndarray:
     """Every id in decimal digits before ``,``, ``|`` and ``;``."""
@@ -219,17 +242,34 @@ class Block(NamedTuple):
 
 
 def align_block(raws: list[bytes | None], path_a: str, path_b: str, segment: int = SEGMENT_CHARS) -> Block:
+    """The texts are aligned ``PART_BYTES`` at a time, as the id and offset
+    arrays take many times their size; all parts share one dictionary."""
+    slots: dict[bytes, int] = {}
+    parts, begin, total = [], 0, 0
+    for end, raw in enumerate(raws):
+        total += len(raw or b"")
+        if total >= PART_BYTES or end + 1 == len(raws):
+            parts.append(_align_part(raws[begin : end + 1], slots, path_a, path_b, segment))
+            begin, total = end + 1, 0
+    if not parts:
+        parts = [_align_part([], slots, path_a, path_b, segment)]
+    counts = np.zeros(len(slots), np.int64)
+    for p in parts:
+        counts[: len(p.counts)] += p.counts
+    docs = {c: list(chain.from_iterable(p.docs[c] for p in parts)) if isinstance(v, list) else np.concatenate([p.docs[c] for p in parts])
+            for c, v in parts[0].docs.items()}
+    return Block(docs, list(slots), counts, np.concatenate([p.regular for p in parts]))
+
+
+def _align_part(raws: list[bytes | None], slots: dict[bytes, int], path_a: str, path_b: str, segment: int) -> Block:
+    """Adds its irregular groups to ``slots``; ``names`` stays empty."""
     va, vb, same = vocabulary(path_a), vocabulary(path_b), identity_map(path_a, path_b)
     n = len(raws)
     rows = [i for i, x in enumerate(raws) if x]
-    segments = [[t] if len(t) <= segment else va.segments(t, segment, vb)
-                for t in (raws[i].decode("utf-8", "replace") for i in rows)]
-    ids_a, ids_b = _encoded(va, segments), _encoded(vb, segments)
-    good = [k for k, i in enumerate(rows)
-            if b"".join(map(va.tokens.__getitem__, ids_a[k])) == b" " + raws[i] == b"".join(map(vb.tokens.__getitem__, ids_b[k]))]
-    at = np.array([rows[k] for k in good], np.int64)
-    a, n_a = _flat([ids_a[k] for k in good])
-    b, n_b = _flat([ids_b[k] for k in good])
+    spelled = list(_spelled([raws[i] for i in rows], va, vb, segment))
+    at = np.array([rows[k] for k, _, _ in spelled], np.int64)
+    a, n_a = _flat([ids for _, ids, _ in spelled])
+    b, n_b = _flat([ids for _, _, ids in spelled])
     x = aligned(va.sizes[a], vb.sizes[b])
     doc = np.searchsorted(np.cumsum([1 + len(raws[i]) for i in at.tolist()]), x.end)
     group = np.cumsum(x.cut) - x.cut
@@ -252,16 +292,11 @@ def align_block(raws: list[bytes | None], path_a: str, path_b: str, segment: int
     odd = np.flatnonzero(x.cut & ~plain)
     start = (before_a + before_b)[:-1][group[odd]]
     stop = (before_a + before_b)[1:][group[odd]]
-    whole, slots, names = named.tobytes(), {}, []
+    whole = named.tobytes()
     places = np.empty(len(odd), np.uint32)
     for k, (s, e) in enumerate(zip((4 * start).tolist(), (4 * stop).tolist())):
-        name = whole[s:e]
-        slot = slots.get(name)
-        if slot is None:
-            slot = slots[name] = len(names)
-            names.append(name)
-        places[k] = slot
-    counts = np.bincount(places, minlength=len(names)).astype(np.int64)
+        places[k] = slots.setdefault(whole[s:e], len(slots))
+    counts = np.bincount(places, minlength=len(slots)).astype(np.int64)
 
     def of_docs(values: np.ndarray) -> np.ndarray:
         out = np.zeros(n, np.int64)
@@ -284,7 +319,7 @@ def align_block(raws: list[bytes | None], path_a: str, path_b: str, segment: int
             "n_groups": of_docs(np.bincount(doc[x.cut], minlength=len(at))),
             "n_links": of_docs(np.bincount(doc, minlength=len(at))), "groups_sha256": digests,
             "regular": split(regular.astype(np.uint32), doc[plain]), "odd": split(places, doc[odd])}
-    return Block(docs, names, counts, regular)
+    return Block(docs, [], counts, regular)
 
 
 _PARTS = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),

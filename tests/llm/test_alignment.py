@@ -102,3 +102,28 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     out = alignment(df, A, B)
     assert out.documents.collect() == [] and out.pairs.collect() == []
+
+
+def test_parts_share_a_dictionary_and_little_memory():
+    """Megabytes of text take a small multiple of a part, and come out as in one part."""
+    import tracemalloc
+
+    from cohortlens.llm import alignment as module
+
+    texts = [f"naïve tokens {i} of plain texts, Größe {i * 7919} and 漢字 {i % 13}. ".encode() * 40 if i % 9 else (b"" if i % 2 else None)
+             for i in range(1200)]
+    align_block(texts[:3], A, B)  # the vocabularies stay
+    tracemalloc.start()
+    cut = align_block(texts, A, B)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * sum(len(x or b"") for x in texts)
+    before = module.PART_BYTES, module.ENCODE_BYTES
+    try:
+        module.PART_BYTES = module.ENCODE_BYTES = 1 << 30
+        whole = align_block(texts, A, B)
+    finally:
+        module.PART_BYTES, module.ENCODE_BYTES = before
+    assert cut.names == whole.names and cut.counts.tolist() == whole.counts.tolist() and cut.regular.tolist() == whole.regular.tolist()
+    for c, v in whole.docs.items():
+        assert list(cut.docs[c]) == list(v), c
