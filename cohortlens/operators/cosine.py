@@ -202,8 +202,9 @@ def knn_for_profiles(knn: DataFrame, profiles: DataFrame, k: int = DEFAULT_NEIGH
     Distances are compared to nine places, as equal rows may differ in their
     last bits.  Admissions and profiles are dealt to blocks; every pair of
     blocks is one join key, so a task holds ``block_rows`` admissions and
-    ``block_profiles`` profiles at most, however many there are, and a rank
-    limit before the shuffle leaves k rows of each profile and task."""
+    ``block_profiles`` profiles at most, however many there are.  A task scores
+    its pairs by matrix products and hands on k rows of each profile.  All pairs
+    are scored: the work is quadratic in the cohort."""
     from pyspark.sql import Window
 
     from cohortlens.session import materialize
@@ -220,27 +221,99 @@ def knn_for_profiles(knn: DataFrame, profiles: DataFrame, k: int = DEFAULT_NEIGH
     def hashed(c: str) -> Column:
         return F.transform(F.coalesce(F.col(c), empty), lambda x: F.xxhash64(x))
 
-    row = F.struct("hadm_id", "subject_id", "los_days", "gender", "race", z_array().alias("z"), hashed("diagnoses_3digit_list").alias("groups"),
-                   hashed("diagnoses_icd_list").alias("codes"),
-                   F.sqrt(square(z_array()) + 2.0 + F.size("diagnoses_3digit_list") + F.size("diagnoses_icd_list")).alias("norm"))
-    own = F.struct("profile_id", "gender", "race", z_array().alias("z"), hashed("known_groups").alias("groups"), hashed("known_codes").alias("codes"),
-                   F.sqrt(square(z_array()) + F.col("gender_known") + F.col("race_known") + F.size("known_groups") + F.size("known_codes")).alias("norm"))
-    rows, asked = materialize(knn.select(row.alias("c"))), materialize(profiles.select(own.alias("q")))
+    def flat(df: DataFrame, ids: list[str], sets: tuple[str, str], fixed: Column) -> DataFrame:
+        groups, codes = sets
+        return df.select(*[F.col(c).cast("long").alias(c) for c in ids], *[F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias(c) for c in ("gender", "race")],
+                         z_array().alias("z"), hashed(groups).alias("groups"), hashed(codes).alias("codes"),
+                         F.sqrt(square(z_array()) + fixed + F.size(groups) + F.size(codes)).alias("norm"))
+
+    rows = materialize(flat(knn, ["hadm_id", "subject_id", "los_days"], ("diagnoses_3digit_list", "diagnoses_icd_list"), F.lit(2.0)))
+    asked = materialize(flat(profiles, ["profile_id"], ("known_groups", "known_codes"), F.col("gender_known") + F.col("race_known")))
     n_rows, n_asked = (max(1, -(-df.count() // most)) for df, most in ((rows, block_rows), (asked, block_profiles)))
 
     def blocks(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
-    rows = rows.withColumn("rows", F.pmod(F.xxhash64("c.hadm_id"), F.lit(n_rows))).withColumn("asked", blocks(n_asked))
-    asked = asked.withColumn("asked", F.pmod(F.xxhash64("q.profile_id"), F.lit(n_asked))).withColumn("rows", blocks(n_rows))
-    q, c = F.col("q"), F.col("c")
-    dot = (F.aggregate(F.zip_with(q["z"], c["z"], lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-           + F.coalesce((q["gender"] == c["gender"]).cast("double"), F.lit(0.0)) + F.coalesce((q["race"] == c["race"]).cast("double"), F.lit(0.0))
-           + F.size(F.array_intersect(q["groups"], c["groups"])) + F.size(F.array_intersect(q["codes"], c["codes"])))
-    size = q["norm"] * c["norm"]
-    pairs = rows.join(asked, ["rows", "asked"]).select(
-        "q.profile_id", "c.hadm_id", "c.subject_id", "c.los_days", F.when(size > 0, dot / size).otherwise(F.lit(0.0)).alias("cosine"))
-    order = Window.partitionBy("profile_id").orderBy(F.round(1.0 - F.col("cosine"), 9).asc(), F.col("hadm_id").asc())
+    rows = rows.withColumn("rows", F.pmod(F.xxhash64("hadm_id"), F.lit(n_rows))).withColumn("asked", blocks(n_asked))
+    asked = asked.withColumn("asked", F.pmod(F.xxhash64("profile_id"), F.lit(n_asked))).withColumn("rows", blocks(n_rows))
+    # The work is in the pairs, not in the bytes read: partitions are not merged by size.
+    spark = knn.sparkSession
+    n = min(n_rows * n_asked, 20 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+    nearest = _nearest_of_block(int(k))
+    pairs = (asked.repartition(n, "rows", "asked").groupBy("rows", "asked").cogroup(rows.repartition(n, "rows", "asked").groupBy("rows", "asked"))
+             .applyInArrow(nearest, "profile_id long, hadm_id long, subject_id long, los_days long, cosine double, near double"))
+    order = Window.partitionBy("profile_id").orderBy(F.col("near").asc(), F.col("hadm_id").asc())
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= int(k)).select(
         "profile_id", "rank", "hadm_id", "subject_id", (1.0 - F.col("cosine")).alias("distance"),
         F.least(F.greatest(F.col("cosine"), F.lit(0.0)), F.lit(1.0)).alias("similarity"), "los_days")
+
+
+def _nearest_of_block(k: int, chunk: int = 128, most_words: int = 512):
+    """The k nearest rows of a block for every profile of another: dot products
+    of a chunk of profiles and all rows of the block as matrix products, the
+    sets over the items that the chunk's profiles have (``most_words`` at once)."""
+    def nearest(asked, rows):
+        import numpy as np
+        import pyarrow as pa
+
+        rows = rows.sort_by([("hadm_id", "ascending")], null_placement="at_start") if rows.num_rows else rows
+        names = ["profile_id", "hadm_id", "subject_id", "los_days", "cosine", "near"]
+        kinds = [*[pa.int64()] * 4, *[pa.float64()] * 2]
+        if not rows.num_rows or not asked.num_rows:
+            return pa.table([pa.array([], t) for t in kinds], names=names)
+
+        def items(table, c):
+            lists = table.column(c).combine_chunks()
+            sizes = np.diff(lists.offsets.to_numpy())
+            return np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy()
+
+        def numbers(table):
+            return table.column("z").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+
+        def held(place, item, words, n):
+            at = np.minimum(np.searchsorted(words, item), len(words) - 1)
+            hit = words[at] == item
+            out = np.zeros((n, len(words)), np.float32)
+            out[place[hit], at[hit]] = 1
+            return out
+
+        def kind(table, c):
+            return table.column(c).fill_null(0).to_numpy(), table.column(c).is_valid().to_numpy()
+
+        z_c, norm_c, n = numbers(rows), rows.column("norm").to_numpy(), rows.num_rows
+        z_q, norm_q = numbers(asked), asked.column("norm").to_numpy()
+        set_c, set_q = ({c: items(t, c) for c in ("groups", "codes")} for t in (rows, asked))
+        one_c, one_q = ({c: kind(t, c) for c in ("gender", "race")} for t in (rows, asked))
+        known: dict = {}
+        of, at, cosine = [], [], []
+        for begin in range(0, asked.num_rows, chunk):
+            end = min(begin + chunk, asked.num_rows)
+            dot = z_q[begin:end] @ z_c.T
+            for c in ("gender", "race"):
+                (q, q_is), (r, r_is) = one_q[c], one_c[c]
+                dot += (q[begin:end, None] == r[None, :]) & q_is[begin:end, None] & r_is[None, :]
+            for c in ("groups", "codes"):
+                place, item = set_q[c]
+                mine = (place >= begin) & (place < end)
+                words = np.unique(item[mine])
+                for first in range(0, len(words), most_words):
+                    part = words[first : first + most_words]
+                    if c not in known or not np.array_equal(known[c][0], part):
+                        known[c] = part, held(*set_c[c], part, n)
+                    dot += held(place[mine] - begin, item[mine], part, end - begin) @ known[c][1].T
+            size = norm_q[begin:end, None] * norm_c[None, :]
+            cos = np.divide(dot, size, out=np.zeros_like(dot), where=size > 0)
+            least = -np.partition(-cos, k - 1, axis=1)[:, k - 1] - 4e-9 if n > k else np.full(end - begin, -np.inf)
+            for i in range(end - begin):
+                some = np.flatnonzero(cos[i] >= least[i])
+                if len(some) > k:  # rows are in the order of their ids
+                    some = some[np.argsort(np.round(1.0 - cos[i, some], 9), kind="stable")[:k]]
+                of.append(np.full(len(some), begin + i))
+                at.append(some)
+                cosine.append(cos[i, some])
+        of, at, cosine = (np.concatenate(x) for x in (of, at, cosine))
+        found = [asked.column("profile_id").take(pa.array(of)), *[rows.column(c).take(pa.array(at)) for c in names[1:4]],
+                 pa.array(cosine), pa.array(np.round(1.0 - cosine, 9))]
+        return pa.table(found, names=names)
+
+    return nearest

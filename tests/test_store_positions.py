@@ -109,3 +109,29 @@ def test_row_sample_and_id_columns(spark):
     assert quality.id_columns(df) == ["stay_id", "subjectID"]
     assert [(r.stay_id, r.subjectID) for r in quality.row_sample(df, 3).collect()] == [(1, 1), (1, 2), (3, 1)]
     assert [r.note for r in quality.row_sample(df.select("note"), 2).collect()] == ["a", "b"]
+
+
+def test_profile_blocks_are_matrix_products(spark):
+    """No pair of a profile and an admission becomes a row; ties by id across chunks of items."""
+    import pyarrow as pa
+
+    from cohortlens.operators.cosine import _nearest_of_block
+
+    def block(ids, key, codes):
+        return pa.table({key: pa.array(ids, pa.int64()), "gender": pa.array([1 if i % 2 else None for i in ids], pa.int64()),
+                         "race": pa.array([i % 3 for i in ids], pa.int64()), "z": pa.array([[float(i % 5), 1.0] for i in ids]),
+                         "groups": pa.array([[i % 4] for i in ids], pa.list_(pa.int64())), "codes": pa.array(codes, pa.list_(pa.int64())),
+                         "norm": pa.array([((i % 5) ** 2 + 4.0 + len(c)) ** 0.5 for i, c in zip(ids, codes)])})
+
+    ids = [(i * 37) % 211 for i in range(211)]
+    codes = {i: sorted({i % 7, i % 11 + 20, i % 13 + 40}) for i in ids}
+    rows = block(ids, "hadm_id", [codes[i] for i in ids]).append_column("subject_id", pa.array(ids, pa.int64())).append_column("los_days", pa.array(ids, pa.int64()))
+    mine = list(range(0, 211, 9))
+    out = _nearest_of_block(6, chunk=4, most_words=3)(block(mine, "profile_id", [codes[i] for i in mine]), rows).to_pylist()
+    for q in mine:
+        def cos(c):
+            dot = (q % 5) * (c % 5) + 1.0 + (q % 2 == 1 and c % 2 == 1) + (q % 3 == c % 3) + (q % 4 == c % 4) + len(set(codes[q]) & set(codes[c]))
+            return dot / (((q % 5) ** 2 + 4.0 + len(codes[q])) * ((c % 5) ** 2 + 4.0 + len(codes[c]))) ** 0.5
+        want = sorted((round(1 - cos(c), 9), c) for c in ids)[:6]
+        assert [(round(r["near"], 9), r["hadm_id"]) for r in sorted((r for r in out if r["profile_id"] == q), key=lambda r: (r["near"], r["hadm_id"]))] == want
+    assert _nearest_of_block(6)(block([], "profile_id", []), rows).num_rows == 0
