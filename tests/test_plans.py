@@ -93,3 +93,25 @@ def test_vote_against_all_rows_has_no_nested_loop(spark):
                  plan_of(batch_similar_diagnoses(f.dx, f.dx.where("hadm_id % 50 = 0")))):
         assert "NestedLoop" not in plan and "CartesianProduct" not in plan and "MapInArrow" not in plan
         assert "WindowGroupLimit" in plan
+
+
+def test_a_probe_is_one_row_for_all_types(spark):
+    """The as-of lookup deals a probe once, not once for each measurement type."""
+    from cohortlens.operators.measurements import daily_latest, latest_as_of
+    from cohortlens.sources.tpch import raw_tables
+
+    daily = daily_latest(raw_tables(spark, SF).omr)
+    day = F.lit("1997-01-01").cast("date")
+    probes = spark.range(5).select(F.col("id").alias("hadm_id"), F.col("id").alias("subject_id"), day.alias("admit_day"), F.lit("t2").alias("kind"), day.alias("b"))
+    found = latest_as_of(probes, daily)
+    assert "Generate" not in plan_of(found) and found.count() == 5
+    assert [c for c in found.columns if c.startswith("ord_")] == ["ord_0", "ord_1", "ord_2", "ord_3"]
+
+
+def test_joins_below_several_passes_run_once(spark):
+    from cohortlens.operators.dataset import joined_dataset, modelling_flags
+    from cohortlens.plans.features import Features
+
+    f = Features(spark, SF)
+    for df in (f.cohort, f.knn, modelling_flags(joined_dataset(f.base, f.dx, None))):
+        assert "Join" not in plan_of(df)
