@@ -18,7 +18,7 @@ DATA = "/root/testdata/sf0.001"
 @pytest.fixture
 def folder(tmp_path):
     for name in features.ALL_INPUTS:
-        shutil.copy(f"{DATA}/{name}.parquet", tmp_path / f"{name}.parquet")
+        shutil.copyfile(f"{DATA}/{name}.parquet", tmp_path / f"{name}.parquet")
     return tmp_path
 
 
