@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.quantiles import exact_medians
 from cohortlens.operators.recommend import score_treatments
+from cohortlens.operators.scan_topk import Best, SharedItems, longs, numbers, scan_top_k
 from cohortlens.operators.similarity import lit_set, lookup_row
 
 # Fixed value: numeric features of the cosine kNN.
@@ -194,17 +195,16 @@ def knn_for_profile(knn: DataFrame, profile: dict, k: int = DEFAULT_NEIGHBOURS,
 
 
 def knn_for_profiles(knn: DataFrame, profiles: DataFrame, k: int = DEFAULT_NEIGHBOURS, stats=None,
-                     block_rows: int = 20_000, block_profiles: int = 2_000) -> DataFrame:
+                     block_rows: int = 2_048, block_profiles: int = 65_536) -> DataFrame:
     """M3 for a batch of completed profiles (:func:`complete_profile`):
     (profile_id, rank, hadm_id, subject_id, distance, similarity, los_days) of
     the k nearest admissions of each, ties by id.
 
     Distances are compared to nine places, as equal rows may differ in their
-    last bits.  Admissions and profiles are dealt to blocks; every pair of
-    blocks is one join key, so a task holds ``block_rows`` admissions and
-    ``block_profiles`` profiles at most, however many there are.  A task scores
-    its pairs by matrix products and hands on k rows of each profile.  All pairs
-    are scored: the work is quadratic in the cohort."""
+    last bits.  Blocks of ``block_profiles`` profiles are sent to the tasks; a task
+    scans its part of the admissions, in Arrow batches, by matrix products and
+    hands on k rows of each profile.  No admission is shuffled or copied.  All
+    pairs are scored: the time is quadratic in the cohort."""
     from pyspark.sql import Window
 
     from cohortlens.session import materialize
@@ -228,92 +228,100 @@ def knn_for_profiles(knn: DataFrame, profiles: DataFrame, k: int = DEFAULT_NEIGH
                          F.sqrt(square(z_array()) + fixed + F.size(groups) + F.size(codes)).alias("norm"))
 
     rows = materialize(flat(knn, ["hadm_id", "subject_id", "los_days"], ("diagnoses_3digit_list", "diagnoses_icd_list"), F.lit(2.0)))
-    asked = materialize(flat(profiles, ["profile_id"], ("known_groups", "known_codes"), F.col("gender_known") + F.col("race_known")))
-    n_rows, n_asked = (max(1, -(-df.count() // most)) for df, most in ((rows, block_rows), (asked, block_profiles)))
-
-    def blocks(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-
-    rows = rows.withColumn("rows", F.pmod(F.xxhash64("hadm_id"), F.lit(n_rows))).withColumn("asked", blocks(n_asked))
-    asked = asked.withColumn("asked", F.pmod(F.xxhash64("profile_id"), F.lit(n_asked))).withColumn("rows", blocks(n_rows))
-    # The work is in the pairs, not in the bytes read: partitions are not merged by size.
-    spark = knn.sparkSession
-    n = min(n_rows * n_asked, 20 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
-    nearest = _nearest_of_block(int(k))
-    pairs = (asked.repartition(n, "rows", "asked").groupBy("rows", "asked").cogroup(rows.repartition(n, "rows", "asked").groupBy("rows", "asked"))
-             .applyInArrow(nearest, "profile_id long, hadm_id long, subject_id long, los_days long, cosine double, near double"))
-    order = Window.partitionBy("profile_id").orderBy(F.col("near").asc(), F.col("hadm_id").asc())
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= int(k)).select(
-        "profile_id", "rank", "hadm_id", "subject_id", (1.0 - F.col("cosine")).alias("distance"),
-        F.least(F.greatest(F.col("cosine"), F.lit(0.0)), F.lit(1.0)).alias("similarity"), "los_days")
-
-
-def _nearest_of_block(k: int, chunk: int = 128, most_words: int = 512):
-    """The k nearest rows of a block for every profile of another: dot products
-    of a chunk of profiles and all rows of the block as matrix products, the
-    sets over the items that the chunk's profiles have (``most_words`` at once)."""
+    asked = flat(profiles, ["profile_id"], ("known_groups", "known_codes"), F.col("gender_known") + F.col("race_known"))
+    asked = materialize(asked.withColumn("asked_id", F.monotonically_increasing_id()))
+    near = scan_top_k(asked.drop("profile_id"), rows, _ProfileCosine, k, carry=("subject_id", "los_days"), detail=True,
+                      block=block_profiles, rows_at_once=block_rows)
+    # Rows of one profile id are one profile.
+    order = Window.partitionBy("profile_id").orderBy(F.col("score").desc(), F.col("hadm_id").asc())
+    found = near.drop("rank").withColumnRenamed("id", "hadm_id").join(asked.select("asked_id", "profile_id"), "asked_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= int(k)).select(
+        "profile_id", "rank", "hadm_id", "subject_id", (1.0 - F.col("detail")).alias("distance"),
+        F.least(F.greatest(F.col("detail"), F.lit(0.0)), F.lit(1.0)).alias("similarity"), "los_days")
+
+
+class _ProfileCosine:
+    """Cosines of profiles with admissions: numbers and frequent items by one matrix
+    product in single precision, rare items by lists.  The score is 1 less the
+    distance to nine places, the second number the cosine itself."""
+
+    slack = 1e-5
+
+    def __init__(self, asked, most_words: int | None = None):
+        self.z, self.inverse = numbers(asked.column("z")), self._inverse(asked)
+        self.sets = {c: SharedItems(self._lists(asked.column(c)), most_words) for c in ("gender", "race", "groups", "codes")}
+        self.left = self._scaled(self.z, [x.held for x in self.sets.values()], self.inverse)
+
+    @staticmethod
+    def _lists(column):
+        """A column of single items, null for none, as sets."""
+        import numpy as np
+        import pyarrow as pa
+
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        if pa.types.is_list(column.type):
+            return column
+        sizes = column.is_valid().to_numpy(zero_copy_only=False).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), column.drop_null())
+
+    @staticmethod
+    def _inverse(table):
+        import numpy as np
+
+        norm = table.column("norm").to_numpy()
+        return np.divide(1.0, norm, out=np.zeros(len(norm)), where=norm > 0)
+
+    @staticmethod
+    def _scaled(z, sets, inverse):
+        import numpy as np
+
+        return (np.concatenate([z, *sets], axis=1) * inverse[:, None]).astype(np.float32)
+
+    def meet(self, part) -> None:
+        self.z_part, self.inverse_part = numbers(part.column("z")), self._inverse(part)
+        for c, own in self.sets.items():
+            own.meet(self._lists(part.column(c)))
+        self.right = self._scaled(self.z_part, [x.theirs for x in self.sets.values()], self.inverse_part).T
+
+    def pairs(self, low: int, high: int):
+        import numpy as np
+
+        rough = self.left[low:high] @ self.right
+        rare = [own.rare(low, high) for own in self.sets.values()]
+        for row, column in rare:
+            np.add.at(rough, (row, column), (self.inverse[low + row] * self.inverse_part[column]).astype(np.float32))
+
+        def exact(row, column):
+            dot = np.einsum("ij,ij->i", self.z[low + row], self.z_part[column])
+            for own in self.sets.values():
+                dot += np.einsum("ij,ij->i", own.held[low + row], own.theirs[column])
+            if any(len(x) for x, _ in rare):
+                more = np.zeros(rough.shape, np.int32)
+                for place in rare:
+                    np.add.at(more, place, 1)
+                dot += more[row, column]
+            size = self.inverse[low + row] * self.inverse_part[column]
+            cosine = dot * size
+            return 1.0 - np.round(1.0 - cosine, 9), cosine
+
+        return rough, exact
+
+
+def _nearest_of_block(k: int, chunk: int = 128, most_words: int | None = None):
+    """The k nearest rows of a block of admissions for every profile of a block of
+    them, ``chunk`` profiles at once, with ``most_words`` frequent items of each
+    kind."""
     def nearest(asked, rows):
         import numpy as np
         import pyarrow as pa
 
-        rows = rows.sort_by([("hadm_id", "ascending")], null_placement="at_start") if rows.num_rows else rows
-        names = ["profile_id", "hadm_id", "subject_id", "los_days", "cosine", "near"]
-        kinds = [*[pa.int64()] * 4, *[pa.float64()] * 2]
-        if not rows.num_rows or not asked.num_rows:
-            return pa.table([pa.array([], t) for t in kinds], names=names)
-
-        def items(table, c):
-            lists = table.column(c).combine_chunks()
-            sizes = np.diff(lists.offsets.to_numpy())
-            return np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy()
-
-        def numbers(table):
-            return table.column("z").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
-
-        def held(place, item, words, n):
-            at = np.minimum(np.searchsorted(words, item), len(words) - 1)
-            hit = words[at] == item
-            out = np.zeros((n, len(words)), np.float32)
-            out[place[hit], at[hit]] = 1
-            return out
-
-        def kind(table, c):
-            return table.column(c).fill_null(0).to_numpy(), table.column(c).is_valid().to_numpy()
-
-        z_c, norm_c, n = numbers(rows), rows.column("norm").to_numpy(), rows.num_rows
-        z_q, norm_q = numbers(asked), asked.column("norm").to_numpy()
-        set_c, set_q = ({c: items(t, c) for c in ("groups", "codes")} for t in (rows, asked))
-        one_c, one_q = ({c: kind(t, c) for c in ("gender", "race")} for t in (rows, asked))
-        known: dict = {}
-        of, at, cosine = [], [], []
-        for begin in range(0, asked.num_rows, chunk):
-            end = min(begin + chunk, asked.num_rows)
-            dot = z_q[begin:end] @ z_c.T
-            for c in ("gender", "race"):
-                (q, q_is), (r, r_is) = one_q[c], one_c[c]
-                dot += (q[begin:end, None] == r[None, :]) & q_is[begin:end, None] & r_is[None, :]
-            for c in ("groups", "codes"):
-                place, item = set_q[c]
-                mine = (place >= begin) & (place < end)
-                words = np.unique(item[mine])
-                for first in range(0, len(words), most_words):
-                    part = words[first : first + most_words]
-                    if c not in known or not np.array_equal(known[c][0], part):
-                        known[c] = part, held(*set_c[c], part, n)
-                    dot += held(place[mine] - begin, item[mine], part, end - begin) @ known[c][1].T
-            size = norm_q[begin:end, None] * norm_c[None, :]
-            cos = np.divide(dot, size, out=np.zeros_like(dot), where=size > 0)
-            least = -np.partition(-cos, k - 1, axis=1)[:, k - 1] - 4e-9 if n > k else np.full(end - begin, -np.inf)
-            for i in range(end - begin):
-                some = np.flatnonzero(cos[i] >= least[i])
-                if len(some) > k:  # rows are in the order of their ids
-                    some = some[np.argsort(np.round(1.0 - cos[i, some], 9), kind="stable")[:k]]
-                of.append(np.full(len(some), begin + i))
-                at.append(some)
-                cosine.append(cos[i, some])
-        of, at, cosine = (np.concatenate(x) for x in (of, at, cosine))
-        found = [asked.column("profile_id").take(pa.array(of)), *[rows.column(c).take(pa.array(at)) for c in names[1:4]],
-                 pa.array(cosine), pa.array(np.round(1.0 - cosine, 9))]
-        return pa.table(found, names=names)
+        best = Best(asked.num_rows, k, [np.int64, np.int64, np.float64], False)
+        if rows.num_rows and asked.num_rows:
+            carried = [longs(rows.column(c)) for c in ("subject_id", "los_days")]
+            best.meet(_ProfileCosine(asked, most_words), rows, longs(rows.column("hadm_id")), carried, True, chunk)
+            best.merge()
+        whole = [pa.array(x, mask=x == np.iinfo(np.int64).min) for x in (best.id, *best.more[:2])]
+        return pa.table([asked.column("profile_id").take(pa.array(best.row)), *whole, pa.array(best.more[2]), pa.array(1.0 - best.value)],
+                        names=["profile_id", "hadm_id", "subject_id", "los_days", "cosine", "near"])
 
     return nearest
